@@ -53,10 +53,16 @@ def scale_by_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, keys: Sequence[str], c: str, quantiles: dict[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    c: str,
+    quantiles: dict[str, float],
+    total: str | None = None,
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact interpolated quantiles, maximum.
 
+    With `total`, the sum as well.
+
     Exact quantiles keep one counter per distinct value of a group: meant for
     small integers such as day counts and for prices, not for free-running doubles.
     """
@@ -69,9 +75,11 @@ def describe(
         F.percentile(col, list(quantiles.values())).alias("_q"),
         F.max(col).cast("double").alias("max"),
     ]
+    totals = [total] if total else []
+    measures += [F.sum(col).cast("double").alias(name) for name in totals]
     stats = group_agg(df, keys, *measures) if keys else df.agg(*measures)
     points = [F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
-    return stats.select(*keys, "n", "mean", "std", "min", *points, "max")
+    return stats.select(*keys, "n", "mean", "std", "min", *points, "max", *totals)
 
 
 def unstack(

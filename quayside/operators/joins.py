@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot above 1/HOT_SHARES of all rows, so there are never more
-# than HOT_SHARES hot keys, whatever the data: a proven bound for broadcasting.
-HOT_SHARES = 50_000
-# Below this many rows a key is never worth splitting.
-HOT_FLOOR = 1_000_000
-
 
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Equi join; missing keys never match; several matches fan out."""
@@ -37,50 +31,22 @@ def outer_chain(frames: Sequence[DataFrame], on: str) -> DataFrame:
     return joined
 
 
-def hot_keys(
-    df: DataFrame, key: str, floor: int = HOT_FLOOR, shares: int = HOT_SHARES
-) -> DataFrame:
-    """Keys that hold more than `floor` rows and more than 1/shares of all rows.
-
-    `_parts` says into how many pieces a key should be cut; all `_parts` together
-    are at most 2 * shares.
-    """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    totals = df.agg((F.count(F.lit(1)) / F.lit(shares)).alias("limit"))
-    limit = F.greatest(totals.scalar(), F.lit(float(floor)))
-    return counts.filter(F.col("_n") > limit).select(
-        key, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")
-    )
-
-
-def spread_join(
-    facts: DataFrame,
-    dims: DataFrame,
-    key: str,
-    row_id: Sequence[str],
-    how: str = "inner",
-    floor: int = HOT_FLOOR,
-    shares: int = HOT_SHARES,
+def skew_join(
+    facts: DataFrame, dims: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
-    """Join many `facts` per key with few `dims` per key, cutting hot keys apart.
-
-    The facts of a hot key are dealt out over `_parts` buckets by a hash of `row_id`;
-    its dims are copied once per bucket. Every other key stays in one bucket, so
-    there is no extra copying without skew. Facts without a key match nothing and are
-    dealt out as well. Since a fact lands in exactly one bucket, inner and left joins
-    give the same rows as the plain join.
+    """Join many `facts` per key, or without a key, with few `dims` per key.
+
+    Adaptive execution cuts an oversized partition of the facts into several tasks, and
+    hands each the matching dims, but only where both inputs come straight from a
+    shuffle. Dims that are already partitioned by the key, being aggregated by it, would
+    not. Joining on the key and its hash asks for a partitioning that neither side has
+    yet: the small side is shuffled once more, and a hot key can be split at run time.
+    Only the facts may be split, hence inner and left joins.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"spread_join supports inner and left, not {how}")
-    hot = F.broadcast(hot_keys(facts, key, floor, shares))
-    parts = F.when(F.col(key).isNull(), F.lit(shares)).otherwise(
-        F.coalesce("_parts", F.lit(1))
-    )
-    salted = facts.join(hot, key, "left").withColumn(
-        "_bucket", F.pmod(F.xxhash64(*row_id), parts).cast("int")
-    )
-    copied = dims.join(hot, key, "left").withColumn(
-        "_bucket", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        raise ValueError(f"skew_join supports inner and left, not {how}")
+    cell = F.hash(key)
+    joined = facts.withColumn("_cell", cell).join(
+        dims.withColumn("_cell", cell), [key, "_cell"], how
     )
-    joined = salted.drop("_parts").join(copied.drop("_parts"), [key, "_bucket"], how)
-    return joined.drop("_bucket")
+    return joined.drop("_cell")

@@ -174,9 +174,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._driver: dict[str, DataFrame] = {}
 
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._driver:
+            self._driver[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._driver[name]
 
     def view(self, name: str) -> DataFrame:
         base, text = VIEWS[name]

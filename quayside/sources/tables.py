@@ -84,12 +84,7 @@ def read_history_dir(spark: SparkSession, path: str, schema: str | None = None)
 
 def unreadable_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files of a history directory that gave no rows: empty or unreadable."""
-    listed = (
-        spark.read.format("binaryFile").load(path).filter("length > 0").select("path")
-    )
-    seen = (
-        read_history_dir(spark, path, schema)
-        .select(F.col("_metadata.file_path").alias("path"))
-        .distinct()
-    )
+    location = F.col("_metadata.file_path").alias("path")
+    listed = spark.read.format("binaryFile").load(path).filter("length > 0").select(location)
+    seen = read_history_dir(spark, path, schema).select(location).distinct()
     return listed.join(seen, "path", "left_anti")
