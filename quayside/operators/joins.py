@@ -50,3 +50,26 @@ def skew_join(
         dims.withColumn("_cell", cell), [key, "_cell"], how
     )
     return joined.drop("_cell")
+
+
+def fan_out_join(
+    dims: DataFrame, facts: DataFrame, key: str, present: str | None = None
+) -> DataFrame:
+    """Left join of `dims` with many `facts` per key, of which one key may hold most.
+
+    A left join may only be split on its left side, yet here the right side is the
+    uneven one. One stub fact per key of `dims` turns it into an inner join, of which
+    both sides may be split; the stub of a key that has facts is dropped afterwards.
+    `present` names a column of `dims` that is set where the key has facts; without it
+    one is made. Missing keys match nothing and keep their row.
+    """
+    if present is None:
+        present = "_present"
+        known = facts.filter(F.col(key).isNotNull()).select(key).distinct()
+        dims = dims.join(known.withColumn(present, F.lit(True)), key, "left")
+    stubs = dims.select(key).distinct().withColumn("_stub", F.lit(True))
+    many = facts.filter(F.col(key).isNotNull()).unionByName(stubs, allowMissingColumns=True)
+    many = many.withColumnRenamed(key, "_fact_key")
+    joined = many.join(dims, F.col("_fact_key").eqNullSafe(F.col(key)), "inner")
+    kept = joined.filter(F.col("_stub").isNull() | F.col(present).isNull())
+    return kept.drop("_stub", "_fact_key", "_present")

@@ -69,6 +69,10 @@ def buyer_compliance_period(inbound: DataFrame) -> DataFrame:
     return compliance(compliance_lines(inbound), ["buyer"])
 
 
+def last_month_number(as_of: date) -> int:
+    return shift_month(as_of, -1)[1]
+
+
 def last_month(monthly: DataFrame, as_of: date) -> DataFrame:
     """The slice of the month before `as_of`."""
-    return monthly.filter(F.col("gl_month") == shift_month(as_of, -1)[1])
+    return monthly.filter(F.col("gl_month") == last_month_number(as_of))

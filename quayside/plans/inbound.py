@@ -9,8 +9,7 @@ Shape of the plan. Every source is aggregated to its join key before any join:
 PO-keyed and (item, PO)-keyed facts are attached to PO lines before the lines meet the
 plan. A line always has a PO, so planned items without one never travel through a join
 on a missing key. The two joins whose key may be very uneven (PO, item) can be split
-at run time. Items without any line are reached by one stub line per planned item, so
-that this join is an inner one, which may be split, and the plan is not joined twice.
+at run time.
 
 The measures of a planned item belong on one row per item. Which row that is can be
 decided on each side alone: the earliest planned row of the item, and its smallest
@@ -29,7 +28,7 @@ from quayside.functions.calendar import parse_timestamp
 from quayside.functions.text import HEADER_PO_STRIP, as_key, blank_to_null, strip_chars
 from quayside.operators.aggregates import group_agg
 from quayside.operators.dedupe import keep_last, nulls_last
-from quayside.operators.joins import left_join, skew_join
+from quayside.operators.joins import fan_out_join, left_join, skew_join
 from quayside.operators.predicates import (
     DELETED,
     DRAFT,
@@ -217,11 +216,7 @@ def inbound_data(
         "_first_plan", (F.row_number().over(by_item) == 1) & ~F.col("_deleted")
     )
 
-    key = item_key("barcode", "ean", "simple_sku")
-    stubs = sources.plan.select(key.alias("sku")).distinct()
-    wide = skew_join(stack([lines, stubs]), plan, "sku").filter(
-        F.col("pos").isNotNull() | F.col("has_lines").isNull()
-    )
+    wide = fan_out_join(plan, lines, "sku", present="has_lines")
 
     sample = matches("ref", blank)
     first_line = F.col("pos").isNull() | (

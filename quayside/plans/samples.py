@@ -18,8 +18,17 @@ from quayside.operators.setops import stack
 from quayside.operators.sorting import sort_keys
 from quayside.sources.schemas import SAMPLE_STAGES
 
-PLAN_COLUMNS = ("gl_day", "gl_month", "gl_year", "config_sku", "config_name", "supplier",
-                "designer", "category", "buyer")
+PLAN_COLUMNS = (
+    "gl_day",
+    "gl_month",
+    "gl_year",
+    "config_sku",
+    "config_name",
+    "supplier",
+    "designer",
+    "category",
+    "buyer",
+)
 
 
 def sample_plan(
@@ -37,8 +46,9 @@ def sample_plan(
         F.max(F.struct("qc_date", "qc_count")).alias("_last")
     )
     rows = left_join(configs, checked, "simple_sku").select(
-        *PLAN_COLUMNS, F.col("_last.qc_date").alias("qc_date"),
-        F.col("_last.qc_count").alias("qc_count")
+        *PLAN_COLUMNS,
+        F.col("_last.qc_date").alias("qc_date"),
+        F.col("_last.qc_count").alias("qc_count"),
     )
     return month_window(rows, "gl_year", "gl_month", as_of, months, months)
 
@@ -75,18 +85,13 @@ def last_stages(tables: list[DataFrame]) -> DataFrame:
     """The last combination per (config, first stage), without building combinations.
 
     Of the combinations of an item with one first-stage time, the last holds the latest
-    time of every other stage. So one aggregate per item replaces the chain of joins,
-    and only first-stage times stay apart.
+    time of every other stage. So one aggregate per item over the other stages, joined
+    with the distinct first-stage times, replaces the chain.
     """
     first, others = SAMPLE_STAGES[0], SAMPLE_STAGES[1:]
-    # One row per scan; `_first` keeps an item's first-stage times as separate groups.
-    long = stack(tables)
-    latest = long.groupBy("sku").agg(
-        F.collect_set(first).alias("_times"), *[F.max(s).alias(s) for s in others]
-    )
-    rows = latest.withColumn(first, F.explode_outer("_times")).withColumn(
-        "config_sku", config_code("sku")
-    )
+    latest = stack(tables[1:]).groupBy("sku").agg(*[F.max(s).alias(s) for s in others])
+    rows = tables[0].distinct().join(latest, "sku", "full")
+    rows = rows.withColumn("config_sku", config_code("sku"))
     return keep_last(rows, ["config_sku", first], ["sku", *others]).select(
         "config_sku", "sku", *SAMPLE_STAGES
     )

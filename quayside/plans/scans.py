@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.functions.text import as_key, blank_to_null, fold_code
 from quayside.operators.aggregates import group_agg
 from quayside.operators.dedupe import keep_last
-from quayside.operators.joins import left_join, outer_join_filled
+from quayside.operators.joins import fan_out_join, left_join, outer_join_filled, skew_join
 from quayside.operators.projections import stamp
 from quayside.operators.setops import consolidate
 from quayside.operators.sorting import sort_keys
@@ -41,7 +41,8 @@ def shift_count(
     """Scanned quantity of a shift against every PO line of the item, with its category."""
     counted = stamp(scan_counts(scans, "product_id", "qty_counted"), date=shift, team=team)
     lines = po_lines.withColumnRenamed("sku", "product_id")
-    rows = left_join(left_join(counted, lines, "product_id"), plan_categories(plan), "product_id")
+    described = left_join(counted, plan_categories(plan), "product_id")
+    rows = fan_out_join(described, lines, "product_id")
     report = rows.select(
         "date",
         F.col("pos").alias("po"),
@@ -91,7 +92,8 @@ def daily_damages(
     damaged = scan_counts(damages, "product_id", "damaged", "reason")
     surplus = scan_counts(oversupply, "sku", "oversupply")
     items = outer_join_filled(damaged, surplus, "product_id", "sku", "sku")
-    rows = left_join(left_join(items, _line_details(po_lines), "sku"), last_contacts(contacts), "po")
+    placed = fan_out_join(items, _line_details(po_lines), "sku")
+    rows = skew_join(placed, last_contacts(contacts), "po", "left")
     report = stamp(rows, date=as_of).select(
         "date",
         "supplier",
@@ -116,7 +118,7 @@ def rolling_damages(damages: DataFrame, po_lines: DataFrame) -> DataFrame:
         "responsible",
     )
     lines = po_lines.select(as_key("pos").alias("pos"), "sku")
-    return left_join(scans, lines, "sku").select("date", "pos", "sku", "reason", "responsible")
+    return fan_out_join(scans, lines, "sku").select("date", "pos", "sku", "reason", "responsible")
 
 
 def rolling_oversupply(daily: DataFrame) -> DataFrame:
@@ -144,7 +146,8 @@ def bad_stock(
         F.col("simple_name").alias("description"),
         F.col("supplier_name").alias("supplier"),
     )
-    rows = left_join(details.join(items, "simple_sku", "right"), last_contacts(contacts), "po")
+    placed = fan_out_join(items, details, "simple_sku")
+    rows = skew_join(placed, last_contacts(contacts), "po", "left")
     report = stamp(rows, date=as_of).select(
         "date",
         "supplier",

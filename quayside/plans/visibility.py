@@ -23,7 +23,7 @@ from quayside.operators.dedupe import (
     nulls_last,
     reduce_partial_deliveries,
 )
-from quayside.operators.joins import left_join
+from quayside.operators.joins import skew_join
 from quayside.operators.predicates import DRAFT, NOT_FOR_SALE_OR_REJECTED, exclude_matching
 from quayside.operators.projections import indicator
 from quayside.operators.sorting import sort_keys
@@ -101,7 +101,7 @@ FUNNEL = {
 def with_samples(inbound: DataFrame, samples: DataFrame, stage: str = "s3_to_studio") -> DataFrame:
     """Add a count of 1 where the item's sample reached the studio; several samples fan out."""
     known = samples.select("sku", indicator(stage).alias("sample_count"))
-    return left_join(inbound, known, "sku")
+    return skew_join(inbound, known, "sku", "left")
 
 
 def visibility_master(inbound: DataFrame, samples: DataFrame, ordered: bool = True) -> DataFrame:
