@@ -58,28 +58,30 @@ def describe(
     c: str,
     quantiles: dict[str, float],
     total: str | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact interpolated quantiles, maximum.
+    """Count, mean, sample deviation, minimum, interpolated quantiles, maximum.
 
-    With `total`, the sum as well.
-
-    Exact quantiles keep one counter per distinct value of a group: meant for
-    small integers such as day counts and for prices, not for free-running doubles.
+    With `total`, the sum as well. Quantiles are exact and keep one counter per distinct
+    value of a group, which suits day counts and prices. For free-running doubles in
+    very large groups, `accuracy` asks for approximate ones instead.
     """
     col = F.col(c)
+    at = list(quantiles.values())
+    points = F.percentile(col, at) if accuracy is None else F.percentile_approx(col, at, accuracy)
     measures = [
         F.count(col).alias("n"),
         F.avg(col).alias("mean"),
         F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"),
-        F.percentile(col, list(quantiles.values())).alias("_q"),
+        points.alias("_q"),
         F.max(col).cast("double").alias("max"),
     ]
     totals = [total] if total else []
     measures += [F.sum(col).cast("double").alias(name) for name in totals]
     stats = group_agg(df, keys, *measures) if keys else df.agg(*measures)
-    points = [F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
-    return stats.select(*keys, "n", "mean", "std", "min", *points, "max", *totals)
+    named = [F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
+    return stats.select(*keys, "n", "mean", "std", "min", *named, "max", *totals)
 
 
 def unstack(
@@ -96,14 +98,17 @@ def margins_pivot(
     row: str,
     column: str,
     values: Sequence[str],
-    measure: Column,
+    amount: str,
     total: str = "All",
 ) -> DataFrame:
-    """Two-way table of `row` by text `column`, with totals for rows, columns and both."""
+    """Two-way table of sums of `amount`, with totals for rows, columns and both.
+
+    Sums per cell come first, so that only cells are expanded into totals.
+    """
     cells = (
-        df.dropna(subset=[row, column])
+        group_agg(df, [row, column], F.sum(amount).alias("_cell"))
         .cube(row, column)
-        .agg(measure.alias("_m"), F.grouping(row).alias("_gr"), F.grouping(column).alias("_gc"))
+        .agg(F.sum("_cell").alias("_m"), F.grouping(row).alias("_gr"), F.grouping(column).alias("_gc"))
         .select(
             F.when(F.col("_gr") == 1, F.lit(total)).otherwise(F.col(row)).alias(row),
             F.when(F.col("_gc") == 1, F.lit(total)).otherwise(F.col(column)).alias(column),

@@ -84,12 +84,12 @@ def attribute_to_first(
     measures and are dropped where `drop_repeat_when` holds.
     """
     marked = df.withColumn("_blanked", F.coalesce(blanked, F.lit(False)))
-    live = flag_repeats(marked.filter(~F.col("_blanked")), [key], order, "_repeat")
-    live = live.filter(~F.col("_repeat") | ~F.coalesce(drop_repeat_when, F.lit(False)))
-    live = live.withColumns(
-        {m: F.when(~F.col("_repeat"), F.col(m)) for m in measures}
-    ).drop("_repeat")
-    return live.unionByName(marked.filter("_blanked")).drop("_blanked")
+    flagged = flag_repeats(marked, [key, "_blanked"], order, "_repeat").withColumn(
+        "_repeat", F.col("_repeat") & ~F.col("_blanked")
+    )
+    kept = flagged.filter(~F.col("_repeat") | ~F.coalesce(drop_repeat_when, F.lit(False)))
+    single = {m: F.when(~F.col("_repeat"), F.col(m)) for m in measures}
+    return kept.withColumns(single).drop("_repeat", "_blanked")
 
 
 def reduce_partial_deliveries(

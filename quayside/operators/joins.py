@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Dat
     return left.join(right, on, "left")
 
 
+def right_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Every row of `right` with all its matches in `left`, of which one key may hold most."""
+    return fan_out_join(right, left, on)
+
+
 def outer_join_filled(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, key: str
 ) -> DataFrame:
@@ -23,14 +29,6 @@ def outer_join_filled(
     return joined.withColumn(key, F.coalesce("_rk", "_lk")).drop("_lk", "_rk")
 
 
-def outer_chain(frames: Sequence[DataFrame], on: str) -> DataFrame:
-    """Full outer join of many frames on one key; several matches fan out."""
-    joined = frames[0]
-    for frame in frames[1:]:
-        joined = joined.join(frame, on, "full")
-    return joined
-
-
 def skew_join(
     facts: DataFrame, dims: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
@@ -53,23 +51,51 @@ def skew_join(
 
 
 def fan_out_join(
-    dims: DataFrame, facts: DataFrame, key: str, present: str | None = None
+    dims: DataFrame,
+    facts: DataFrame,
+    key: str,
+    present: str | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of `dims` with many `facts` per key, of which one key may hold most.
 
     A left join may only be split on its left side, yet here the right side is the
     uneven one. One stub fact per key of `dims` turns it into an inner join, of which
     both sides may be split; the stub of a key that has facts is dropped afterwards.
-    `present` names a column of `dims` that is set where the key has facts; without it
-    one is made. Missing keys match nothing and keep their row.
+    Missing keys match nothing and keep their row.
+
+    `present` names a column of `dims` that is set where the key has facts, and `keys`
+    holds the keys of `dims` once each; what is not given is worked out.
     """
     if present is None:
         present = "_present"
         known = facts.filter(F.col(key).isNotNull()).select(key).distinct()
         dims = dims.join(known.withColumn(present, F.lit(True)), key, "left")
-    stubs = dims.select(key).distinct().withColumn("_stub", F.lit(True))
+    stubs = dims.select(key).distinct() if keys is None else keys
+    stubs = stubs.withColumn("_stub", F.lit(True))
     many = facts.filter(F.col(key).isNotNull()).unionByName(stubs, allowMissingColumns=True)
     many = many.withColumnRenamed(key, "_fact_key")
     joined = many.join(dims, F.col("_fact_key").eqNullSafe(F.col(key)), "inner")
     kept = joined.filter(F.col("_stub").isNull() | F.col(present).isNull())
     return kept.drop("_stub", "_fact_key", "_present")
+
+
+def outer_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """Full outer join of many frames on one key; several matches fan out.
+
+    Spark neither splits a skewed full outer join nor keeps its partitioning. So the
+    keys of all frames are gathered first, each with a mark per frame that has it, and
+    the frames are attached one by one with splittable joins. Rows without a key are
+    dropped.
+    """
+    marks = [f"_in{i}" for i in range(len(frames))]
+    marked = [
+        frame.select(key).withColumn(mark, F.lit(True)) for frame, mark in zip(frames, marks)
+    ]
+    gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    gathered = gathered.filter(F.col(key).isNotNull())
+    joined = gathered.groupBy(key).agg(*[F.max(mark).alias(mark) for mark in marks])
+    keys = joined.select(key)
+    for frame, mark in zip(frames, marks):
+        joined = fan_out_join(joined, frame, key, present=mark, keys=keys)
+    return joined.drop(*marks)

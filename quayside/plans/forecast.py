@@ -57,4 +57,4 @@ def unit_plan(weeks: DataFrame, as_of: date, back: int = 2, fwd: int = 2) -> Dat
     """Planned units, category by week, with totals. Weeks without rows stay empty."""
     text = weeks.withColumn("week", F.date_format("delivery_week", "yyyy-MM-dd"))
     names = [w.isoformat() for w in weeks_in_window(as_of, back, fwd)]
-    return margins_pivot(text, "category", "week", names, F.sum("total_units"))
+    return margins_pivot(text, "category", "week", names, "total_units")

@@ -251,7 +251,7 @@ STATUSES = ("Cancel PO", "Draft PO", "Placed")
 FROM po_lines WHERE status IS NOT NULL GROUP BY ROLLUP (contact)""",
 )
 def with_margins(t: Tables) -> DataFrame:
-    return margins_pivot(t.po_lines, "contact", "status", STATUSES, F.sum("bp_qty"))
+    return margins_pivot(t.po_lines, "contact", "status", STATUSES, "bp_qty")
 
 
 @query(
@@ -294,7 +294,7 @@ def distinct_pairs(t: Tables) -> DataFrame:
 
 @query(
     "agg_19",
-    """SELECT contact, CASE WHEN n = 0 THEN NULL ELSE 1.0 END AS n, round(r / n, 6) AS with_ref, round(s / n, 6) AS with_status
+    """SELECT contact, CASE WHEN n = 0 THEN NULL ELSE CAST(1 AS DOUBLE) END AS n, round(r / n, 6) AS with_ref, round(s / n, 6) AS with_status
 FROM (SELECT contact, CAST(count(*) AS DOUBLE) AS n, count(ref) AS r, count(status) AS s FROM po_lines GROUP BY contact)""",
 )
 def scaled(t: Tables) -> DataFrame:

@@ -43,7 +43,7 @@ from quayside.operators.dedupe import (
     nulls_last,
     reduce_partial_deliveries,
 )
-from quayside.operators.joins import fan_out_join, left_join, outer_join_filled
+from quayside.operators.joins import fan_out_join, left_join, outer_join_filled, right_join
 from quayside.operators.predicates import (
     DELETED,
     DRAFT,
@@ -606,7 +606,7 @@ FROM inventory i LEFT JOIN po_items p ON p.simple_sku = i.simple_sku""",
 def items_right_inventory(t: Tables) -> DataFrame:
     items = t.po_items.select("simple_sku", "purchase_order_number")
     stock = t.inventory.select("simple_sku", "inv_date", "qc_bad_qty")
-    return items.join(stock, "simple_sku", "right").select(
+    return right_join(items, stock, "simple_sku").select(
         "simple_sku", "inv_date", "qc_bad_qty", "purchase_order_number"
     )
 
@@ -743,7 +743,7 @@ def repeats(t: Tables) -> DataFrame:
 
 
 WIN_04_SQL = f"""
-SELECT sku, pos, ref, status, CASE WHEN NOT blanked AND rn = 1 THEN bp_qty END AS bp_qty
+SELECT sku, pos, ref, status, CASE WHEN blanked OR rn = 1 THEN bp_qty END AS bp_qty
 FROM (SELECT *, row_number() OVER (PARTITION BY sku, blanked ORDER BY pos, ref, status) AS rn
   FROM (SELECT *, regexp_matches(ref, '{BLANK}') AS blanked FROM bp))
 WHERE blanked OR rn = 1 OR status <> 'Draft PO'"""
