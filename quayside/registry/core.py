@@ -124,7 +124,7 @@ FROM (
     ELSE 1 END AS row_class
   FROM (
     SELECT *, coalesce(regexp_matches(ref, '{BLANK}'), false) AS is_sample,
-      coalesce(regexp_matches(ref, '{BLANK}'), false) OR procurement_status = 'Deleted' AS is_blanked
+      coalesce(regexp_matches(ref, '{BLANK}'), false) OR procurement_status IS NOT DISTINCT FROM 'Deleted' AS is_blanked
     FROM (
       SELECT * FROM planned
       WHERE gl_year * 12 + gl_month BETWEEN {centre - back} AND {centre + fwd} AND total_cost > 0
@@ -167,20 +167,26 @@ SELECT *, row_number() OVER (PARTITION BY pos ORDER BY last_qced ASC NULLS LAST,
 FROM (SELECT * FROM vis_po QUALIFY row_number() OVER (PARTITION BY pos, last_qced ORDER BY {FRAME}) = 1)"""
 
 
-def _needed(sql: str, found: list[str]) -> None:
-    names = {**{k: v[1] for k, v in VIEWS.items()}, **PARTS}
-    for name, text in names.items():
-        if name not in found and re.search(rf"\b{name}\b", sql):
-            _needed(text, found)
+def _texts() -> dict[str, str]:
+    return {**{name: text for name, (_, text) in VIEWS.items()}, **PARTS}
+
+
+def _needed(sql: str, found: list[str], given: frozenset[str]) -> None:
+    for name, text in _texts().items():
+        if name not in found and name not in given and re.search(rf"\b{name}\b", sql):
+            _needed(text, found, given)
             found.append(name)
 
 
-def check_sql(sql: str) -> str:
-    """Prefix the views and parts that a checking query names, in dependency order."""
+def check_sql(sql: str, given: frozenset[str] = frozenset()) -> str:
+    """Prefix the views and parts that a checking query names, in dependency order.
+
+    Names in `given` exist as tables already.
+    """
     names: list[str] = []
-    _needed(sql, names)
+    _needed(sql, names, given)
     if not names:
         return sql.strip()
-    texts = {**{k: v[1] for k, v in VIEWS.items()}, **PARTS}
+    texts = _texts()
     blocks = ",\n".join(f"{n} AS ({texts[n].strip()})" for n in names)
     return f"WITH {blocks}\n{sql.strip()}"
