@@ -13,7 +13,16 @@ _ITEM = (
     "WHEN l_partkey % 9 = 0 AND l_partkey % 4 <> 0 THEN concat('E', CAST(l_partkey AS STRING)) "
     "ELSE concat('P', CAST(l_partkey AS STRING)) END"
 )
-_TWICE = "(SELECT 0 AS v UNION ALL SELECT 1 AS v) vs"
+
+
+def _repeated(table: str, condition: str) -> str:
+    """All rows as version 0, and those that fit the condition once more as version 1."""
+    return (
+        f"(SELECT *, 0 AS v FROM {table} UNION ALL "
+        f"SELECT *, 1 AS v FROM {table} WHERE {condition}) versions"
+    )
+
+
 _SAMPLE = "lpad(CAST(CAST(floor(event_id / 6) AS BIGINT) * 4 AS STRING), 6, '0')"
 
 # View name -> (driver table, SQL).
@@ -41,8 +50,7 @@ FROM (
     CAST((p_partkey % 240 + 4) % 7 + 1 AS INT) AS gl_day,
     DATE '1996-11-01' + CAST(p_partkey % 240 AS INT) AS gl_date,
     CASE WHEN p_partkey % 3 <> 0 THEN DATE '1996-11-03' + CAST(p_partkey % 240 AS INT) END AS live_date
-  FROM part CROSS JOIN {_TWICE}
-  WHERE v = 0 OR p_partkey % 8 = 0
+  FROM {_repeated("part", "p_partkey % 8 = 0")}
 ) t""",
     ),
     "po_lines": (
@@ -72,8 +80,7 @@ SELECT o_orderkey * 2 + v AS seq,
   CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) + CAST(26 + o_orderkey % 7 + v AS INT) AS STRING) END AS date_booked,
   CASE WHEN v = 1 THEN 'Yes' ELSE 'No' END AS partial_delivery,
   CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) + CAST(24 + o_orderkey % 13 + 3 * v AS INT) AS STRING) END AS date_received
-FROM orders CROSS JOIN {_TWICE}
-WHERE v = 0 OR o_orderkey % 9 = 0""",
+FROM {_repeated("orders", "o_orderkey % 9 = 0")}""",
     ),
     "qc_counts": (
         "lineitem",
@@ -134,8 +141,8 @@ FROM orders""",
 SELECT event_id * 2 + v AS seq, CAST(event_id % 6 AS INT) + 1 AS stage,
   CASE WHEN event_id % 12 < 6 THEN concat('C', {_SAMPLE}, 'xl00') ELSE concat('C', {_SAMPLE}) END AS sku,
   CAST(ts AS DATE) + CAST(v AS INT) AS scan_date
-FROM events CROSS JOIN {_TWICE}
-WHERE event_type <> 'error' AND (v = 0 OR event_id % 60 = 0 OR event_id % 90 = 1)""",
+FROM {_repeated("events", "event_id % 60 = 0 OR event_id % 90 = 1")}
+WHERE event_type <> 'error'""",
     ),
     "sample_track": (
         "events",
