@@ -31,17 +31,18 @@ def iso_week_day(d: Column | str, day: int = 3) -> Column:
     return F.date_add(F.trunc(as_col(d), "week"), day - 1)
 
 
-def _workdays_since_epoch(d: Column) -> Column:
-    n = F.datediff(d, F.lit(_MONDAY))
+def _workdays_before(n: Column) -> Column:
+    """Weekdays among the first `n` days that follow a Monday."""
     return F.floor(n / F.lit(7)) * 5 + F.least(F.pmod(n, F.lit(7)), F.lit(5))
 
 
 def busdays(start: Column | str, end: Column | str) -> Column:
     """Weekdays in [start, end); negative when end precedes start; NULL without an end."""
-    a, b = F.to_date(as_col(start)), F.to_date(as_col(end))
-    forward = _workdays_since_epoch(b) - _workdays_since_epoch(a)
-    backward = _workdays_since_epoch(F.date_add(b, 1)) - _workdays_since_epoch(F.date_add(a, 1))
-    return F.when(b >= a, forward).otherwise(backward)
+    a = F.datediff(F.to_date(as_col(start)), F.lit(_MONDAY))
+    b = F.datediff(F.to_date(as_col(end)), F.lit(_MONDAY))
+    # Counted backwards, the interval is open at the other end: shift it by a day.
+    shift = F.when(b < a, F.lit(1)).otherwise(F.lit(0))
+    return _workdays_before(b + shift) - _workdays_before(a + shift)
 
 
 def next_business_day(d: Column | str) -> Column:

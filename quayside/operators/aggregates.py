@@ -62,26 +62,43 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, interpolated quantiles, maximum.
 
-    With `total`, the sum as well. Quantiles are exact and keep one counter per distinct
-    value of a group, which suits day counts and prices. For free-running doubles in
-    very large groups, `accuracy` asks for approximate ones instead.
+    With `total`, the sum as well. Equal values are counted first, so that the exact
+    quantiles of a group are taken over its distinct values, however many rows share
+    them. Where even the distinct values of a group are too many for one task (free
+    doubles), `accuracy` asks for approximate quantiles of the rows instead.
     """
-    col = F.col(c)
+    if keys:
+        df = df.dropna(subset=list(keys))
     at = list(quantiles.values())
-    points = F.percentile(col, at) if accuracy is None else F.percentile_approx(col, at, accuracy)
-    measures = [
-        F.count(col).alias("n"),
-        F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"),
-        F.min(col).cast("double").alias("min"),
-        points.alias("_q"),
-        F.max(col).cast("double").alias("max"),
-    ]
-    totals = [total] if total else []
-    measures += [F.sum(col).cast("double").alias(name) for name in totals]
-    stats = group_agg(df, keys, *measures) if keys else df.agg(*measures)
-    named = [F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
-    return stats.select(*keys, "n", "mean", "std", "min", *named, "max", *totals)
+    if accuracy is None:
+        df = df.groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_rows"))
+        weight = F.col("_rows")
+        points = F.percentile(F.col(c), at, weight)
+    else:
+        weight = F.lit(1)
+        points = F.percentile_approx(F.col(c), at, accuracy)
+    value = F.col(c).cast("double")
+    sums = df.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0)).cast("long").alias("n"),
+        F.sum(value * weight).alias("_sum"),
+        F.sum(value * value * weight).alias("_squares"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        points.alias("_points"),
+    )
+    mean = ratio("_sum", "n")
+    spread = F.greatest(F.col("_squares") - F.col("_sum") * mean, F.lit(0.0))
+    named = [F.get("_points", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
+    return sums.select(
+        *keys,
+        "n",
+        mean.alias("mean"),
+        F.sqrt(ratio(spread, F.col("n") - 1)).alias("std"),
+        "min",
+        *named,
+        "max",
+        *([F.col("_sum").alias(total)] if total else []),
+    )
 
 
 def unstack(

@@ -163,15 +163,16 @@ def item_facts(damages: DataFrame, stock: DataFrame) -> DataFrame:
     )
 
 
-def item_lines(po_lines: DataFrame, blank: str) -> DataFrame:
+def item_lines(groups: DataFrame, blank: str) -> DataFrame:
     """Per item with PO lines: the first saleable one, if any.
 
-    Taken from raw lines: the smallest of a set does not change by grouping it first.
+    The mark is taken from the quantity, although any column would do: with the same
+    columns as the other use of the groups, Spark computes and shuffles them once.
     """
-    lines = po_lines.filter(not_cancelled("status")).dropna(subset=["sku", "pos", "ref"])
     saleable = F.when(~matches("ref", blank), _line_position())
-    return lines.groupBy("sku").agg(
-        F.min(saleable).alias("first_line"), F.lit(True).alias("has_lines")
+    return groups.groupBy("sku").agg(
+        F.min(saleable).alias("first_line"),
+        F.max(F.coalesce("bp_qty", F.lit(0))).isNotNull().alias("has_lines"),
     )
 
 
@@ -208,7 +209,7 @@ def inbound_data(
 
     plan = planned_items(sources.plan, as_of, back, fwd)
     plan = left_join(plan, item_facts(sources.damages, sources.stock), "sku")
-    plan = left_join(plan, item_lines(sources.po_lines, blank), "sku")
+    plan = left_join(plan, item_lines(groups, blank), "sku")
     deleted = F.coalesce(F.col("procurement_status") == DELETED, F.lit(False))
     # The plan holds at most one row per item and month, so this window is small.
     by_item = Window.partitionBy("sku").orderBy("_deleted", "seq")

@@ -26,8 +26,8 @@ def returns(shipments: DataFrame) -> DataFrame:
     rows = shipments.withColumn("type", prefix("shipment_id", 3)).filter(
         F.col("type").isin(*RETURN_TYPES)
     )
-    delay = busdays("poh_date", "pod_date")
-    return rows.withColumn("delay", F.when(delay >= 0, delay))
+    rows = rows.withColumn("delay", busdays("poh_date", "pod_date"))
+    return rows.withColumn("delay", F.when(F.col("delay") >= 0, F.col("delay")))
 
 
 def courier_returns(shipments: DataFrame) -> DataFrame:
@@ -65,19 +65,19 @@ def sla_rows(shipments: DataFrame) -> DataFrame:
 
 
 def collected_by_zone(rows: DataFrame) -> DataFrame:
-    return describe(rows.filter(F.col("delay").isNotNull()), ["sla_zone"], "delay", DECILE_NAMES)
+    """Statistics skip open returns by themselves, so only groups are filtered."""
+    return describe(rows, ["sla_zone"], "delay", DECILE_NAMES).filter("n > 0")
 
 
 def not_collected_by_zone(rows: DataFrame) -> DataFrame:
-    open_rows = rows.filter(F.col("delay").isNull())
-    return group_agg(open_rows, ["sla_zone"], F.count(F.lit(1)).alias("n"))
+    open_rows = F.count_if(F.col("delay").isNull()).alias("n")
+    return group_agg(rows, ["sla_zone"], open_rows).filter("n > 0")
 
 
 def collected_by_month(rows: DataFrame) -> DataFrame:
     """Statistics per zone as rows, months as columns."""
-    stats = describe(
-        rows.filter(F.col("delay").isNotNull()), ["sla_zone", "month"], "delay", DECILE_NAMES
-    ).withColumn("n", F.col("n").cast("double"))
+    stats = describe(rows, ["sla_zone", "month"], "delay", DECILE_NAMES).filter("n > 0")
+    stats = stats.withColumn("n", F.col("n").cast("double"))
     names = ["n", "mean", "std", "min", *DECILE_NAMES, "max"]
     long = columns_to_rows(stats, ["sla_zone", "month"], names, "statistic", "value")
     wide = long.groupBy("sla_zone", "statistic").pivot("month", list(MONTHS)).agg(
@@ -87,8 +87,9 @@ def collected_by_month(rows: DataFrame) -> DataFrame:
 
 
 def not_collected_by_month(rows: DataFrame) -> DataFrame:
-    open_rows = rows.filter(F.col("delay").isNull())
-    return _month_names(unstack(open_rows, ["sla_zone"], "month", MONTHS, F.count(F.lit(1))))
+    open_rows = F.nullif(F.count_if(F.col("delay").isNull()), F.lit(0))
+    wide = unstack(rows, ["sla_zone"], "month", MONTHS, open_rows)
+    return _month_names(wide.dropna(how="all", subset=[str(m) for m in MONTHS]))
 
 
 def _month_names(wide: DataFrame) -> DataFrame:
