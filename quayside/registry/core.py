@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.plans import inbound as inbound_plan
+from quayside.session import scratch_path
 from quayside.sources.adapters import VIEWS, Tables
+from quayside.sources.sinks import materialize
 
 AS_OF = date(1997, 3, 15)
 BOOKING_DAY = date(1996, 9, 27)
@@ -63,8 +65,20 @@ def inbound_sources(t: Tables) -> inbound_plan.InboundSources:
     )
 
 
+# Set to a dict to write the inbound table once per input and window and let every report
+# of the session read it, as a nightly run would. Unset, each query computes its own.
+shared: dict[tuple[str, int, int], DataFrame] | None = None
+
+
 def inbound(t: Tables, back: int = 3, fwd: int = 1) -> DataFrame:
-    return inbound_plan.inbound_data(inbound_sources(t), AS_OF, back, fwd)
+    key = (t.sf_dir, back, fwd)
+    if shared is not None and key in shared:
+        return shared[key]
+    table = inbound_plan.inbound_data(inbound_sources(t), AS_OF, back, fwd)
+    if shared is not None:
+        shared[key] = materialize(table, scratch_path(t.spark, "inbound"))
+        return shared[key]
+    return table
 
 
 # Checking SQL for intermediate tables, by name. A name may use views and other names.

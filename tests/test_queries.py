@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from quayside.registry import QUERIES
+from quayside.registry import QUERIES, core
 from tests.compare import connect, differences
 from tests.helpers import plan_text
 
@@ -22,6 +22,19 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_inbound_table():
+    """The reports share one written inbound table; its own plan is checked below."""
+    core.shared = {}
+    yield
+    core.shared = None
+
+
+def executed_text(df):
+    df.collect()
+    return plan_text(df)
+
+
 def test_every_inventory_key_is_registered():
     expected = {f"{s}_{i:02d}" for s, n in SECTIONS.items() for i in range(1, n + 1)}
     expected |= {f"agg_{i:02d}" for i in range(1, 22) if i != 5} | {f"agg_05{c}" for c in "abcd"}
@@ -50,8 +63,12 @@ def test_query(spark, con, sf_dir, name):
     assert not [node for node in FORBIDDEN if node in text]
 
 
-def test_entry_has_rows(spark):
+def test_entry_is_whole_and_jvm_only(spark):
+    core.shared = None
     df = entry.entry(spark)
+    text = plan_text(df)
+    assert not [node for node in FORBIDDEN if node in text]
+    assert "ReusedExchange" in text or "Reused" in executed_text(df)
     assert df.count() > 0 and len(df.columns) == 35
 
 
