@@ -55,7 +55,6 @@ def fan_out_join(
     facts: DataFrame,
     key: str,
     present: str | None = None,
-    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of `dims` with many `facts` per key, of which one key may hold most.
 
@@ -64,15 +63,14 @@ def fan_out_join(
     both sides may be split; the stub of a key that has facts is dropped afterwards.
     Missing keys match nothing and keep their row.
 
-    `present` names a column of `dims` that is set where the key has facts, and `keys`
-    holds the keys of `dims` once each; what is not given is worked out.
+    `present` names a column of `dims` that is set where the key has facts; without it
+    one is made.
     """
     if present is None:
         present = "_present"
         known = facts.filter(F.col(key).isNotNull()).select(key).distinct()
         dims = dims.join(known.withColumn(present, F.lit(True)), key, "left")
-    stubs = dims.select(key).distinct() if keys is None else keys
-    stubs = stubs.withColumn("_stub", F.lit(True))
+    stubs = dims.select(key).distinct().withColumn("_stub", F.lit(True))
     many = facts.filter(F.col(key).isNotNull()).unionByName(stubs, allowMissingColumns=True)
     many = many.withColumnRenamed(key, "_fact_key")
     joined = many.join(dims, F.col("_fact_key").eqNullSafe(F.col(key)), "inner")
@@ -83,19 +81,18 @@ def fan_out_join(
 def outer_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """Full outer join of many frames on one key; several matches fan out.
 
-    Spark neither splits a skewed full outer join nor keeps its partitioning. So the
-    keys of all frames are gathered first, each with a mark per frame that has it, and
-    the frames are attached one by one with splittable joins. Rows without a key are
-    dropped.
+    Spark can neither split a skewed full outer join nor keep its partitioning. So each
+    frame is first padded with an empty row for every key that only others have; then
+    inner joins do, which share one partitioning and which a hot key may split (with
+    `spark.sql.adaptive.forceOptimizeSkewedJoin`, as it costs a shuffle in a chain).
+    Rows without a key are dropped.
     """
-    marks = [f"_in{i}" for i in range(len(frames))]
-    marked = [
-        frame.select(key).withColumn(mark, F.lit(True)) for frame, mark in zip(frames, marks)
-    ]
-    gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-    gathered = gathered.filter(F.col(key).isNotNull())
-    joined = gathered.groupBy(key).agg(*[F.max(mark).alias(mark) for mark in marks])
-    keys = joined.select(key)
-    for frame, mark in zip(frames, marks):
-        joined = fan_out_join(joined, frame, key, present=mark, keys=keys)
-    return joined.drop(*marks)
+    frames = [frame.filter(F.col(key).isNotNull()) for frame in frames]
+    marked = [frame.select(key, F.lit(1 << i).alias("_in")) for i, frame in enumerate(frames)]
+    # One mask for all frames, so that every use of it shares one shuffle.
+    masks = reduce(DataFrame.unionByName, marked).groupBy(key).agg(F.bit_or("_in").alias("_in"))
+    padded = []
+    for i, frame in enumerate(frames):
+        absent = masks.filter(F.col("_in").bitwiseAND(F.lit(1 << i)) == 0).select(key)
+        padded.append(frame.unionByName(absent, allowMissingColumns=True))
+    return reduce(lambda a, b: a.join(b, key), padded)

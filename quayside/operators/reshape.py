@@ -14,12 +14,14 @@ def explode_pieces(df: DataFrame, c: str, pieces: Column, position: str = "piece
     return df.select(*others, F.posexplode_outer(pieces).alias(position, c))
 
 
-def stage_pairs(history: DataFrame, key: str, stages: Sequence[str]) -> dict[str, DataFrame]:
-    """Distinct, complete (key, stage value) pairs of a wide history, per stage."""
-    return {s: history.select(key, s).dropna().distinct() for s in stages}
-
-
 def columns_to_rows(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str
 ) -> DataFrame:
     return df.unpivot(list(keys), list(columns), name, value)
+
+
+def stage_pairs(
+    history: DataFrame, key: str, stages: Sequence[str], name: str = "stage", value: str = "time"
+) -> DataFrame:
+    """Distinct, complete (key, stage, value) triples of a wide history, in one pass."""
+    return columns_to_rows(history, [key], stages, name, value).dropna().distinct()

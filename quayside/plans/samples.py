@@ -13,7 +13,6 @@ from quayside.operators.aggregates import group_agg, present_counts
 from quayside.operators.dedupe import keep_last
 from quayside.operators.joins import left_join, outer_chain
 from quayside.operators.predicates import month_window
-from quayside.operators.reshape import stage_pairs
 from quayside.operators.setops import stack
 from quayside.operators.sorting import sort_keys
 from quayside.sources.schemas import SAMPLE_STAGES
@@ -57,10 +56,9 @@ def stage_tables(
     history: DataFrame, scans: Mapping[str, DataFrame], shift: date
 ) -> list[DataFrame]:
     """Per stage: known (item, time) pairs of the history, plus new scans stamped now."""
-    known = stage_pairs(history, "sku", SAMPLE_STAGES)
     tables = []
     for stage in SAMPLE_STAGES:
-        frames = [known[stage]]
+        frames = [history.select("sku", stage).dropna().distinct()]
         if stage in scans:
             new = scans[stage].select(fold_code("sku").alias("sku"), F.lit(shift).alias(stage))
             frames.append(new)
@@ -81,7 +79,17 @@ def stage_chain(tables: list[DataFrame], latest_per_stage: bool = False) -> Data
     return outer_chain(tables, "sku")
 
 
-def last_stages(tables: list[DataFrame]) -> DataFrame:
+def stage_rows(history: DataFrame, scans: DataFrame, shift: date) -> DataFrame:
+    """History and new scans, given as (sku, number of the stage), as rows of one shape."""
+    stamped = [
+        F.when(F.col("stage") == i, F.lit(shift)).alias(s)
+        for i, s in enumerate(SAMPLE_STAGES, 1)
+    ]
+    new = scans.select(fold_code("sku").alias("sku"), *stamped)
+    return stack([history.select("sku", *SAMPLE_STAGES), new])
+
+
+def last_stages(rows: DataFrame) -> DataFrame:
     """The last combination per (config, first stage), without building combinations.
 
     Of the combinations of an item with one first-stage time, the last holds the latest
@@ -89,10 +97,11 @@ def last_stages(tables: list[DataFrame]) -> DataFrame:
     with the distinct first-stage times, replaces the chain.
     """
     first, others = SAMPLE_STAGES[0], SAMPLE_STAGES[1:]
-    latest = stack(tables[1:]).groupBy("sku").agg(*[F.max(s).alias(s) for s in others])
-    rows = tables[0].distinct().join(latest, "sku", "full")
-    rows = rows.withColumn("config_sku", config_code("sku"))
-    return keep_last(rows, ["config_sku", first], ["sku", *others]).select(
+    scanned = rows.dropna(subset=["sku"]).dropna(how="all", subset=list(SAMPLE_STAGES))
+    latest = scanned.groupBy("sku").agg(*[F.max(s).alias(s) for s in others])
+    times = scanned.select("sku", first).dropna().distinct()
+    last = latest.join(times, "sku", "left").withColumn("config_sku", config_code("sku"))
+    return keep_last(last, ["config_sku", first], ["sku", *others]).select(
         "config_sku", "sku", *SAMPLE_STAGES
     )
 

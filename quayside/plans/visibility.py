@@ -238,8 +238,13 @@ def po_summary_per_buyer(with_sample_count: DataFrame) -> DataFrame:
     return go_live_orders(with_sample_count, ("buyer", "gl_month", "gl_day"))
 
 
-def go_live_track(inbound: DataFrame, by: str) -> DataFrame:
-    """Status funnel over the first row of each config, by `gl_week` or `gl_month`."""
+def go_live_track(inbound: DataFrame) -> DataFrame:
+    """Status funnel over the first row of each config, by go-live week and by month.
+
+    Both tabs come from one pass: each config counts once in either.
+    """
     configs = keep_first(inbound, ["config_sku"], frame_order())
-    weekly = configs.withColumn("gl_week", iso_week_day("gl_date"))
-    return group_agg(weekly, [by], *present_counts(FUNNEL))
+    week = F.struct(F.lit("week").alias("tab"), iso_week_day("gl_date").cast("string").alias("period"))
+    month = F.struct(F.lit("month").alias("tab"), F.col("gl_month").cast("string").alias("period"))
+    both = configs.withColumn("slot", F.explode(F.array(week, month))).select("*", "slot.*")
+    return group_agg(both, ["tab", "period"], *present_counts(FUNNEL))

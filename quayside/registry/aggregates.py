@@ -22,7 +22,6 @@ from quayside.operators.aggregates import (
     waterfall,
 )
 from quayside.operators.reshape import stage_pairs
-from quayside.operators.setops import stack
 from quayside.plans import inbound as inbound_plan
 from quayside.plans.scans import plan_categories, scan_counts
 from quayside.plans.visibility import FUNNEL
@@ -283,13 +282,7 @@ def whole_rows(t: Tables) -> DataFrame:
 )
 def distinct_pairs(t: Tables) -> DataFrame:
     wide = t.stage_scans.selectExpr("sku", *STAGE_ROW.split(", "))
-    pairs = stage_pairs(wide, "sku", SAMPLE_STAGES)
-    return stack(
-        [
-            df.select(F.lit(s).alias("stage"), "sku", F.col(s).alias("scan_date"))
-            for s, df in pairs.items()
-        ]
-    )
+    return stage_pairs(wide, "sku", SAMPLE_STAGES, value="scan_date")
 
 
 @query(

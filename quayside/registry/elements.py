@@ -624,21 +624,15 @@ def damages_and_surplus(t: Tables) -> DataFrame:
     return rows.select("sku", "reason", "damaged", "oversupply")
 
 
-def stage_sources(t: Tables) -> list[DataFrame]:
-    """History up to the scan day as wide rows, and later scans, stamped with the shift."""
-    scans = t.stage_scans
-    wide = scans.filter(F.col("scan_date") < F.lit(SCAN_DAY)).select(
-        "sku",
-        *[
-            F.when(F.col("stage") == i, F.col("scan_date")).alias(s)
-            for i, s in enumerate(SAMPLE_STAGES, 1)
-        ],
-    )
-    new = {
-        s: scans.filter((F.col("stage") == i) & (F.col("scan_date") >= F.lit(SCAN_DAY)))
+def stage_history(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """History up to the scan day as wide rows, and the scans since."""
+    before = F.col("scan_date") < F.lit(SCAN_DAY)
+    stages = [
+        F.when(F.col("stage") == i, F.col("scan_date")).alias(s)
         for i, s in enumerate(SAMPLE_STAGES, 1)
-    }
-    return samples_plan.stage_tables(wide, new, SHIFT)
+    ]
+    scans = t.stage_scans
+    return scans.filter(before).select("sku", *stages), scans.filter(~before)
 
 
 def stage_sql(i: int) -> str:
@@ -656,7 +650,9 @@ STAGES = ", ".join(SAMPLE_STAGES)
 
 @query("jn_05", f"SELECT sku, {STAGES} FROM {STAGE_JOINS}")
 def six_stages(t: Tables) -> DataFrame:
-    return samples_plan.stage_chain(stage_sources(t))
+    history, new = stage_history(t)
+    sheets = {s: new.filter(F.col("stage") == i) for i, s in enumerate(SAMPLE_STAGES, 1)}
+    return samples_plan.stage_chain(samples_plan.stage_tables(history, sheets, SHIFT))
 
 
 @query(

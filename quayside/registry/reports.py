@@ -29,7 +29,7 @@ from quayside.registry.elements import (
     STAGES,
     ZONE_SQL,
     ZONED_SQL,
-    stage_sources,
+    stage_history,
 )
 from quayside.sources.adapters import Tables
 from quayside.sources.schemas import SAMPLE_STAGES
@@ -272,15 +272,7 @@ UNION ALL SELECT 'month', CAST(gl_month AS VARCHAR), {FUNNEL_SQL} FROM {GL_FIRST
 )
 def go_live(t: Tables) -> DataFrame:
     rows = inbound(t, back=AS_OF.month - 2, fwd=6 - AS_OF.month)
-    tabs = {"week": "gl_week", "month": "gl_month"}
-    frames = [
-        visibility.go_live_track(rows, by)
-        .withColumn("period", F.col(by).cast("string"))
-        .withColumn("tab", F.lit(tab))
-        .drop(by)
-        for tab, by in tabs.items()
-    ]
-    return frames[0].unionByName(frames[1])
+    return visibility.go_live_track(rows)
 
 
 # --- bookings --------------------------------------------------------------------
@@ -395,7 +387,7 @@ def inventory_checks(t: Tables) -> DataFrame:
 
 def trail(t: Tables, checks: DataFrame, with_qc_count: bool = False) -> DataFrame:
     plan = samples.sample_plan(t.plan_items, checks, AS_OF)
-    stages = samples.last_stages(stage_sources(t))
+    stages = samples.last_stages(samples.stage_rows(*stage_history(t), SHIFT))
     return samples.sample_trail(plan, stages, with_qc_count)
 
 

@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.operators.setops import stack
 from quayside.plans import samples, visibility
 from quayside.plans.inbound import (
     InboundSources,
@@ -267,6 +268,6 @@ def test_last_stages_equal_the_chain(spark, seed):
         SELECT *, CASE WHEN length(sku) = 11 THEN left(sku, 7) ELSE sku END AS config_sku FROM {chain})
         QUALIFY row_number() OVER (PARTITION BY config_sku, {SAMPLE_STAGES[0]} ORDER BY sku DESC, {falling}) = 1"""
     )
-    assert bag_of(samples.last_stages(tables)) == rows_of([d[0] for d in found.description], found.fetchall())
+    assert bag_of(samples.last_stages(stack(tables))) == rows_of([d[0] for d in found.description], found.fetchall())
     one = samples.stage_chain(tables, latest_per_stage=True)
     assert one.groupBy("sku").count().filter(F.col("count") > 1).count() == 0

@@ -99,19 +99,29 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_a_hot_key_is_split_at_run_time(spark, skewed_conf, how):
     facts, dims = skewed(spark)
-    plain = facts.join(dims, "k", how)
-    run(plain)
-    assert "skew=true" not in plan_text(plain)
     df = skew_join(facts, dims, "k", how)
     assert run(df) == 60_000
     assert "skew=true" in plan_text(df)
 
 
+def test_a_hot_key_in_a_chain_is_split(spark, skewed_conf):
+    facts, _ = skewed(spark)
+    others = [
+        spark.range(0, 60_000, 7 + i, 8).select(F.col("id").cast("string").alias("k"), F.lit(i).alias(f"w{i}"))
+        for i in range(2)
+    ]
+    expected = facts.select("k").unionByName(others[0].select("k")).unionByName(others[1].select("k"))
+    only_others = expected.distinct().join(facts, "k", "left_anti").count()
+    df = outer_chain([facts, *others], "k")
+    assert run(df) == 60_000 + only_others
+    assert "skew=true" in plan_text(df)
+
+
 def test_a_hot_key_on_the_right_is_split(spark, skewed_conf):
     facts, dims = skewed(spark)
     plain = dims.join(facts, "k", "left")
     run(plain)
-    assert "skew=true" not in plan_text(plain)
+    assert "skew=true" not in plan_text(plain)  # a left join is never split on its right
     df = fan_out_join(dims, facts, "k")
     assert run(df) == 60_000
     assert "skew=true" in plan_text(df)
