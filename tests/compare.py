@@ -1,6 +1,8 @@
 """Run registered queries against their checking SQL in DuckDB and compare whole results.
 
     python tests/compare.py /root/testdata/sf0.01 [name ...]
+
+With SHARE_INBOUND=1 the reports read one written inbound table, which is quicker.
 """
 
 from __future__ import annotations
@@ -74,13 +76,20 @@ def differences(spark, con, name, query, sql, sf_dir) -> list[str]:
 
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
+    from quayside.registry import core
     from quayside.session import build_session
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
-                          spark__driver__memory="16g", spark__ui__showConsoleProgress="false")
+    spark = build_session(
+        master="local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="16g",
+        spark__ui__showConsoleProgress="false",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
+    if os.environ.get("SHARE_INBOUND"):
+        core.shared = {}
     sqls, bad = oracle_sql(), 0
     for name, query in queries().items():
         if wanted and not any(name.startswith(w) for w in wanted):
