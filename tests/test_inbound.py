@@ -25,7 +25,7 @@ from quayside.registry.core import AS_OF, check_sql, inbound_sources
 from quayside.sources.adapters import VIEWS
 from quayside.sources.schemas import SAMPLE_STAGES
 from tests.compare import rows_of
-from tests.helpers import rows
+from tests.helpers import plan_text, rows
 
 SKUS = ["P1", "P2", "P3", "E2", "B1", "P9", None]
 POS = ["1", "2", "3", "44", "", None]
@@ -238,6 +238,52 @@ def test_two_due_dates_give_two_rows_but_one_measure(spark):
     assert got == [(None, None, None, 2, 2, None), (day, 7, 9, 2, 2, None)]
 
 
+def test_a_hot_item_and_a_hot_order_are_split(spark, skewed_conf):
+    """A third of the lines on one item, a third on one PO: both joins get split."""
+    ids = spark.range(0, 60_000, 1, 8)
+    third = F.col("id") % 3
+    lines = ids.select(
+        F.when(third == 0, F.lit("P1")).otherwise(F.concat(F.lit("P"), F.col("id") % 500)).alias("sku"),
+        F.when(third == 1, F.lit("7")).otherwise((F.col("id") % 9000).cast("string")).alias("pos"),
+        F.concat(F.lit("r"), (F.col("id") / 60).cast("int")).alias("ref"),
+        F.lit("Placed").alias("status"),
+        F.lit(1).cast("long").alias("bp_qty"),
+    )
+    day = F.lit(dt.date(1997, 3, 1))
+    text = lambda name: F.lit("x").alias(name)
+    plan = spark.range(500).select(
+        F.col("id").alias("seq"), F.concat(F.lit("P"), "id").alias("simple_sku"), text("simple_name"),
+        F.lit(None).cast("string").alias("barcode"), F.lit("").alias("ean"), text("config_sku"),
+        text("config_name"), text("category"), text("buyer"), text("supplier"), text("designer"),
+        F.lit(1.0).alias("unit_cost"), F.lit(3).cast("long").alias("total_units"), F.lit(3.0).alias("total_cost"),
+        F.lit("Approved").alias("procurement_status"), F.lit(6).alias("gl_day"), day.alias("gl_date"),
+        F.lit(3).alias("gl_month"), F.lit(1997).alias("gl_year"), day.alias("live_date"),
+    )
+    orders = spark.range(9000).select(F.col("id"), F.col("id").cast("string").alias("pos"))
+    sources = InboundSources(
+        plan=plan,
+        po_lines=lines,
+        po_header=orders.select(F.concat(F.lit("PO#"), "pos").alias("order_id_raw"), day.alias("delivery_due")),
+        dock_log=orders.select(
+            F.col("id").alias("seq"), "pos", F.lit("1997-02-01").alias("date_booked"),
+            F.lit("No").alias("partial_delivery"), F.lit("1997-02-02").alias("date_received"),
+        ),
+        qc=lines.limit(10).select("pos", "sku", F.lit(1).cast("long").alias("qty_counted"), day.alias("qc_date")),
+        damages=plan.select(F.col("simple_sku").alias("sku")),
+        received=orders.limit(10).select(
+            F.col("pos").alias("message_reference"), F.lit("P1").alias("item_code"),
+            F.lit(1).cast("long").alias("quantity_received"), day.alias("received_date"),
+        ),
+        stock=plan.select(F.col("simple_sku").alias("item_code"), F.lit(1).cast("long").alias("qty")),
+    )
+    out = inbound_data(sources, AS_OF)
+    found = out.collect()
+    groups = lines.select("sku", "pos", "ref").distinct().count()
+    assert len(found) == groups + 500 - lines.select("sku").distinct().count()
+    assert sum(r["total_units"] or 0 for r in found) == 500 * 3
+    assert plan_text(out).count("skew=true") >= 2
+
+
 # --- samples ---------------------------------------------------------------------
 
 

@@ -66,26 +66,6 @@ def test_outer_join_fills_the_key(spark):
     ]
 
 
-@pytest.fixture
-def skewed_conf(spark):
-    """Thresholds small enough to treat test data as large."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in old.items():
-        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def skewed(spark):
     """A third of the rows on one key, and dims that are aggregated by that key."""
     facts = spark.range(0, 60_000, 1, 8).select(
