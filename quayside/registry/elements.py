@@ -40,7 +40,6 @@ from quayside.operators.dedupe import (
     flag_repeats,
     keep_first,
     keep_last,
-    nulls_last,
     reduce_partial_deliveries,
 )
 from quayside.operators.joins import fan_out_join, left_join, outer_join_filled, right_join
