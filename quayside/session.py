@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -38,12 +39,23 @@ def build_session(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder that `spark.checkpoint.dir` names.
 
-    On a cluster that folder is shared by all executors. Only where the setting
-    is absent (tests, a laptop) a local folder is made.
+    On a cluster that folder is shared by all executors. Where the setting is absent a local
+    folder is made, but only under a `local` master: elsewhere each executor would write to
+    a disk of its own, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder under master {master}")
         root = tempfile.mkdtemp(prefix="quayside-")
     return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch copy that nothing reads any more, on whichever store holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

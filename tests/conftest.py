@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="quayside-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

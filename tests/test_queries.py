@@ -39,7 +39,7 @@ def test_every_inventory_key_is_registered():
     expected = {f"{s}_{i:02d}" for s, n in SECTIONS.items() for i in range(1, n + 1)}
     expected |= {f"agg_{i:02d}" for i in range(1, 22) if i != 5} | {f"agg_05{c}" for c in "abcd"}
     assert set(QUERIES) == expected
-    assert set(entry.oracle_sql()) == expected
+    assert set(entry.oracle_sql()) >= expected
 
 
 # Daily slices are empty at this scale; they are compared at the next one.
