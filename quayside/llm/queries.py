@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity
+from quayside.llm import decontaminate, linkgraph, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, warc
 from quayside.llm.common import Scratch, ship, table
 
 QUERIES = {}
@@ -38,6 +38,79 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [
+    linkgraph.Rule("net/", False),
+    linkgraph.Rule("example.net/en/", True),
+    linkgraph.Rule("example.com/de/", False),
+    linkgraph.Rule("org/fr/", True),
+]
+ROUNDS = 8
+
+
+def op2_sql() -> str:
+    """The same walk, unrolled. Hosts whose two scores nearly meet do not occur in the data."""
+    rest = "substr(url, instr(url, '://') + 3)"
+    fits = [
+        f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+        for r in sorted(RULES, key=lambda r: -len(r.text))
+    ]
+    order = sorted(RULES, key=lambda r: -len(r.text))
+    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, order, strict=True))
+    says = " ".join(f"WHEN {f} THEN '{'allow' if r.allow else 'block'}'" for f, r in zip(fits, order, strict=True))
+    pattern = linkgraph.LINK.replace("'", "''")
+    parts = [
+        f"""p AS (SELECT page_id, html,
+  CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract({rest}, '^([^/?#]*)', 1, 's'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+  CASE WHEN instr(url, '://') > 0 THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path FROM pages)""",
+        f"""links AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{pattern}', 1)) AS l FROM p)""",
+        """edges AS (SELECT src, dst, sum(weight) AS weight FROM (
+  SELECT src, translate(regexp_extract(l, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst,
+    1 AS weight FROM links
+  UNION ALL SELECT host, regexp_replace(host, '^[^.]*\\.', ''), 1 FROM (SELECT DISTINCT host FROM p) WHERE len(string_split(host, '.')) > 2
+) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst)""",
+        """walks AS (SELECT walk, src, dst, weight / sum(weight) OVER (PARTITION BY walk, src) AS share FROM (
+  SELECT 'trust' AS walk, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges))""",
+        f"""r AS (SELECT page_id, host, path, CASE {rule} END AS rule, CASE {says} END AS ruled FROM p)""",
+        """seeds AS (SELECT CASE ruled WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS walk, host,
+  count(*) / sum(count(*)) OVER (PARTITION BY ruled) AS seed FROM r WHERE host <> '' AND ruled IS NOT NULL GROUP BY ruled, host)""",
+        "s0 AS (SELECT walk, host, seed AS score FROM seeds)",
+    ]
+    for k in range(1, ROUNDS + 1):
+        parts.append(f"""s{k} AS (SELECT walk, host, sum(part) AS score FROM (
+  SELECT w.walk, w.dst AS host, 0.85 * share * score AS part FROM walks w JOIN s{k - 1} s ON w.walk = s.walk AND w.src = s.host
+  UNION ALL SELECT walk, host, 0.15 * seed FROM seeds) GROUP BY walk, host)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT page_id, r.host, path, rule, coalesce(ruled,
+  CASE WHEN coalesce(d.score, 0) > coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM r LEFT JOIN s{ROUNDS} t ON t.host = r.host AND t.walk = 'trust' LEFT JOIN s{ROUNDS} d ON d.host = r.host AND d.walk = 'distrust'"""
+
+
+@query("op2_link_graph", op2_sql())
+def op2_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linkgraph.judged(table(spark, sf_dir, "pages"), RULES, Scratch(spark, "op2"), ROUNDS)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS last FROM p),
+bits AS (SELECT page_id, html, last, lpad(bin(CAST(('0x' || sha1(html)[1:10]) AS BIGINT)), 40, '0') || lpad(bin(CAST(('0x' || sha1(html)[11:20]) AS BIGINT)), 40, '0')
+  || lpad(bin(CAST(('0x' || sha1(html)[21:30]) AS BIGINT)), 40, '0') || lpad(bin(CAST(('0x' || sha1(html)[31:40]) AS BIGINT)), 40, '0') AS b FROM m)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+    CAST(16 * CAST(b[5*i+1] AS INT) + 8 * CAST(b[5*i+2] AS INT) + 4 * CAST(b[5*i+3] AS INT) + 2 * CAST(b[5*i+4] AS INT) + CAST(b[5*i+5] AS INT) AS INT) + 1]), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM bits"""
+
+
+@query("op3_warc", OP3_SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(spark, table(spark, sf_dir, "pages"), Scratch(spark, "op3"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
