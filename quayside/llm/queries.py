@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, linkgraph, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, warc
+from quayside.llm import decontaminate, linkgraph, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
 from quayside.llm.common import Scratch, ship, table
 
 QUERIES = {}
@@ -123,6 +123,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+@query("op6_vector_graph")
+def op6_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.linked(table(spark, sf_dir, "embeddings"), Scratch(spark, "op6"))
+
+
 OP7_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
