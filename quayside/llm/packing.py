@@ -16,43 +16,71 @@ from pyspark.sql import functions as F
 # The apostrophe is absent: it may begin a contraction.
 TAIL = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 LONG_CHUNK = 64
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
+# Letters whose small form is one letter too and that composition leaves as they are.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 
 class WordIds(dict):
-    """Little-endian ids of chunks without spaces, filled as chunks are met and emptied when full.
+    """Little-endian ids of chunks without spaces, filled as chunks are met.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    chunks in turn. Trailing punctuation starts a piece of its own and ASCII letters are
-    lower-cased by the tokenizer, so both are looked up apart, which keeps the table small.
+    chunks in turn. Trailing punctuation starts a piece of its own and letters are lower-cased by
+    the tokenizer, so both are looked up apart, which keeps the table small. A full table becomes
+    the old one, from which words that are still met are taken over.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
-        self.plain = re.compile(r"[a-z]+\Z").match
+        self.tokenizer, self.old = tokenizer, {}
+        self.tokenize = tokenizer.model.tokenize
+        self.plain = re.compile(f"[a-z]{{1,{LONG_CHUNK}}}\\Z").match
+        self.latin = re.compile(f"[{LATIN}]+\\Z").match
+        self.ends_well = re.compile(f"[{LATIN}0-9]\\Z").search
+        # One stop or comma between a letter and a space is a piece of its own.
+        self.single = re.compile("(?<=[a-z])([.,]) ").sub
+        small = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))).replace("÷", "")
+        split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.alphabet = {ord(c): "".join(piece for piece, _ in split(c)) for c in small}
 
     def __missing__(self, chunk: str) -> bytes:
-        body = chunk.rstrip(TAIL)
-        low = body.lower() if body.isascii() else body
-        if body and low != chunk and low[-1].isascii() and low[-1].isalnum():
-            ids = self[low] + (self[chunk[len(body) :]] if len(body) < len(chunk) else b"")
-        elif self.plain(chunk) and len(chunk) <= LONG_CHUNK:
-            ids = _packed(piece.id for piece in self.tokenizer.model.tokenize(chunk))
-        else:
-            ids = _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        ids = self.old.get(chunk)
+        if ids is None:
+            if self.plain(chunk):
+                ids = _packed([piece.id for piece in self.tokenize(chunk)])
+            else:
+                ids = self.ids(chunk)
         if len(chunk) <= LONG_CHUNK:
             if len(self) >= CACHE_ENTRIES:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
-    def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
-
+    def ids(self, chunk: str) -> bytes:
+        body = chunk.rstrip(TAIL) if "<|" not in chunk else ""  # special tokens are found in the whole
+        if body and (body.isascii() or self.latin(body)) and self.ends_well(body):
+            low = body.lower()
+            if low != chunk:
+                return self[low] + (self[chunk[len(body) :]] if len(body) < len(chunk) else b"")
+            if self.latin(low) and len(low) <= LONG_CHUNK:
+                return _packed([piece.id for piece in self.tokenize(low.translate(self.alphabet))])
+        return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-def _packed(ids) -> bytes:
-    return np.fromiter(ids, dtype="<u4").tobytes()
+    def of(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")  # then lower-casing is letter by letter
+                text = self.single(r" \1 ", text.lower())
+            except UnicodeEncodeError:
+                pass
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array.array("I", ids).tobytes()
 
 
 _tables: dict[str, WordIds] = {}
