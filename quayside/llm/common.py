@@ -28,9 +28,22 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
-def texts(column: pa.Array) -> list[bytes | None]:
-    """A string column as UTF-8 bytes, without decoding."""
-    return column.cast(pa.binary()).to_pylist()
+_held: dict[str, object] = {}
+
+
+def sole(key: str, make: Callable[[], object]):
+    """The worker's object under `key`, made once. Python workers outlive a task, so it serves later
+    ones too; an object of another key is dropped, so that a worker holds one at a time.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def texts(column: pa.Array) -> Iterator[bytes | None]:
+    """The values of a string column as UTF-8 bytes, one at a time and without decoding."""
+    return (value.as_py() for value in column.cast(pa.binary()))
 
 
 def ship(spark: SparkSession) -> None:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Scratch, texts, words
+from quayside.llm.common import Scratch, sole, texts, words
 
 
 class ItemAutomaton:
@@ -178,17 +178,6 @@ def item_blocks(
         yield [(r.item_id, bytes(r.content).split(b" ")) for r in dealt.where(F.col("block") == block).collect()]
 
 
-_automata: dict[str, ItemAutomaton] = {}
-
-
-def _automaton(key: str, shared, window: int) -> ItemAutomaton:
-    """The worker's automaton of one block; only the last one is kept."""
-    if key not in _automata:
-        _automata.clear()
-        _automata[key] = ItemAutomaton(shared.value, window)
-    return _automata[key]
-
-
 FOUND = "doc_id bigint, n_words bigint, spans array<struct<first:bigint,last:bigint,longest:bigint>>, items array<string>"
 
 
@@ -211,11 +200,11 @@ def overlaps(
     context = docs.sparkSession.sparkContext
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = None
-    for number, block in enumerate(item_blocks(items, scratch, window, block_words)):
-        shared, key = context.broadcast(block), f"{scratch.root}/{number}"
+    for block in item_blocks(items, scratch, window, block_words):
+        shared, key = context.broadcast(block), scratch.path()
 
         def scan(batches, shared=shared, key=key):
-            automaton = _automaton(key, shared, window)
+            automaton = sole(key, lambda: ItemAutomaton(shared.value, window))
             for batch in batches:
                 out = []
                 for text in texts(batch.column(1)):

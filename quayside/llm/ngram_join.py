@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Scratch, components, mix, texts, words
+from quayside.llm.common import FOLD, Scratch, components, mix, sole, texts
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int = 160) -> tuple[int, int]:
@@ -32,25 +32,43 @@ def choose_bands(threshold: float, recall: float, most_hashes: int = 160) -> tup
     return best
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, emptied when full."""
+SLICE = 1 << 20
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
 
+@functools.cache
+def position_keys(size: int) -> np.ndarray:
+    return mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
-_word_hashes = WordHashes()
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """A 64-bit hash of each word (see `common.words`), as sums of bytes times keys of their place in the word."""
+    if not text:
+        return np.empty(0, np.uint64)
+    folded, out, at = text.translate(FOLD), [], 0
+    while at < len(folded):  # slices that end between words keep the arrays small
+        end = folded.find(b" ", at + SLICE)
+        end = len(folded) if end < 0 else end
+        inside = np.frombuffer(folded[at:end], np.uint8)
+        held = inside != 32
+        edges = np.flatnonzero(np.diff(held, prepend=False, append=False))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        at = end
+        if not len(starts):
+            continue
+        chars = np.flatnonzero(held)
+        place = chars - np.repeat(starts, sizes)
+        keys = position_keys(1 << int(sizes.max() - 1).bit_length())
+        sums = np.add.reduceat(keys[place] * inside[chars], np.cumsum(sizes) - sizes)
+        out.append(mix(sums + sizes.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `n` words; fewer words, but not none, are one run."""
-    content = words(text)
-    if not content:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_word_hashes.__getitem__, content), np.uint64, len(content))
+    sole("n-grams", lambda: None)
+    h = word_hashes(text)
+    if not len(h):
+        return h
     width = min(n, len(h))
     total = np.zeros(len(h) - width + 1, np.uint64)
     for i in range(width):
@@ -248,11 +266,12 @@ def linked(
             F.coalesce("component", "first").alias("class_id"),
         )
     )
+    known = F.col("doc_id").isNotNull()
     return signed.select("doc_id", "fp", "size").join(classes, "fp", "left").select(
         "doc_id",
-        F.coalesce("copy_id", "doc_id").alias("copy_id"),
-        F.coalesce("n_links", F.when(F.col("doc_id").isNotNull(), 0)).cast("bigint").alias("n_links"),
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.when(known, F.coalesce("copy_id", "doc_id")).alias("copy_id"),
+        F.when(known, F.coalesce("n_links", F.lit(0))).cast("bigint").alias("n_links"),
+        F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"),
         "size",
     )
 

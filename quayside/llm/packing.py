@@ -12,11 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import sole
+
 # Punctuation that a tokenizer with word ends always parts from a letter or digit before it.
 # The apostrophe is absent: it may begin a contraction.
 TAIL = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 LONG_CHUNK = 64
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
+MET = (1 << 22) - 1
 # Letters whose small form is one letter too and that composition leaves as they are.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 
@@ -26,13 +29,14 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
     chunks in turn. Trailing punctuation starts a piece of its own and letters are lower-cased by
-    the tokenizer, so both are looked up apart, which keeps the table small. A full table becomes
-    the old one, from which words that are still met are taken over.
+    the tokenizer, so both are looked up apart, which keeps the table small. Half of
+    all words are met once only, so a word enters when it is met again. A full table becomes the
+    old one, from which words that are still met are taken over.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.old = tokenizer, {}
+        self.tokenizer, self.old, self.met = tokenizer, {}, bytearray(MET + 1)
         self.tokenize = tokenizer.model.tokenize
         self.plain = re.compile(f"[a-z]{{1,{LONG_CHUNK}}}\\Z").match
         self.latin = re.compile(f"[{LATIN}]+\\Z").match
@@ -51,10 +55,15 @@ class WordIds(dict):
             else:
                 ids = self.ids(chunk)
         if len(chunk) <= LONG_CHUNK:
-            if len(self) >= CACHE_ENTRIES:
-                self.old = dict(self)
-                self.clear()
-            self[chunk] = ids
+            mark = hash(chunk) & MET
+            if self.met[mark]:
+                if len(self) >= CACHE_ENTRIES:
+                    self.old = dict(self)
+                    self.clear()
+                    self.met = bytearray(MET + 1)
+                self[chunk] = ids
+            else:
+                self.met[mark] = 1
         return ids
 
     def ids(self, chunk: str) -> bytes:
@@ -83,16 +92,15 @@ def _packed(ids: list[int]) -> bytes:
     return array.array("I", ids).tobytes()
 
 
-_tables: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    """The worker's table for a tokenizer file; it outlives a task."""
-    if path not in _tables:
+    """The worker's table for a tokenizer file."""
+
+    def make() -> WordIds:
         from tokenizers import Tokenizer
 
-        _tables[path] = WordIds(Tokenizer.from_file(path))
-    return _tables[path]
+        return WordIds(Tokenizer.from_file(path))
+
+    return sole(f"word ids {path}", make)
 
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, slot bigint"
@@ -109,14 +117,14 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> D
         table = word_ids(tokenizer_path)
         for batch in batches:
             rows, held = [], 0
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = table.of(text) + end
+            for doc, text in zip(*batch.columns, strict=True):
+                doc, ids = doc.as_py(), table.of(text.as_py()) + end
                 total = len(ids) // 4
                 for slot, start in enumerate(range(0, total, size)):
                     piece = ids[4 * start : 4 * (start + size)]
                     rows.append((doc, start, len(piece) // 4, total, piece, slot))
                     held += len(piece)
-                if held > 8_000_000:
+                if held > 4_000_000:
                     yield _batch(rows)
                     rows, held = [], 0
             if rows:
@@ -158,7 +166,7 @@ def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np
 
 
 def packed(
-    docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 2048, group_bytes: int = 16_000_000
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 2048, group_bytes: int = 8_000_000
 ) -> DataFrame:
     """Pieces of `docs` (doc_id, text) with the sequence and offset at which each lies, and their ids.
 

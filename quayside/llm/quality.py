@@ -9,22 +9,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 
 from quayside.llm import nbsvm
-from quayside.llm.common import mix
+from quayside.llm.common import mix, sole
 
 SIZE = 1 << 20
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         # Marks, digits and case say more of quality than the letters of a word that is met once.
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-_words = _Words()
-_place = np.empty(SIZE, np.int32)
 _SHAPE = bytes(
     ord("a") if chr(b).islower() and b < 128 else ord("A") if chr(b).isupper() and b < 128 else ord("0") if 48 <= b < 58 else ord("a") if b >= 128 else b
     for b in range(256)
@@ -35,7 +33,7 @@ class _Shapes(dict):
     """Hash of a word's shape: runs of small letters, capitals and digits shortened, other marks as they are."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         shape, last = bytearray(), 0
         for b in word.translate(_SHAPE):
@@ -46,17 +44,15 @@ class _Shapes(dict):
         return value
 
 
-_shapes = _Shapes()
-
-
 def features(text: bytes | None) -> np.ndarray:
     """Numbers of the word, shape, and shape n-grams (one to three) of a text; none for an empty one."""
     content = (text or b"").split()
     if not content:
         return np.empty(0, np.int64)
     n = len(content)
-    word = np.fromiter(map(_words.__getitem__, content), np.uint64, n)
-    shape = np.fromiter(map(_shapes.__getitem__, content), np.uint64, n)
+    words, shapes, place = sole("quality", lambda: (_Words(), _Shapes(), np.empty(SIZE, np.int32)))
+    word = np.fromiter(map(words.__getitem__, content), np.uint64, n)
+    shape = np.fromiter(map(shapes.__getitem__, content), np.uint64, n)
     two = mix(shape[:-1] * np.uint64(3) + shape[1:])
     three = mix(two[:-1] * np.uint64(5) + shape[2:])
     pairs = mix(word[:-1] * np.uint64(7) + word[1:])
@@ -68,7 +64,7 @@ def features(text: bytes | None) -> np.ndarray:
         returns.append(2000)
     returns = mix(np.array(returns, np.uint64) * np.uint64(11))
     ids = np.concatenate([word, shape, two, three, pairs, returns]) & np.uint64(SIZE - 1)
-    return nbsvm.each_once(ids.astype(np.int64), _place)
+    return nbsvm.each_once(ids.astype(np.int64), place)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, **options) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 import re
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import texts
+from quayside.llm.common import sole, texts
 
 # A candidate is a run of characters that keys are written in, long enough to be one.
 CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=-]{16,}")
@@ -80,8 +79,11 @@ def transitions(docs: DataFrame) -> np.ndarray:
     return np.log2(counts / counts.sum(axis=1, keepdims=True))
 
 
-@functools.cache
 def dictionary(path: str) -> frozenset[str]:
+    return sole(f"dictionary {path}", lambda: _dictionary(path))
+
+
+def _dictionary(path: str) -> frozenset[str]:
     """Letter-only pieces of three letters or more of a public vocabulary."""
     from tokenizers import Tokenizer
 
@@ -367,7 +369,7 @@ def redacted(
         known = shared.value
         for batch in batches:
             bodies = texts(batch.column(at))
-            paths = batch.column(path).to_pylist() if path is not None else [None] * len(bodies)
+            paths = batch.column(path).to_pylist() if path is not None else [None] * batch.num_rows
             out, counted = [], batch.column(size).to_pylist() if size is not None else None
             for i, (text, where) in enumerate(zip(bodies, paths, strict=True)):
                 found = known.candidates(text, str(where or ""))

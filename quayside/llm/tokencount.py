@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import sole
+
 MARK = "▁"  # stands for a space, as unigram vocabularies write it
 UNKNOWN_PENALTY = 10.0  # fixed value: an unknown character scores this much below the worst piece
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 LONG_WORD = 64
 
 
@@ -104,14 +106,9 @@ class PieceCounter(dict):
         return sum(map(self.__getitem__, [MARK + part for part in parts]))
 
 
-_counters: dict[str, PieceCounter] = {}
-
-
 def counter(path: str) -> PieceCounter:
-    """The worker's counter for a vocabulary file; it outlives a task."""
-    if path not in _counters:
-        _counters[path] = PieceCounter(vocabulary(path))
-    return _counters[path]
+    """The worker's counter for a vocabulary file."""
+    return sole(f"pieces {path}", lambda: PieceCounter(vocabulary(path)))
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -125,13 +122,13 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counter(vocabulary_path)
         for batch in batches:
-            text = batch.column(1).to_pylist()
+            counts, sizes = [], []
+            for value in batch.column(1):
+                text = value.as_py()
+                counts.append(table.of(text))
+                sizes.append(len(text or ""))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([table.of(t) for t in text], pa.int64()),
-                    pa.array([len(t or "") for t in text], pa.int64()),
-                ],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
                 ["doc_id", "n_tokens", "n_chars"],
             )
 

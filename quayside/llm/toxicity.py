@@ -6,12 +6,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 
 from quayside.llm import nbsvm
-from quayside.llm.common import mix
+from quayside.llm.common import mix, sole
 
 SIZE = 1 << 20
 ORDERS = (3, 5, 7)
 
-_place = np.empty(SIZE, np.int32)
 _LOWER = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -19,6 +18,7 @@ def features(text: bytes | None) -> np.ndarray:
     """Numbers of the character n-grams of a text, A-Z lower-cased and framed by spaces."""
     if not text:
         return np.empty(0, np.int64)
+    place = sole("toxicity", lambda: np.empty(SIZE, np.int32))
     framed = b" " + text.translate(_LOWER) + b" "
     if framed.isascii():
         chars = np.frombuffer(framed, np.uint8).astype(np.uint64)
@@ -33,7 +33,7 @@ def features(text: bytes | None) -> np.ndarray:
             width += 1
         if width == order:
             ids.append((mix(gram + np.uint64(order)) >> np.uint64(44)).astype(np.int64))
-    return nbsvm.each_once(np.concatenate(ids), _place) if ids else np.empty(0, np.int64)
+    return nbsvm.each_once(np.concatenate(ids), place) if ids else np.empty(0, np.int64)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, **options) -> DataFrame:
