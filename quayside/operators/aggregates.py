@@ -62,38 +62,31 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, interpolated quantiles, maximum.
 
-    With `total`, the sum as well. Equal values are counted first, so that the exact
-    quantiles of a group are taken over its distinct values, however many rows share
-    them. Where even the distinct values of a group are too many for one task (free
-    doubles), `accuracy` asks for approximate quantiles of the rows instead.
+    With `total`, the sum as well. Mean and deviation combine task by task without loss far
+    from zero. Equal values are counted before the shuffle, so the exact quantiles of
+    a group cost its distinct values, however many rows share them. Where even those are too
+    many for one task (free doubles), `accuracy` asks for approximate quantiles instead.
     """
     if keys:
         df = df.dropna(subset=list(keys))
     at = list(quantiles.values())
-    if accuracy is None:
-        df = df.groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_rows"))
-        weight = F.col("_rows")
-        points = F.percentile(F.col(c), at, weight)
-    else:
-        weight = F.lit(1)
-        points = F.percentile_approx(F.col(c), at, accuracy)
     value = F.col(c).cast("double")
+    points = F.percentile(F.col(c), at) if accuracy is None else F.percentile_approx(F.col(c), at, accuracy)
     sums = df.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0)).cast("long").alias("n"),
-        F.sum(value * weight).alias("_sum"),
-        F.sum(value * value * weight).alias("_squares"),
+        F.count(value).alias("n"),
+        F.avg(value).alias("_mean"),
+        F.stddev_samp(value).alias("_std"),
+        F.sum(value).alias("_sum"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         points.alias("_points"),
     )
-    mean = ratio("_sum", "n")
-    spread = F.greatest(F.col("_squares") - F.col("_sum") * mean, F.lit(0.0))
     named = [F.get("_points", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
     return sums.select(
         *keys,
         "n",
-        mean.alias("mean"),
-        F.sqrt(ratio(spread, F.col("n") - 1)).alias("std"),
+        F.col("_mean").alias("mean"),
+        F.col("_std").alias("std"),
         "min",
         *named,
         "max",
@@ -120,19 +113,25 @@ def margins_pivot(
 ) -> DataFrame:
     """Two-way table of sums of `amount`, with totals for rows, columns and both.
 
-    Sums per cell come first, so that only cells are expanded into totals.
+    Sums per cell come first, so that only cells are expanded into totals. Totals are told
+    apart by the grouping, not by their label: a row named like `total` stays beside the
+    total row. A column of that name could not be told from the total and is an error.
     """
+    if total in values:
+        raise ValueError(f"{total!r} names both a column and the total")
     cells = (
         group_agg(df, [row, column], F.sum(amount).alias("_cell"))
         .cube(row, column)
         .agg(F.sum("_cell").alias("_m"), F.grouping(row).alias("_gr"), F.grouping(column).alias("_gc"))
         .select(
+            "_gr",
             F.when(F.col("_gr") == 1, F.lit(total)).otherwise(F.col(row)).alias(row),
-            F.when(F.col("_gc") == 1, F.lit(total)).otherwise(F.col(column)).alias(column),
+            F.when(F.col("_gc") == 1, F.lit("t")).otherwise(F.concat(F.lit("c"), column)).alias("_column"),
             "_m",
         )
     )
-    return cells.groupBy(row).pivot(column, [*values, total]).agg(F.first("_m"))
+    wide = cells.groupBy("_gr", row).pivot("_column", [*(f"c{v}" for v in values), "t"]).agg(F.first("_m"))
+    return wide.select(row, *(F.col(f"`c{v}`").alias(v) for v in values), F.col("t").alias(total))
 
 
 def waterfall(

@@ -60,9 +60,11 @@ def shift_count(
     return report.distinct().orderBy(*sort_keys(["supplier", "product_id"]))
 
 
-def rolling_stock(spark: SparkSession, history_dir: str, schema: str | None = None) -> DataFrame:
+def rolling_stock(
+    spark: SparkSession, history_dir: str, schema: str | None = None, skip_unreadable: bool = False
+) -> DataFrame:
     """All shift files of a directory as one table of distinct rows with a product."""
-    return consolidate([read_history_dir(spark, history_dir, schema)], "product_id")
+    return consolidate([read_history_dir(spark, history_dir, schema, skip_unreadable)], "product_id")
 
 
 def last_contacts(contacts: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def write_shift_files(t: Tables, path: str) -> None:
 def history_dir(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "shift-files")
     write_shift_files(t, path)
-    return read_history_dir(t.spark, path, SHIFT_COUNT)
+    return read_history_dir(t.spark, path, SHIFT_COUNT, skip_unreadable=True)
 
 
 @query(
@@ -224,4 +224,4 @@ def drained(t: Tables) -> DataFrame:
 def rolling_counts(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "all-handovers")
     write_shift_files(t, path)
-    return rolling_stock(t.spark, path, SHIFT_COUNT)
+    return rolling_stock(t.spark, path, SHIFT_COUNT, skip_unreadable=True)

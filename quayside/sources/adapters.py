@@ -25,24 +25,29 @@ def _repeated(table: str, condition: str) -> str:
 
 _SAMPLE = "lpad(CAST(CAST(floor(event_id / 6) AS BIGINT) * 4 AS STRING), 6, '0')"
 
-# Nine delivery zones, the last one missing, as one text of equal widths: a short
-# expression, since Spark repeats it wherever a zone is tested.
-_ZONE_WIDTH = 20
-_ZONES = "".join(
-    zone.ljust(_ZONE_WIDTH)
-    for zone in (
-        "Local",
-        "Local Township",
-        "Main Centre",
-        "Main Township",
-        "Outlying",
-        "Regional Outlying",
-        "National",
-        "International",
-        "",
-    )
+# Nine delivery zones, the last one missing.
+_ZONES = (
+    "Local",
+    "Local Township",
+    "Main Centre",
+    "Main Township",
+    "Outlying",
+    "Regional Outlying",
+    "National",
+    "International",
+)
+_ZONE = (
+    "CASE l_suppkey % 9 "
+    + " ".join(f"WHEN {i} THEN '{zone}'" for i, zone in enumerate(_ZONES))
+    + " END"
 )
 
+
+def _coded(condition: str, code: str, otherwise: str, column: str) -> str:
+    """An item code of its own where `condition` holds, so that such rows stay but match no plan."""
+    return f"CASE WHEN {condition} THEN concat('{code}', CAST({column} AS STRING)) ELSE {otherwise} END"
+
+
 # View name -> (driver table, SQL).
 VIEWS: dict[str, tuple[str, str]] = {
     "plan_items": (
@@ -74,14 +79,14 @@ FROM (
     "po_lines": (
         "lineitem",
         f"""
-SELECT {_ITEM} AS sku,
+SELECT {_coded("l_partkey % 13 = 0", "N", _ITEM, "l_partkey")} AS sku,
   CAST(l_orderkey AS STRING) AS pos,
   CASE WHEN l_orderkey % 11 = 0 THEN 'Sample order' WHEN l_orderkey % 13 = 0 THEN 'OVERSUPPLY' WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN 'not OK' ELSE concat('ref ', CAST(l_orderkey % 100 AS STRING)) END AS ref,
   CASE WHEN l_orderkey % 19 = 0 THEN 'Cancel PO' WHEN l_orderkey % 5 = 0 THEN 'Draft PO' WHEN l_orderkey % 29 = 0 THEN NULL ELSE 'Placed' END AS status,
   CAST(l_quantity AS BIGINT) AS bp_qty,
   concat('Supplier', CAST(l_suppkey % 40 AS STRING)) AS contact,
   concat('Item ', CAST(l_partkey AS STRING)) AS name
-FROM lineitem WHERE l_partkey % 13 <> 0""",
+FROM lineitem""",
     ),
     "po_header": (
         "orders",
@@ -103,41 +108,44 @@ FROM {_repeated("orders", "o_orderkey % 9 = 0")}""",
     "qc_counts": (
         "lineitem",
         f"""
-SELECT CAST(l_orderkey AS STRING) AS pos, {_ITEM} AS sku,
+SELECT CAST(l_orderkey AS STRING) AS pos, {_coded("l_linenumber > 3", "Q", _ITEM, "l_partkey")} AS sku,
   CAST(l_quantity - l_linenumber % 3 AS BIGINT) AS qty_counted,
   CAST(l_shipdate AS DATE) AS qc_date
-FROM lineitem WHERE l_linenumber <= 3""",
+FROM lineitem""",
     ),
     "damage_scans": (
         "events",
-        """
-SELECT event_id AS seq, concat(CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'P' END, CAST(user_id AS STRING)) AS product_id,
+        f"""
+SELECT event_id AS seq, {_coded("event_type NOT IN ('error', 'view')", "D",
+  "concat(CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'P' END, CAST(user_id AS STRING))", "user_id")} AS product_id,
   event_type AS reason, concat('qc', CAST(user_id % 7 AS STRING)) AS responsible, CAST(ts AS DATE) AS scan_date
-FROM events WHERE event_type IN ('error', 'view')""",
+FROM events""",
     ),
     "oversupply_scans": (
         "events",
-        """
-SELECT event_id AS seq, concat(CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'P' END, CAST(user_id * 2 AS STRING)) AS sku, CAST(ts AS DATE) AS scan_date
-FROM events WHERE event_type = 'signup'""",
+        f"""
+SELECT event_id AS seq, {_coded("event_type <> 'signup'", "O",
+  "concat(CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'P' END, CAST(user_id * 2 AS STRING))", "user_id")} AS sku, CAST(ts AS DATE) AS scan_date
+FROM events""",
     ),
     "stock_scans": (
         "events",
-        """
-SELECT event_id AS seq, concat(CASE WHEN event_id % 3 = 0 THEN 'p' ELSE 'P' END, CAST(user_id AS STRING)) AS product_id, CAST(ts AS DATE) AS scan_date
-FROM events WHERE event_type IN ('click', 'purchase')""",
+        f"""
+SELECT event_id AS seq, {_coded("event_type NOT IN ('click', 'purchase')", "K",
+  "concat(CASE WHEN event_id % 3 = 0 THEN 'p' ELSE 'P' END, CAST(user_id AS STRING))", "user_id")} AS product_id, CAST(ts AS DATE) AS scan_date
+FROM events""",
     ),
     "received_msgs": (
         "lineitem",
         """
-SELECT CASE WHEN l_orderkey % 17 = 0 THEN concat('MSG0000', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END AS message_reference,
+SELECT CASE WHEN l_orderkey % 17 = 0 OR l_linestatus <> 'F' THEN concat('MSG0000', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END AS message_reference,
   concat('P', CAST(l_partkey AS STRING)) AS item_code, CAST(l_quantity AS BIGINT) AS quantity_received, CAST(l_shipdate AS DATE) AS received_date
-FROM lineitem WHERE l_linestatus = 'F'""",
+FROM lineitem""",
     ),
     "stock_availability": (
         "lineitem",
-        """
-SELECT concat('P', CAST(l_partkey AS STRING)) AS item_code, CAST(l_quantity AS BIGINT) AS qty FROM lineitem WHERE l_returnflag = 'N'""",
+        f"""
+SELECT {_coded("l_returnflag <> 'N'", "S", "concat('P', CAST(l_partkey AS STRING))", "l_partkey")} AS item_code, CAST(l_quantity AS BIGINT) AS qty FROM lineitem""",
     ),
     "booking_export": (
         "orders",
@@ -157,10 +165,9 @@ FROM orders""",
         "events",
         f"""
 SELECT event_id * 2 + v AS seq, CAST(event_id % 6 AS INT) + 1 AS stage,
-  CASE WHEN event_id % 12 < 6 THEN concat('C', {_SAMPLE}, 'xl00') ELSE concat('C', {_SAMPLE}) END AS sku,
+  CASE WHEN event_type = 'error' THEN concat('E', CAST(event_id % 500 AS STRING)) WHEN event_id % 12 < 6 THEN concat('C', {_SAMPLE}, 'xl00') ELSE concat('C', {_SAMPLE}) END AS sku,
   CAST(ts AS DATE) + CAST(v AS INT) AS scan_date
-FROM {_repeated("events", "event_id % 60 = 0 OR event_id % 90 = 1")}
-WHERE event_type <> 'error'""",
+FROM {_repeated("events", "event_id % 60 = 0 OR event_id % 90 = 1")}""",
     ),
     "sample_track": (
         "events",
@@ -171,13 +178,13 @@ FROM events GROUP BY user_id""",
     ),
     "inventory": (
         "lineitem",
-        """
-SELECT CAST(l_shipdate AS DATE) AS inv_date, concat('Brand', CAST(l_suppkey % 25 AS STRING)) AS brand_name, concat('P', CAST(l_partkey AS STRING)) AS simple_sku, CAST(l_linenumber % 3 AS BIGINT) AS qc_bad_qty, CAST(l_quantity AS BIGINT) AS qc_good_qty FROM lineitem WHERE l_returnflag = 'A'""",
+        f"""
+SELECT CAST(l_shipdate AS DATE) AS inv_date, concat('Brand', CAST(l_suppkey % 25 AS STRING)) AS brand_name, {_coded("l_returnflag <> 'A'", "I", "concat('P', CAST(l_partkey AS STRING))", "l_partkey")} AS simple_sku, CAST(l_linenumber % 3 AS BIGINT) AS qc_bad_qty, CAST(l_quantity AS BIGINT) AS qc_good_qty FROM lineitem""",
     ),
     "po_items": (
         "lineitem",
-        """
-SELECT CAST(l_orderkey AS STRING) AS purchase_order_number, concat('P', CAST(l_partkey AS STRING)) AS simple_sku, concat('Item ', CAST(l_partkey AS STRING)) AS simple_name, concat('Supplier', CAST(l_suppkey % 40 AS STRING)) AS supplier_name FROM lineitem WHERE l_returnflag = 'R'""",
+        f"""
+SELECT CAST(l_orderkey AS STRING) AS purchase_order_number, {_coded("l_returnflag <> 'R'", "U", "concat('P', CAST(l_partkey AS STRING))", "l_partkey")} AS simple_sku, concat('Item ', CAST(l_partkey AS STRING)) AS simple_name, concat('Supplier', CAST(l_suppkey % 40 AS STRING)) AS supplier_name FROM lineitem""",
     ),
     "shipments": (
         "lineitem",
@@ -187,7 +194,7 @@ SELECT concat(CASE l_returnflag WHEN 'R' THEN 'SPR' WHEN 'A' THEN 'COL' ELSE 'DE
   CASE WHEN l_linestatus = 'F' OR l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) + CAST(l_partkey % 16 - 2 AS INT) END AS pod_date,
   CASE WHEN l_linenumber = 1 THEN 0.0 ELSE CAST(l_tax * 1000 AS DOUBLE) END AS charge_out,
   CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE CAST(l_quantity * 75 AS DOUBLE) END AS chargeable_mass,
-  nullif(rtrim(substring('{_ZONES}', CAST(l_suppkey % 9 AS INT) * {_ZONE_WIDTH} + 1, {_ZONE_WIDTH})), '') AS zone
+  {_ZONE} AS zone
 FROM lineitem""",
     ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.calendar import parse_timestamp
@@ -34,22 +34,47 @@ def read_delimited(
     return df.select(*columns) if columns else df
 
 
-def read_booking_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_booking_export(
+    spark: SparkSession, path: str, schema: str, skip_rejects: bool = False
+) -> DataFrame:
     """Export with title and header lines above the data and line breaks inside quotes.
 
-    Rows whose first column is no day-first date (title, spacer, header) are dropped.
-    A file with quoted line breaks is one task: land such exports as many files.
+    Title, spacer and header lines are dropped. A row of data whose first column is no day-first
+    date is an error, or with `skip_rejects` left out and listed by `booking_rejects`. A file with
+    quoted line breaks is one task: land such exports as many files.
     """
-    raw = (
+    raw = _booking_rows(spark, path, schema)
+    first = raw.columns[0]
+    date = F.to_date(parse_timestamp(first, ["dd/MM/yyyy"]))
+    if not skip_rejects:
+        fault = F.raise_error(F.concat(F.lit("a booking has no day-first date but: "), F.coalesce(first, F.lit("nothing"))))
+        date = F.when(_is_reject(raw), fault.cast("date")).otherwise(date)
+    return raw.withColumn(first, date).filter(F.col(first).isNotNull())
+
+
+def booking_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of data in an export whose first column is no day-first date, as text."""
+    raw = _booking_rows(spark, path, schema)
+    return raw.filter(_is_reject(raw))
+
+
+def _is_reject(raw: DataFrame) -> Column:
+    """No date, but further cells as well; a header's first cell holds no digit, a reject's one or nothing."""
+    first, *rest = raw.columns
+    further = F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in rest)).isNotNull()
+    text = F.coalesce(F.trim(first), F.lit(""))
+    no_date = F.to_date(parse_timestamp(first, ["dd/MM/yyyy"])).isNull()
+    return no_date & further & ((text == "") | text.rlike("[0-9]"))
+
+
+def _booking_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return (
         spark.read.schema(schema)
         .option("multiLine", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    first = raw.columns[0]
-    parsed = raw.withColumn(first, F.to_date(parse_timestamp(first, ["dd/MM/yyyy"])))
-    return parsed.filter(F.col(first).isNotNull())
 
 
 def read_state_file(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import date
 
@@ -50,8 +51,22 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def append_state(df: DataFrame, path: str, partition: str) -> None:
-    """Add rows to a date-partitioned state table; earlier partitions are not rewritten."""
-    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+    """Write the partitions that `df` holds; a rerun replaces them and leaves all others as they are."""
+    writer = df.hint("rebalance", partition).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def expire_state(spark: SparkSession, path: str, partition: str, first: date) -> list[str]:
+    """Remove the partitions of dates before `first`, without reading them; returns their names."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for entry in store.listStatus(root):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == partition and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and value < first.isoformat():
+            store.delete(entry.getPath(), True)
+            gone.append(value)
+    return sorted(gone)
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:

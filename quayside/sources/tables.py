@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,20 +73,42 @@ def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     return spark.read.parquet(path).select(*columns)
 
 
-def read_history_dir(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All history files of a directory; files that cannot be read are skipped.
+def read_history_dir(
+    spark: SparkSession, path: str, schema: str | None = None, skip_unreadable: bool = False
+) -> DataFrame:
+    """All history files of a directory. A file that cannot be read whole is an error.
 
-    Columns that a file lacks are NULL. A given schema saves the scan over all
-    footers. Use `unreadable_files` to list what was skipped.
+    With `skip_unreadable` such a file is left out altogether, also the part of it that could be
+    read; `unreadable_files` lists what was left out. Columns that a file lacks are NULL. A
+    given schema saves the scan over all footers.
     """
-    reader = spark.read.option("ignoreCorruptFiles", True)
+    reader = spark.read.option("ignoreCorruptFiles", skip_unreadable)
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
-    return reader.parquet(path)
+    found = reader.parquet(path)
+    if not skip_unreadable:
+        return found
+    bad = unreadable_files(spark, path).select(F.col("path").alias("_bad"))
+    located = found.withColumn("_from", F.col("_metadata.file_path"))
+    return located.join(bad, F.col("_from") == F.col("_bad"), "left_anti").drop("_from")
+
 
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason) of the files of a history directory that cannot be decoded to their last row.
+
+    Each file is one row of a distributed listing and is decoded in a task of its own. Valid
+    files without rows are no fault.
+    """
 
-def unreadable_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files of a history directory that gave no rows: empty or unreadable."""
-    location = F.col("_metadata.file_path").alias("path")
-    listed = spark.read.format("binaryFile").load(path).filter("length > 0").select(location)
-    seen = read_history_dir(spark, path, schema).select(location).distinct()
-    return listed.join(seen, "path", "left_anti")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(*batch.columns, strict=True):
+                try:
+                    file = pq.ParquetFile(pa.BufferReader(content.as_py()))
+                    for _ in file.iter_batches():
+                        pass
+                except (pa.ArrowException, OSError, ValueError) as fault:
+                    reason = f"{type(fault).__name__}: {fault}"[:500]
+                    yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([reason])], ["path", "reason"])
+
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.col("_metadata.file_path").alias("path"), "content").mapInArrow(check, "path string, reason string")

@@ -2,10 +2,11 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators.aggregates import margins_pivot
+from quayside.operators.aggregates import describe, margins_pivot
 from quayside.operators.setops import roll_history, stack
 from quayside.operators.sorting import sort_keys
 from quayside.plans import bookings, compliance, forecast, returns, scans, visibility
@@ -288,3 +289,17 @@ def test_union_by_name_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([(2,)], "i int")
     assert rows(stack([a, b])) == [(1, "x"), (2, None)]
+
+
+def test_a_row_named_like_the_total_stays(spark):
+    df = spark.createDataFrame([("All", "u", 5), ("b", "u", 7)], "a string, b string, v int")
+    out = margins_pivot(df, "a", "b", ["u"], "v")
+    assert sorted(tuple(r) for r in out.collect()) == [("All", 5, 5), ("All", 12, 12), ("b", 7, 7)]
+    with pytest.raises(ValueError):
+        margins_pivot(df, "a", "b", ["u", "All"], "v")
+
+
+def test_deviation_far_from_zero(spark):
+    values = [1e9 + i / 100_000 for i in range(1000)]
+    out = describe(spark.createDataFrame([(v,) for v in values], "v double").repartition(7), [], "v", {"p50": 0.5}).first()
+    assert abs(out["std"] / pd.Series(values).std() - 1) < 1e-3 and out["n"] == 1000

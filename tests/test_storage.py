@@ -10,6 +10,7 @@ from quayside.operators.predicates import drop_missing
 from quayside.session import scratch_path
 from quayside.sources import schemas
 from quayside.sources.delimited import (
+    booking_rejects,
     read_booking_export,
     read_delimited,
     read_sheet,
@@ -17,6 +18,7 @@ from quayside.sources.delimited import (
 )
 from quayside.sources.sinks import (
     append_state,
+    expire_state,
     materialize,
     read_state,
     write_delimited,
@@ -80,9 +82,44 @@ def test_history_skips_unreadable_files_and_names_them(spark, tmp_path):
     ).parquet(path)
     (tmp_path / "h" / "broken.parquet").write_text("this is no parquet file")
     schema = "product_id string, n int, team string"
-    assert rows(read_history_dir(spark, path, schema)) == [("A", 1, None), ("B", 2, "x")]
-    assert rows(read_history_dir(spark, path), "product_id", "team") == [("A", None), ("B", "x")]
-    assert [r[0].rsplit("/", 1)[1] for r in unreadable_files(spark, path, schema).collect()] == ["broken.parquet"]
+    with pytest.raises(Exception, match="broken|not a Parquet"):
+        read_history_dir(spark, path, schema).collect()
+    kept = read_history_dir(spark, path, schema, skip_unreadable=True)
+    assert rows(kept) == [("A", 1, None), ("B", 2, "x")]
+    kept = read_history_dir(spark, path, skip_unreadable=True)
+    assert rows(kept, "product_id", "team") == [("A", None), ("B", "x")]
+    assert [r[0].rsplit("/", 1)[1] for r in unreadable_files(spark, path).collect()] == ["broken.parquet"]
+
+
+def test_a_file_damaged_in_the_middle_is_left_out_whole(spark, tmp_path):
+    path, schema = str(tmp_path / "h"), "id bigint, text string"
+    many = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    many.coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(path)
+    damaged = next((tmp_path / "h").glob("*.parquet"))
+    content = bytearray(damaged.read_bytes())
+    middle = len(content) // 2
+    content[middle : middle + 5000] = b"\xff" * 5000
+    damaged.write_bytes(content)
+    for crc in (tmp_path / "h").glob(".*.crc"):
+        crc.unlink()
+    spark.createDataFrame([(1, "x")], schema).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(Exception):  # noqa: B017
+        read_history_dir(spark, path, schema).collect()
+    assert rows(read_history_dir(spark, path, schema, skip_unreadable=True)) == [(1, "x")]
+    assert [r.path.rsplit("/", 1)[1] for r in unreadable_files(spark, path).collect()] == [damaged.name]
+
+
+def test_a_booking_with_a_mistyped_date_is_no_title(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        '"Bookings 2015"\n"Date","Time","Event","Client","Mail","Cancelled","Recorded","Fields"\n'
+        '"05/06/2015","08:00","E","c","m","No","","POs: 1"\n"45/06/2015","08:00","F","c","m","No","","POs: 2"\n,,,,,,,\n'
+    )
+    with pytest.raises(Exception, match="no day-first date"):
+        read_booking_export(spark, str(tmp_path), schemas.BOOKING_EXPORT).collect()
+    df = read_booking_export(spark, str(tmp_path), schemas.BOOKING_EXPORT, skip_rejects=True)
+    assert rows(df, "event") == [("E",)]
+    assert rows(booking_rejects(spark, str(tmp_path), schemas.BOOKING_EXPORT), "date", "event") == [("45/06/2015", "F")]
 
 
 def test_relational_options_come_from_conf(spark):
@@ -131,11 +168,13 @@ def test_rerun_replaces_only_that_day(spark, tmp_path):
 
 def test_state_is_appended_and_pruned_by_date(spark, tmp_path):
     path, schema = str(tmp_path / "s"), "n int, date date"
-    for day in (4, 5):
+    for day in (4, 5, 5):  # the rerun of a day changes nothing
         append_state(spark.createDataFrame([(day, dt.date(2015, 6, day))], schema), path, "date")
     df = read_state(spark, path, schema).filter(F.col("date") >= dt.date(2015, 6, 5))
     assert rows(df) == [(5, dt.date(2015, 6, 5))]
     assert "PartitionFilters: [isnotnull(date" in plan_text(df)
+    assert expire_state(spark, path, "date", dt.date(2015, 6, 5)) == ["2015-06-04"]
+    assert rows(read_state(spark, path, schema)) == [(5, dt.date(2015, 6, 5))]
 
 
 def test_materialize_cuts_the_plan(spark, tmp_path):
