@@ -135,14 +135,21 @@ def margins_pivot(
 
 
 def waterfall(
-    df: DataFrame, keys: Sequence[str], amount: Column, stages: dict[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    amount: Column,
+    stages: dict[str, Column],
+    missing_as_zero: bool = False,
 ) -> DataFrame:
     """Conditional sums of nested stages, each less all earlier ones, in one pass.
 
-    A stage without rows is NULL and makes the later ones NULL. Groups that no
-    stage touches are absent.
+    A stage without rows is NULL and makes the later ones NULL, unless `missing_as_zero` counts
+    it as 0. Groups that no stage touches are absent.
     """
-    raw = {name: F.sum(F.when(cond, amount)).alias(f"_s_{name}") for name, cond in stages.items()}
+    raw = {name: F.sum(F.when(cond, amount)) for name, cond in stages.items()}
+    if missing_as_zero:
+        raw = {name: F.coalesce(total, F.lit(0)) for name, total in raw.items()}
+    raw = {name: total.alias(f"_s_{name}") for name, total in raw.items()}
     touched = F.lit(False)
     for cond in stages.values():
         touched = touched | F.coalesce(cond, F.lit(False))

@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Equi join; missing keys never match; several matches fan out."""
-    return left.join(right, on, "left")
+def left_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Equi join; several matches fan out. Missing keys match each other only with `null_safe`."""
+    if not null_safe:
+        return left.join(right, on, "left")
+    keys = [on] if isinstance(on, str) else list(on)
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, same), "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def right_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -23,12 +30,25 @@ def outer_join_filled(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, key: str
 ) -> DataFrame:
     """Full outer join on differently named keys, with one filled key column."""
+    # Fit for sides that are aggregated by their key; `full_join_few` takes an uneven left side.
     a = left.withColumnRenamed(left_key, "_lk")
     b = right.withColumnRenamed(right_key, "_rk")
     joined = a.join(b, F.col("_lk") == F.col("_rk"), "full")
     return joined.withColumn(key, F.coalesce("_rk", "_lk")).drop("_lk", "_rk")
 
 
+def full_join_few(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """Full outer join of `many` rows per key, of which one key may hold most, with at most one
+    row per key in `few`.
+
+    Spark never splits a full join. A left join finds the partners of `many`, and a left
+    anti join the rows of `few` without one, against the distinct keys of `many`.
+    """
+    matched = skew_join(many, few, key, "left")
+    known = many.select(key).distinct()
+    return matched.unionByName(few.join(known, key, "left_anti"), allowMissingColumns=True)
+
+
 def skew_join(
     facts: DataFrame, dims: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
@@ -39,10 +59,10 @@ def skew_join(
     shuffle. Dims that are already partitioned by the key, being aggregated by it, would
     not. Joining on the key and its hash asks for a partitioning that neither side has
     yet: the small side is shuffled once more, and a hot key can be split at run time.
-    Only the facts may be split, hence inner and left joins.
+    Only the facts may be split, hence inner, left and left semi joins.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"skew_join supports inner and left, not {how}")
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"skew_join supports inner, left and left_semi, not {how}")
     cell = F.hash(key)
     joined = facts.withColumn("_cell", cell).join(
         dims.withColumn("_cell", cell), [key, "_cell"], how
@@ -69,7 +89,7 @@ def fan_out_join(
     if present is None:
         present = "_present"
         known = facts.filter(F.col(key).isNotNull()).select(key).distinct()
-        dims = dims.join(known.withColumn(present, F.lit(True)), key, "left")
+        dims = skew_join(dims, known.withColumn(present, F.lit(True)), key, "left")
     stubs = dims.select(key).distinct().withColumn("_stub", F.lit(True))
     many = facts.filter(F.col(key).isNotNull()).unionByName(stubs, allowMissingColumns=True)
     many = many.withColumnRenamed(key, "_fact_key")

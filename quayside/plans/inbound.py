@@ -6,6 +6,10 @@ Shape of the plan. Every source is aggregated to its join key before any join:
 * per (item, PO): quality-control counts and warehouse receipts, in one aggregate;
 * per item: damages and stock in one aggregate, and the first saleable PO line.
 
+Item-keyed sources are first reduced to the items planned in the window, then PO-keyed sources
+to the POs of the remaining lines. Both are semi joins that Spark turns into broadcasts where the
+keys are few and that a hot key can split where they are not.
+
 PO-keyed and (item, PO)-keyed facts are attached to PO lines before the lines meet the
 plan. A line always has a PO, so planned items without one never travel through a join
 on a missing key. The two joins whose key may be very uneven (PO, item) can be split
@@ -77,9 +81,14 @@ class InboundSources:
     stock: DataFrame
 
 
-def po_line_groups(po_lines: DataFrame) -> DataFrame:
+def only_known(rows: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is among `keys`; all rows where no keys are given."""
+    return rows if keys is None else skew_join(rows, keys, key, "left_semi")
+
+
+def po_line_groups(po_lines: DataFrame, skus: DataFrame | None = None) -> DataFrame:
     """Ordered quantity per (item, PO, reference, status); lines missing any are lost."""
-    lines = po_lines.filter(not_cancelled("status"))
+    lines = only_known(po_lines.filter(not_cancelled("status")), skus, "sku")
     return group_agg(lines, ["sku", "pos", "ref", "status"], F.sum("bp_qty").alias("bp_qty"))
 
 
@@ -89,11 +98,11 @@ def cancelled_orders(po_lines: DataFrame) -> DataFrame:
     return group_agg(cancelled, ["pos"], F.count("sku").alias("n_skus"))
 
 
-def header_dates(po_header: DataFrame) -> DataFrame:
+def header_dates(po_header: DataFrame, pos: DataFrame | None = None) -> DataFrame:
     """Distinct due dates per PO."""
     rows = po_header.dropna(how="all")
-    pos = strip_chars("order_id_raw", HEADER_PO_STRIP).alias("pos")
-    return rows.select(pos, "delivery_due").distinct()
+    number = strip_chars("order_id_raw", HEADER_PO_STRIP).alias("pos")
+    return only_known(rows.select(number, "delivery_due"), pos, "pos").distinct()
 
 
 def dock_events(dock_log: DataFrame) -> DataFrame:
@@ -117,16 +126,27 @@ def dock_events(dock_log: DataFrame) -> DataFrame:
     )
 
 
-def po_facts(po_header: DataFrame, dock_log: DataFrame) -> DataFrame:
+def ordered_pos(groups: DataFrame) -> DataFrame:
+    """POs of the line groups; the quantity is read so that the groups' shuffle is shared."""
+    found = groups.groupBy("pos").agg(F.max(F.coalesce("bp_qty", F.lit(0))).alias("_most"))
+    return found.filter(F.col("_most").isNotNull()).select("pos")
+
+
+def po_facts(
+    po_header: DataFrame, dock_log: DataFrame, pos: DataFrame | None = None
+) -> DataFrame:
     """Everything keyed by PO. A PO with several due dates has a row for each."""
-    due = header_dates(po_header)
+    due = header_dates(po_header, pos)
+    dock_log = only_known(dock_log, pos, "pos")
     # After the distinct, a PO has at most one row per calendar day.
     by_po = Window.partitionBy("pos").orderBy(F.col("delivery_due").asc_nulls_last())
     due = due.withColumn("due_rank", F.row_number().over(by_po))
     return due.join(dock_events(dock_log), "pos", "full")
 
 
-def item_po_facts(qc: DataFrame, received: DataFrame) -> DataFrame:
+def item_po_facts(
+    qc: DataFrame, received: DataFrame, skus: DataFrame | None = None
+) -> DataFrame:
     """Quality-control counts and warehouse receipts per (item, PO)."""
     counted = qc.select(
         as_key("sku").alias("sku"), as_key("pos").alias("pos"), "qty_counted", "qc_date"
@@ -138,7 +158,7 @@ def item_po_facts(qc: DataFrame, received: DataFrame) -> DataFrame:
         "received_date",
     )
     return group_agg(
-        stack([counted, taken_in]),
+        only_known(stack([counted, taken_in]), skus, "sku"),
         ["sku", "pos"],
         F.sum("qty_counted").alias("qty_counted"),
         F.max("qc_date").alias("last_qced"),
@@ -151,12 +171,14 @@ def _line_position() -> Column:
     return F.struct("pos", "ref", "status")
 
 
-def item_facts(damages: DataFrame, stock: DataFrame) -> DataFrame:
+def item_facts(
+    damages: DataFrame, stock: DataFrame, skus: DataFrame | None = None
+) -> DataFrame:
     """Damaged and stored units per item."""
     damaged = damages.select(as_key("sku").alias("sku"), F.lit(1).alias("damaged"))
     stored = stock.select(F.col("item_code").alias("sku"), "qty")
     return group_agg(
-        stack([damaged, stored]),
+        only_known(stack([damaged, stored]), skus, "sku"),
         ["sku"],
         F.sum("damaged").alias("qty_damaged"),
         F.sum("qty").alias("qty_putaway"),
@@ -176,6 +198,17 @@ def item_lines(groups: DataFrame, blank: str) -> DataFrame:
     )
 
 
+def _in_window(plan: DataFrame, as_of: date, back: int, fwd: int) -> DataFrame:
+    window = month_window(plan, "gl_year", "gl_month", as_of, back, fwd)
+    return window.filter(F.col("total_cost") > 0)
+
+
+def planned_skus(plan: DataFrame, as_of: date, back: int, fwd: int) -> DataFrame:
+    """Items with any row that `planned_items` may keep, by filters of the scan alone."""
+    rows = _in_window(plan, as_of, back, fwd)
+    return rows.select(item_key("barcode", "ean", "simple_sku").alias("sku")).distinct()
+
+
 def planned_items(plan: DataFrame, as_of: date, back: int, fwd: int) -> DataFrame:
     """Planned rows in the month window, last per (item, month), with a positive cost.
 
@@ -183,9 +216,7 @@ def planned_items(plan: DataFrame, as_of: date, back: int, fwd: int) -> DataFram
     another year may displace one inside the window.
     """
     keyed = plan.withColumn("sku", item_key("barcode", "ean", "simple_sku"))
-    last = keep_last(keyed, ["sku", "gl_month"], ["seq"])
-    window = month_window(last, "gl_year", "gl_month", as_of, back, fwd)
-    return window.filter(F.col("total_cost") > 0)
+    return _in_window(keep_last(keyed, ["sku", "gl_month"], ["seq"]), as_of, back, fwd)
 
 
 def inbound_data(
@@ -202,13 +233,15 @@ def inbound_data(
     only, so that they can be summed. `qty_damaged` repeats on every row of an item:
     a sum over it counts an item once per row.
     """
-    groups = po_line_groups(sources.po_lines)
+    skus = planned_skus(sources.plan, as_of, back, fwd)
+    groups = po_line_groups(sources.po_lines, skus)
     # Line groups per (item, PO) differ by reference and status only.
-    counted = left_join(groups, item_po_facts(sources.qc, sources.received), ["sku", "pos"])
-    lines = skew_join(counted, po_facts(sources.po_header, sources.dock_log), "pos", "left")
+    counted = left_join(groups, item_po_facts(sources.qc, sources.received, skus), ["sku", "pos"])
+    orders = po_facts(sources.po_header, sources.dock_log, ordered_pos(groups))
+    lines = skew_join(counted, orders, "pos", "left")
 
     plan = planned_items(sources.plan, as_of, back, fwd)
-    plan = left_join(plan, item_facts(sources.damages, sources.stock), "sku")
+    plan = left_join(plan, item_facts(sources.damages, sources.stock, skus), "sku")
     plan = left_join(plan, item_lines(groups, blank), "sku")
     deleted = F.coalesce(F.col("procurement_status") == DELETED, F.lit(False))
     # The plan holds at most one row per item and month, so this window is small.
@@ -233,7 +266,7 @@ def inbound_data(
     )
     is_first = F.col("row_class") == FIRST
     keeps_putaway = is_first | ((F.col("row_class") == BLANKED) & ~sample)
-    return wide.select(
+    table = wide.select(
         "seq",
         "row_class",
         "sku",
@@ -270,3 +303,6 @@ def inbound_data(
         F.when(keeps_putaway, F.col("qty_putaway")).alias("qty_putaway"),
         F.when(matches("ref", oversupply), F.col("bp_qty")).alias("oversupply"),
     )
+    # Blank cells of the finished table are missing ones.
+    texts = [f.name for f in table.schema.fields if f.dataType.simpleString() == "string"]
+    return table.withColumns({c: blank_to_null(c) for c in texts})

@@ -52,11 +52,17 @@ def sample_plan(
     return month_window(rows, "gl_year", "gl_month", as_of, months, months)
 
 
+def reduced_history(history: DataFrame, order: str = "seq") -> DataFrame:
+    """Last row per item and first-stage time; missing times form one group."""
+    return keep_last(history, ["sku", SAMPLE_STAGES[0]], [order])
+
+
 def stage_tables(
     history: DataFrame, scans: Mapping[str, DataFrame], shift: date
 ) -> list[DataFrame]:
-    """Per stage: known (item, time) pairs of the history, plus new scans stamped now."""
+    """Per stage: known (item, time) pairs of the reduced history, plus new scans stamped now."""
     tables = []
+    history = reduced_history(history)
     for stage in SAMPLE_STAGES:
         frames = [history.select("sku", stage).dropna().distinct()]
         if stage in scans:
@@ -80,13 +86,20 @@ def stage_chain(tables: list[DataFrame], latest_per_stage: bool = False) -> Data
 
 
 def stage_rows(history: DataFrame, scans: DataFrame, shift: date) -> DataFrame:
-    """History and new scans, given as (sku, number of the stage), as rows of one shape."""
+    """The reduced history and new scans, given as (sku, number of the stage), as rows of one shape."""
     stamped = [
         F.when(F.col("stage") == i, F.lit(shift)).alias(s)
         for i, s in enumerate(SAMPLE_STAGES, 1)
     ]
     new = scans.select(fold_code("sku").alias("sku"), *stamped)
-    return stack([history.select("sku", *SAMPLE_STAGES), new])
+    return stack([reduced_history(history).select("sku", *SAMPLE_STAGES), new])
+
+
+def latest_stages(rows: DataFrame) -> DataFrame:
+    """Per item the last time of every stage, in one aggregate: the chain of the stages' last
+    scans without its joins."""
+    scanned = rows.dropna(subset=["sku"]).dropna(how="all", subset=list(SAMPLE_STAGES))
+    return scanned.groupBy("sku").agg(*[F.max(s).alias(s) for s in SAMPLE_STAGES])
 
 
 def last_stages(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from quayside.functions.text import as_key, blank_to_null, fold_code
 from quayside.operators.aggregates import group_agg
 from quayside.operators.dedupe import keep_last
-from quayside.operators.joins import fan_out_join, left_join, outer_join_filled, skew_join
+from quayside.operators.joins import (
+    fan_out_join,
+    full_join_few,
+    left_join,
+    outer_join_filled,
+    skew_join,
+)
 from quayside.operators.projections import stamp
 from quayside.operators.setops import consolidate
 from quayside.operators.sorting import sort_keys
@@ -138,10 +144,10 @@ def bad_stock(
 ) -> DataFrame:
     """Warehouse bad stock of the day and oversupply, with PO items and contact."""
     today = inventory.filter(F.col("inv_date") == F.lit(as_of)).select(
-        "brand_name", F.col("simple_sku").alias("stock_sku"), "qc_bad_qty"
+        "brand_name", "simple_sku", "qc_bad_qty"
     )
-    surplus = scan_counts(oversupply, "sku", "oversupply")
-    items = outer_join_filled(today, surplus, "stock_sku", "sku", "simple_sku")
+    surplus = scan_counts(oversupply, "sku", "oversupply").withColumnRenamed("sku", "simple_sku")
+    items = full_join_few(today, surplus, "simple_sku")
     details = po_items.select(
         F.col("purchase_order_number").alias("po"),
         "simple_sku",

@@ -193,7 +193,7 @@ def po_progress(with_sample_count: DataFrame) -> DataFrame:
     return scale_by_first(counts, PO_RATIOS)
 
 
-def working_capital(with_sample_count: DataFrame) -> DataFrame:
+def working_capital(with_sample_count: DataFrame, missing_as_zero: bool = False) -> DataFrame:
     """Cost of planned units by the first stage they have not reached."""
     received, booked = F.col("date_received"), F.col("date_booked")
     stages = {
@@ -203,7 +203,7 @@ def working_capital(with_sample_count: DataFrame) -> DataFrame:
         "partial_delivery": F.col("last_qced").isNull(),
     }
     cost = F.col("unit_cost") * F.col("total_units")
-    return waterfall(saleable(with_sample_count), ["gl_month"], cost, stages)
+    return waterfall(saleable(with_sample_count), ["gl_month"], cost, stages, missing_as_zero)
 
 
 def config_weeks(inbound: DataFrame) -> DataFrame:
@@ -238,11 +238,15 @@ def po_summary_per_buyer(with_sample_count: DataFrame) -> DataFrame:
     return go_live_orders(with_sample_count, ("buyer", "gl_month", "gl_day"))
 
 
-def go_live_track(inbound: DataFrame) -> DataFrame:
+def go_live_track(inbound: DataFrame, min_units: int | None = None) -> DataFrame:
     """Status funnel over the first row of each config, by go-live week and by month.
 
+    `min_units` leaves out rows with fewer planned units, or none, before a config's first is taken.
+
     Both tabs come from one pass: each config counts once in either.
     """
+    if min_units is not None:
+        inbound = inbound.filter(F.col("total_units") >= min_units)
     configs = keep_first(inbound, ["config_sku"], frame_order())
     week = F.struct(F.lit("week").alias("tab"), iso_week_day("gl_date").cast("string").alias("period"))
     month = F.struct(F.lit("month").alias("tab"), F.col("gl_month").cast("string").alias("period"))

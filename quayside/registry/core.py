@@ -123,12 +123,12 @@ SELECT * FROM (
 def _inbound_part(back: int, fwd: int) -> str:
     centre = AS_OF.year * 12 + AS_OF.month
     return f"""
-SELECT seq, row_class, sku, simple_sku, simple_name, config_sku, config_name, category, buyer,
-  supplier, designer, procurement_status, gl_day, gl_date, gl_month, gl_year, live_date, unit_cost,
+SELECT seq, row_class, sku, simple_sku, simple_name, config_sku, config_name, category, nullif(buyer, '') AS buyer,
+  nullif(supplier, '') AS supplier, designer, procurement_status, gl_day, gl_date, gl_month, gl_year, live_date, unit_cost,
   CASE WHEN row_class = 0 THEN total_units END AS total_units,
   CASE WHEN row_class = 0 THEN total_cost END AS total_cost,
-  pos, ref, status, bp_qty, delivery_due, date_booked, partial_delivery, date_received,
-  qty_counted, last_qced, qty_damaged, qty_received, last_received,
+  pos, nullif(ref, '') AS ref, status, bp_qty, delivery_due, date_booked,
+  nullif(partial_delivery, '') AS partial_delivery, date_received, qty_counted, last_qced, qty_damaged, qty_received, last_received,
   CASE WHEN row_class = 0 OR (row_class = 2 AND NOT is_sample) THEN qty_putaway END AS qty_putaway,
   CASE WHEN regexp_matches(ref, 'OS|Os|OVERSUPPLY') THEN bp_qty END AS oversupply
 FROM (

@@ -74,12 +74,13 @@ from quayside.operators.setops import consolidate, roll_history, stack
 from quayside.operators.sorting import sort_keys
 from quayside.plans import samples as samples_plan
 from quayside.plans.bookings import BOOKING_FIELDS, booked_orders, next_workday
-from quayside.plans.inbound import frame_order, po_line_groups
+from quayside.plans.inbound import DOCK_DATE_FORMATS, frame_order, po_line_groups
 from quayside.plans.scans import scan_counts
 from quayside.registry.core import (
     AS_OF,
     BLANK,
     BOOKING_DAY,
+    PARTS,
     SCAN_DAY,
     SHIFT,
     inbound,
@@ -114,7 +115,7 @@ def stamped(t: Tables) -> DataFrame:
 @query(
     "prj_03",
     """SELECT seq, CASE WHEN pos <> '' THEN pos END AS pos,
-  CASE WHEN date_booked <> '' THEN date_booked END AS date_booked, partial_delivery,
+  CASE WHEN date_booked <> '' THEN date_booked END AS date_booked, nullif(partial_delivery, '') AS partial_delivery,
   CASE WHEN date_received <> '' THEN date_received END AS date_received FROM dock_log""",
 )
 def without_blanks(t: Tables) -> DataFrame:
@@ -419,15 +420,21 @@ def text_keys(t: Tables) -> DataFrame:
 # --- dates and numbers -----------------------------------------------------------
 
 
+# Every third booking is written day first.
+TYPED_DATE = (
+    "CASE WHEN seq % 3 = 0 AND date_booked <> '' THEN concat(substr(date_booked, 9, 2), '/', "
+    "substr(date_booked, 6, 2), '/', substr(date_booked, 1, 4)) ELSE date_booked END"
+)
+
+
 @query(
     "dat_01",
-    """SELECT seq, coalesce(try_strptime(date_booked, '%Y-%m-%d'), try_strptime(partial_delivery, '%d/%m/%Y')) AS booked
-FROM dock_log""",
+    f"""SELECT seq, coalesce(try_strptime(typed, '%Y-%m-%d'), try_strptime(typed, '%d/%m/%Y')) AS booked
+FROM (SELECT seq, {TYPED_DATE} AS typed FROM dock_log)""",
 )
 def parsed_dates(t: Tables) -> DataFrame:
-    first = parse_timestamp("date_booked", ["yyyy-MM-dd", "dd/MM/yyyy"])
-    second = parse_timestamp("partial_delivery", ["dd/MM/yyyy"])
-    return t.dock_log.select("seq", F.coalesce(first, second).alias("booked"))
+    booked = parse_timestamp(F.expr(TYPED_DATE), DOCK_DATE_FORMATS)
+    return t.dock_log.select("seq", booked.alias("booked"))
 
 
 @query(
@@ -624,34 +631,51 @@ def damages_and_surplus(t: Tables) -> DataFrame:
 
 
 def stage_history(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """History up to the scan day as wide rows, and the scans since."""
+    """History up to the scan day, a wide row per item and week, and the scans since."""
     before = F.col("scan_date") < F.lit(SCAN_DAY)
     stages = [
-        F.when(F.col("stage") == i, F.col("scan_date")).alias(s)
+        F.max(F.when(F.col("stage") == i, F.col("scan_date"))).alias(s)
         for i, s in enumerate(SAMPLE_STAGES, 1)
     ]
     scans = t.stage_scans
-    return scans.filter(before).select("sku", *stages), scans.filter(~before)
+    week = F.floor(F.datediff("scan_date", F.lit("1970-01-01").cast("date")) / 7)
+    rows = scans.filter(before).groupBy("sku", week.alias("_week"))
+    history = rows.agg(F.max("seq").alias("seq"), *stages)
+    return history.select("seq", "sku", *SAMPLE_STAGES), scans.filter(~before)
 
 
-def stage_sql(i: int) -> str:
-    return f"""SELECT DISTINCT sku, scan_date AS s FROM stage_scans WHERE stage = {i} AND scan_date < DATE '2024-01-20'
+STAGES = ", ".join(SAMPLE_STAGES)
+WIDE = ", ".join(
+    f"max(CASE WHEN stage = {i} THEN scan_date END) AS {s}" for i, s in enumerate(SAMPLE_STAGES, 1)
+)
+PARTS["sample_history"] = f"""
+SELECT * FROM (
+  SELECT sku, max(seq) AS seq, {WIDE} FROM stage_scans WHERE scan_date < DATE '2024-01-20'
+  GROUP BY sku, floor((scan_date - DATE '1970-01-01') / 7)
+) QUALIFY row_number() OVER (PARTITION BY sku, {SAMPLE_STAGES[0]} ORDER BY seq DESC) = 1"""
+
+
+def stage_sql(i: int, stage: str) -> str:
+    return f"""SELECT DISTINCT sku, {stage} AS s FROM sample_history WHERE sku IS NOT NULL AND {stage} IS NOT NULL
 UNION ALL SELECT upper(sku), DATE '2024-01-31' FROM stage_scans WHERE stage = {i} AND scan_date >= DATE '2024-01-20'"""
 
 
-STAGE_JOINS = f"(SELECT sku, s AS {SAMPLE_STAGES[0]} FROM ({stage_sql(1)})) t1" + "".join(
-    f" FULL JOIN (SELECT sku, s AS {s} FROM ({stage_sql(i)})) t{i} USING (sku)"
-    for i, s in enumerate(SAMPLE_STAGES, 1)
-    if i > 1
+STAGE_TABLES = [stage_sql(i, s) for i, s in enumerate(SAMPLE_STAGES, 1)]
+# Every combination of the stages of an item, as the literal steps build them.
+STAGE_JOINS = f"(SELECT sku, s AS {SAMPLE_STAGES[0]} FROM ({STAGE_TABLES[0]})) t1" + "".join(
+    f" FULL JOIN (SELECT sku, s AS {s} FROM ({text})) t{i} USING (sku)"
+    for i, (s, text) in enumerate(zip(SAMPLE_STAGES[1:], STAGE_TABLES[1:], strict=True), 2)
+)
+# The last time of each stage, side by side.
+LAST_JOINS = f"(SELECT sku, max(s) AS {SAMPLE_STAGES[0]} FROM ({STAGE_TABLES[0]}) GROUP BY sku) t1" + "".join(
+    f" FULL JOIN (SELECT sku, max(s) AS {s} FROM ({text}) GROUP BY sku) t{i} USING (sku)"
+    for i, (s, text) in enumerate(zip(SAMPLE_STAGES[1:], STAGE_TABLES[1:], strict=True), 2)
 )
-STAGES = ", ".join(SAMPLE_STAGES)
 
 
-@query("jn_05", f"SELECT sku, {STAGES} FROM {STAGE_JOINS}")
+@query("jn_05", f"SELECT sku, {STAGES} FROM {LAST_JOINS}")
 def six_stages(t: Tables) -> DataFrame:
-    history, new = stage_history(t)
-    sheets = {s: new.filter(F.col("stage") == i) for i, s in enumerate(SAMPLE_STAGES, 1)}
-    return samples_plan.stage_chain(samples_plan.stage_tables(history, sheets, SHIFT))
+    return samples_plan.latest_stages(samples_plan.stage_rows(*stage_history(t), SHIFT))
 
 
 @query(

@@ -99,7 +99,7 @@ def snapshot(t: Tables) -> DataFrame:
 
 @query(
     "src_06",
-    """SELECT nullif(pos, '') AS pos, nullif(date_booked, '') AS date_booked, partial_delivery,
+    """SELECT nullif(pos, '') AS pos, nullif(date_booked, '') AS date_booked, nullif(partial_delivery, '') AS partial_delivery,
   nullif(date_received, '') AS date_received FROM dock_log""",
 )
 def sheet(t: Tables) -> DataFrame:

@@ -64,8 +64,8 @@ FROM (
     CASE WHEN p_partkey % 4 = 0 THEN '' WHEN p_partkey % 9 = 0 THEN concat('E', CAST(p_partkey AS STRING)) END AS ean,
     concat('C', lpad(CAST(p_partkey - p_partkey % 4 AS STRING), 6, '0')) AS config_sku,
     concat('Config ', CAST(p_partkey - p_partkey % 4 AS STRING)) AS config_name,
-    p_type AS category, p_brand AS buyer,
-    concat('Supplier', CAST(p_partkey % 40 AS STRING)) AS supplier,
+    p_type AS category, CASE WHEN p_partkey % 41 = 0 THEN '' ELSE p_brand END AS buyer,
+    CASE WHEN p_partkey % 43 = 0 THEN '' ELSE concat('Supplier', CAST(p_partkey % 40 AS STRING)) END AS supplier,
     concat('Designer', CAST(p_partkey % 15 AS STRING)) AS designer,
     p_retailprice AS unit_cost, CAST(p_size + v AS BIGINT) AS total_units,
     CASE WHEN p_partkey % 23 = 0 THEN 0.0 ELSE CAST(p_retailprice * p_size AS DOUBLE) END AS total_cost,
@@ -81,7 +81,7 @@ FROM (
         f"""
 SELECT {_coded("l_partkey % 13 = 0", "N", _ITEM, "l_partkey")} AS sku,
   CAST(l_orderkey AS STRING) AS pos,
-  CASE WHEN l_orderkey % 11 = 0 THEN 'Sample order' WHEN l_orderkey % 13 = 0 THEN 'OVERSUPPLY' WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN 'not OK' ELSE concat('ref ', CAST(l_orderkey % 100 AS STRING)) END AS ref,
+  CASE WHEN l_orderkey % 11 = 0 THEN 'Sample order' WHEN l_orderkey % 13 = 0 THEN 'OVERSUPPLY' WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN 'not OK' WHEN l_orderkey % 41 = 0 THEN '' ELSE concat('ref ', CAST(l_orderkey % 100 AS STRING)) END AS ref,
   CASE WHEN l_orderkey % 19 = 0 THEN 'Cancel PO' WHEN l_orderkey % 5 = 0 THEN 'Draft PO' WHEN l_orderkey % 29 = 0 THEN NULL ELSE 'Placed' END AS status,
   CAST(l_quantity AS BIGINT) AS bp_qty,
   concat('Supplier', CAST(l_suppkey % 40 AS STRING)) AS contact,
@@ -101,7 +101,7 @@ FROM orders""",
 SELECT o_orderkey * 2 + v AS seq,
   CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS STRING) END AS pos,
   CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) + CAST(26 + o_orderkey % 7 + v AS INT) AS STRING) END AS date_booked,
-  CASE WHEN v = 1 THEN 'Yes' ELSE 'No' END AS partial_delivery,
+  CASE WHEN v = 1 THEN 'Yes' WHEN o_orderkey % 8 = 1 THEN '' ELSE 'No' END AS partial_delivery,
   CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) + CAST(24 + o_orderkey % 13 + 3 * v AS INT) AS STRING) END AS date_received
 FROM {_repeated("orders", "o_orderkey % 9 = 0")}""",
     ),

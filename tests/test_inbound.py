@@ -211,10 +211,7 @@ def test_two_due_dates_give_two_rows_but_one_measure(spark):
 
     day = dt.date(1997, 3, 1)
     plan = frame(
-        "seq long, simple_sku string, simple_name string, barcode string, ean string, config_sku string, "
-        "config_name string, category string, buyer string, supplier string, designer string, unit_cost double, "
-        "total_units long, total_cost double, procurement_status string, gl_day int, gl_date date, gl_month int, "
-        "gl_year int, live_date date",
+        PLAN,
         (1, "P1", "n", None, None, "C", "c", "k", "b", "s", "d", 1.0, 7, 7.0, "Approved", 6, day, 3, 1997, None),
     )
     sources = InboundSources(
@@ -238,6 +235,41 @@ def test_two_due_dates_give_two_rows_but_one_measure(spark):
     assert got == [(None, None, None, 2, 2, None), (day, 7, 9, 2, 2, None)]
 
 
+PLAN = (
+    "seq long, simple_sku string, simple_name string, barcode string, ean string, config_sku string, "
+    "config_name string, category string, buyer string, supplier string, designer string, unit_cost double, "
+    "total_units long, total_cost double, procurement_status string, gl_day int, gl_date date, gl_month int, "
+    "gl_year int, live_date date"
+)
+LINES = "sku string, pos string, ref string, status string, bp_qty long"
+
+
+def test_blank_cells_become_missing_and_unplanned_rows_do_not_travel(spark):
+    """Blank buyer, reference and partial delivery; an unplanned item and its order stay out."""
+    day = dt.date(1997, 3, 1)
+    frame = lambda schema, *data: spark.createDataFrame(list(data), schema)
+    sources = InboundSources(
+        plan=frame(PLAN, (0, "P1", "n", None, "", "C1", "cn", "cat", "", "s", "d", 1.0, 7, 7.0, "Approved", 6, day, 3, 1997, day)),
+        po_lines=frame(LINES, ("P1", "1", "", "Placed", 3), ("P9", "2", "r", "Placed", 3)),
+        po_header=frame("order_id_raw string, delivery_due date", ("PO#1", day), ("PO#2", day)),
+        dock_log=frame(
+            "seq long, pos string, date_booked string, partial_delivery string, date_received string",
+            (1, "1", "", "", "1997-02-02"), (2, "2", "", "", "1997-02-02"),
+        ),
+        qc=frame("pos string, sku string, qty_counted long, qc_date date", ("1", "P1", 2, day), ("2", "P9", 2, day)),
+        damages=frame("sku string", ("P1",), ("P9",)),
+        received=frame(
+            "message_reference string, item_code string, quantity_received long, received_date date", ("1", "P1", 9, day)
+        ),
+        stock=frame("item_code string, qty long", ("P1", 4), ("P9", 5)),
+    )
+    out = inbound_data(sources, AS_OF)
+    got = rows(out, "buyer", "ref", "partial_delivery", "date_received", "total_units", "qty_counted", "qty_putaway")
+    assert got == [(None, None, None, dt.date(1997, 2, 2), 7, 2, 4)]
+    # Lines, (item, PO) facts, item facts, header and dock log: each is reduced before it is grouped.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") >= 5
+
+
 def test_a_hot_item_and_a_hot_order_are_split(spark, skewed_conf):
     """A third of the lines on one item, a third on one PO: both joins get split."""
     ids = spark.range(0, 60_000, 1, 8)
@@ -287,6 +319,17 @@ def test_a_hot_item_and_a_hot_order_are_split(spark, skewed_conf):
 # --- samples ---------------------------------------------------------------------
 
 
+def test_history_keeps_the_last_row_per_item_and_first_stage(spark):
+    first, second = SAMPLE_STAGES[:2]
+    day = dt.date(2024, 1, 2)
+    history = spark.createDataFrame(
+        [(1, "A", day, day), (2, "A", day, None), (3, "A", None, day), (4, "A", None, None), (5, "B", None, day)],
+        f"seq long, sku string, {first} date, {second} date",
+    )
+    kept = samples.reduced_history(history).select("seq").collect()
+    assert sorted(r.seq for r in kept) == [2, 4, 5]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_last_stages_equal_the_chain(spark, seed):
     rng = random.Random(seed)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from quayside.operators.joins import (
     fan_out_join,
+    full_join_few,
+    left_join,
     outer_chain,
     outer_join_filled,
     right_join,
@@ -26,7 +28,7 @@ def dims(spark):
     return spark.createDataFrame(data, "k string, w int").cache()
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_skew_join_equals_plain(facts, dims, how):
     assert bag(skew_join(facts, dims, "k", how)) == bag(facts.join(dims, "k", how))
 
@@ -76,7 +78,7 @@ def skewed(spark):
     return facts, dims
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_a_hot_key_is_split_at_run_time(spark, skewed_conf, how):
     facts, dims = skewed(spark)
     df = skew_join(facts, dims, "k", how)
@@ -105,3 +107,30 @@ def test_a_hot_key_on_the_right_is_split(spark, skewed_conf):
     df = fan_out_join(dims, facts, "k")
     assert run(df) == 60_000
     assert "skew=true" in plan_text(df)
+
+
+def test_hot_dims_are_split_in_both_joins(spark, skewed_conf):
+    """Without `present`, the mark is joined by a splittable join as well."""
+    facts, dims = skewed(spark)
+    df = fan_out_join(facts, dims, "k")
+    assert run(df) == 60_000
+    assert plan_text(df).count("skew=true") >= 2
+
+
+def test_full_join_few_equals_a_full_join_and_is_split(spark, skewed_conf):
+    facts, dims = skewed(spark)
+    many = facts.filter(F.col("v") % 5 != 1)
+    found = full_join_few(many, dims, "k")
+    plain = many.join(dims, "k", "full").select(*found.columns)
+    assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+    run(found)
+    assert "skew=true" in plan_text(found)
+
+
+def test_missing_keys_match_on_request(spark):
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, v int")
+    b = spark.createDataFrame([(None, 7)], "k string, w int")
+    rows = lambda df: sorted((r.v, r.w) for r in df.collect())
+    assert rows(left_join(a, b, "k")) == [(1, None), (2, None)]
+    assert rows(left_join(a, b, "k", null_safe=True)) == [(1, None), (2, 7)]
+    assert left_join(a, b, ["k"], null_safe=True).columns == ["k", "v", "w"]

@@ -154,6 +154,15 @@ def test_waterfall_propagates_missing_stages(spark):
     assert rows(out) == [(1, 10.0, 5.0, 2.0), (2, None, None, None)]
 
 
+def test_missing_stages_count_as_zero_on_request(spark):
+    rows = spark.createDataFrame([("g", 5.0, False, True)], "g string, amount double, a boolean, b boolean")
+    stages = {"first": F.col("a"), "second": F.col("b")}
+    plain = waterfall(rows, ["g"], F.col("amount"), stages).first()
+    zeros = waterfall(rows, ["g"], F.col("amount"), stages, missing_as_zero=True).first()
+    assert (plain["first"], plain["second"]) == (None, None)
+    assert (zeros["first"], zeros["second"]) == (0.0, 5.0)
+
+
 def test_blank_keys_and_precedence(spark):
     df = spark.createDataFrame(
         [("", "", "P1"), (None, "E1", "P1"), ("B1", "E1", "P1"), ("", "E1", "P1")],
