@@ -50,10 +50,10 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_state(df: DataFrame, path: str, partition: str) -> None:
+def append_state(df: DataFrame, path: str, *partition: str) -> None:
     """Write the partitions that `df` holds; a rerun replaces them and leaves all others as they are."""
-    writer = df.hint("rebalance", partition).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    writer = df.hint("rebalance", *partition).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
 def expire_state(spark: SparkSession, path: str, partition: str, first: date) -> list[str]:
