@@ -142,7 +142,7 @@ def two_level(t: Tables) -> DataFrame:
 @query(
     "agg_08",
     """SELECT supplier, round(1.0 - count(date_booked) / count(*), 6) AS not_booked,
-  round(1.0 - count(date_received) / count(*), 6) AS not_delivered FROM inbound GROUP BY supplier""",
+  round(1.0 - count(date_received) / count(*), 6) AS not_delivered FROM inbound WHERE supplier IS NOT NULL GROUP BY supplier""",
 )
 def shares(t: Tables) -> DataFrame:
     return rounded(
@@ -158,7 +158,7 @@ def shares(t: Tables) -> DataFrame:
 @query(
     "agg_09",
     """SELECT supplier, round(abs(sum(qty_counted) / nullif(sum(total_units), 0)), 6) AS in_full
-FROM inbound GROUP BY supplier""",
+FROM inbound WHERE supplier IS NOT NULL GROUP BY supplier""",
 )
 def in_full_share(t: Tables) -> DataFrame:
     return rounded(
