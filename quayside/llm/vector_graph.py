@@ -121,7 +121,7 @@ def centroids(vectors: DataFrame, count: int, sample_rows: int, steps: int = 6)
 
 
 ASSIGNED = "rep bigint, vector array<double>, copies bigint, shards array<int>"
-FOUND = "rep bigint, links bigint, least bigint, doors array<struct<shard:bigint,entry:bigint>>"
+FOUND = "rep bigint, links bigint, root bigint, doors array<struct<shard:bigint,entry:bigint>>"
 
 
 def linked(
@@ -151,8 +151,8 @@ def linked(
     lists from its shards are united. Every point is a query in its own shards, from each shard's medoid.
     Points found within range that also lie in shards the query has not been to are doors: the query
     goes on there from them, round by round, until no door is new. A pair is counted in the first shard that the
-    query meets it in, by rounds and then by number, so counts, smallest neighbours and doors leave a
-    task, but no pairs. Links are exact: each is verified by its cosine.
+    query meets it in, by rounds and then by number, so counts, doors and a spanning forest of all links met leave
+    a task, but no pairs. Links are exact: each is verified by its cosine.
 
     The result is audited: link counts of about `audit_rows` vectors are held against brute force over
     all rows. Under `least_recall` all is done again with more overlap and a wider beam; if that
@@ -177,11 +177,11 @@ def linked(
         valid.join(points.where("copies > 1").select("vector", "rep", "copies"), "vector").select("vec_id", "rep", "copies")
     )
     sizes = [r.n for r in points.groupBy(F.size("vector").alias("n")).count().orderBy("n").collect()]
-    found = None
+    found = edges = None
     for size in sizes:  # one embedding model gives one length; others are graphs of their own
         part = points.where(F.size("vector") == size)
         for _ in range(3):
-            links = _graph_links(
+            links, forest = _graph_links(
                 part, scratch, size, threshold, overlap, shard_rows, degree, pool, alpha, beam, slack, sample_rows
             )
             recall = audit(part, links, scratch, threshold, audit_rows)
@@ -191,10 +191,12 @@ def linked(
         else:
             raise RuntimeError(f"the graph finds {recall:.3f} of the links, under {least_recall}")
         found = links if found is None else found.unionByName(links)
+        edges = forest if edges is None else edges.unionByName(forest)
     if found is None:
         empty = F.lit(None).cast("bigint")
-        found = points.select("rep", empty.alias("links"), empty.alias("least")).where("false")
-    joined = components(scratch, found.where("least IS NOT NULL").select(F.col("rep").alias("a"), F.col("least").alias("b")))
+        found = points.select("rep", empty.alias("links")).where("false")
+        edges = points.select(F.col("rep").alias("a"), empty.alias("b")).where("false")
+    joined = components(scratch, edges)
     per = points.select("rep", "copies").join(found.select("rep", "links"), "rep", "left")
     per = per.join(joined, F.col("rep") == F.col("node"), "left")
     per = scratch.keep(
@@ -217,8 +219,8 @@ def linked(
 def _graph_links(
     points: DataFrame, scratch: Scratch, size: int, threshold: float, overlap: int, shard_rows: int,
     degree: int, pool: int, alpha: float, beam: int, slack: float, sample_rows: int,
-) -> DataFrame:
-    """(rep, links, least) of the points with links to other points."""
+) -> tuple[DataFrame, DataFrame]:
+    """(rep, links) of the points with links to other points, and edges (a, b) that join what these links join."""
     spark = points.sparkSession
     total = points.count()
     count = min(max(1, math.ceil(total * overlap / shard_rows)), 16_384)
@@ -278,7 +280,7 @@ def _graph_links(
             return step(shard, queries)
 
         met = scratch.keep(visit.groupBy("shard").cogroup(graph.groupBy("shard")).applyInPandas(lambda q, s: go(s, q), FOUND))
-        rounds.append(met.select("rep", "links", "least"))
+        rounds.append(met.select("rep", "links", "root"))
         been = visit.groupBy("rep").agg(F.first(F.concat("before", "now")).alias("before"))
         doors = met.where(F.size("doors") > 0).select("rep", F.explode("doors").alias("door"))
         doors = doors.groupBy("rep", F.col("door.shard").alias("shard")).agg(F.collect_set("door.entry").alias("entries"))
@@ -288,13 +290,17 @@ def _graph_links(
         visit = scratch.keep(following.select("shard", "rep", "vector", "before", "now", "entries"))
         if visit.isEmpty():
             break
-    found = functools.reduce(DataFrame.unionByName, rounds).where("links > 0")
-    return scratch.keep(found.groupBy("rep").agg(F.sum("links").alias("links"), F.min("least").alias("least")))
+    found = functools.reduce(DataFrame.unionByName, rounds)
+    edges = found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    return scratch.keep(found.where("links > 0").groupBy("rep").agg(F.sum("links").alias("links"))), edges
 
 
 def _visit(shard: pd.DataFrame, queries: pd.DataFrame, threshold: float, beam: int, slack: float) -> pd.DataFrame:
-    """Search one shard for its queries; see `linked` for which pairs count here."""
-    empty = pd.DataFrame({"rep": [], "links": [], "least": [], "doors": []}, dtype=object)
+    """Search one shard for its queries; see `linked` for which pairs count here.
+
+    A row with links is a query and its own root; the others are the edges of the forest.
+    """
+    empty = pd.DataFrame({"rep": [], "links": [], "root": [], "doors": []}, dtype=object)
     if not len(queries) or not len(shard):
         return empty
     shard = shard.sort_values("rep", ignore_index=True)
@@ -309,11 +315,17 @@ def _visit(shard: pd.DataFrame, queries: pd.DataFrame, threshold: float, beam: i
     queries = queries.sort_values("rep", ignore_index=True)
     entries = [np.array([medoid, *(at[e] for e in q if e in at)], np.int64) for q in queries["entries"]]
     wanted = np.stack(queries["vector"].to_numpy())
+    # Labels of what the links join: places in `names`, whose order makes the smallest one the root.
+    names = np.union1d(reps, queries["rep"].to_numpy(np.int64))
+    label, inside, own = np.arange(len(names)), np.searchsorted(names, reps), np.searchsorted(names, queries["rep"])
     out = []
     for k, hits, sims in search(vectors, neighbours, wanted, entries, beam, threshold, slack):
         rep, before, now = int(queries["rep"][k]), set(queries["before"][k].tolist()), queries["now"][k].tolist()
         been = before.union(now)
-        links, least, doors = 0, None, {}
+        joins = np.unique(label[np.append(inside[hits], own[k])])
+        if len(joins) > 1:
+            label[np.isin(label, joins)] = joins[0]
+        links, doors = 0, {}
         for hit in hits.tolist():
             other = int(reps[hit])
             if other == rep:
@@ -321,13 +333,14 @@ def _visit(shard: pd.DataFrame, queries: pd.DataFrame, threshold: float, beam: i
             shards = places[hit]
             if before.isdisjoint(shards) and min(s for s in now if s in shards) == number:
                 links += int(copies[hit])
-                least = other if least is None else min(least, other)
                 for s in shards:
                     if s not in been:
                         doors.setdefault(s, other)
         if links:
-            out.append((rep, links, least, [{"shard": s, "entry": e} for s, e in doors.items()]))
-    return pd.DataFrame(out, columns=["rep", "links", "least", "doors"]) if out else empty
+            out.append((rep, links, rep, [{"shard": s, "entry": e} for s, e in doors.items()]))
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    out += [(a, 0, b, []) for a, b in zip(names[moved].tolist(), names[label[moved]].tolist(), strict=True)]
+    return pd.DataFrame(out, columns=["rep", "links", "root", "doors"]) if out else empty
 
 
 def audit(points: DataFrame, links: DataFrame, scratch: Scratch, threshold: float, rows: int) -> float:

@@ -222,6 +222,26 @@ def test_vector_links_equal_brute_force_over_blocks_and_doors(spark, scratch):
         assert (got <= true.sum(axis=1)).all() and got.sum() / true.sum() >= 0.95
 
 
+def test_vector_components_follow_every_link(spark, scratch):
+    angles = {1: 0, 3: 20, 4: 40, 2: 60}  # 1-3, 3-4 and 4-2 are links; 3-4 is the smallest one at neither end
+    chain = [(i, [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))]) for i, a in angles.items()]
+    table = spark.createDataFrame(chain, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_graph.linked(table, scratch).collect()}
+    assert found == {1: (1, 1, True), 3: (2, 1, False), 4: (2, 1, False), 2: (1, 1, False)}
+    draw = np.random.default_rng(8)
+    base = np.repeat(draw.normal(size=(60, 24)), 20, axis=0)
+    x = (base + 0.3 * draw.normal(size=base.shape))[draw.permutation(1200)]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = u @ u.T >= 0.9
+    label = np.arange(len(x))
+    while (following := np.where(true, label[None, :], len(x)).min(axis=1)).tolist() != label.tolist():
+        label = following
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = sorted(vector_graph.linked(table, scratch).collect())
+    assert [r.n_links for r in rows] == (true.sum(axis=1) - 1).tolist()
+    assert [r.component_id for r in rows] == label.tolist() and all(r.kept == (r.vec_id == r.component_id) for r in rows)
+
+
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
