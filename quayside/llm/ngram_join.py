@@ -171,6 +171,7 @@ def linked(
     threshold: float = 0.8,
     recall: float = 0.9999,
     capacity: int = 1_000_000,
+    unit_rows: int = 1000,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, copy_id, n_links, class_id, size (distinct n-grams).
 
@@ -181,8 +182,9 @@ def linked(
     Documents with equal sets are one representative. Band hashes of representatives are shuffled;
     members of a bucket are linked to its smallest one and the components of those candidate links
     are found. A component whose sets hold at most `capacity` n-grams is compared as a whole; of larger
-    ones each bucket is. A unit over the capacity is dealt into blocks, and each pair of blocks is a
-    task of its own, so no task's memory grows with the group and no pair is missed. In a task, pairs
+    ones each bucket is. A unit over the capacity, or of more than `unit_rows` members, is dealt into blocks, and
+    each pair of blocks is a task of its own, so no task's memory, which grows with its n-grams and the square
+    of its members, grows with the group and no pair is missed. In a task, pairs
     that share a band (and, for buckets, no earlier band) are verified on their full sets; counts of
     links and a spanning forest leave the task, never the pairs. The sets are computed anew from the
     texts of candidates, so they are neither written nor shuffled for documents without one.
@@ -223,9 +225,10 @@ def linked(
     parts = placed.where(F.col("weight") > capacity).select("rep", "size", "copies")
     parts = parts.join(member_of, "rep").select("rep", "size", "copies", "band", F.col("hash").alias("unit"))
     members = scratch.keep(whole.unionByName(parts))
-    # A bucket's weight decides its blocks; components within the capacity are one block.
-    heavy = members.where("band >= 0").groupBy("band", "unit").agg(F.sum("size").alias("weight"))
-    heavy = heavy.select("band", "unit", F.ceil(F.col("weight") / capacity).cast("int").alias("blocks"))
+    # A unit's n-grams and members decide its blocks.
+    heavy = members.groupBy("band", "unit").agg(F.sum("size").alias("weight"), F.count("rep").alias("rows"))
+    share = F.greatest(F.col("weight") / capacity, F.col("rows") / unit_rows)
+    heavy = heavy.select("band", "unit", F.ceil(share).cast("int").alias("blocks"))
     heavy = scratch.keep(heavy.where("blocks > 1"))
     members = members.join(heavy, ["band", "unit"], "left")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")

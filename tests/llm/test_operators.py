@@ -97,6 +97,37 @@ def test_near_copies_equal_brute_force(spark, scratch, sf_dir, capacity):
     assert sum(bool(n) for n in near.values()) > 10
 
 
+@pytest.mark.parametrize("capacity", [1_000_000, 60_000])
+def test_near_copies_bound_a_task_by_members(spark, scratch, monkeypatch, capacity):
+    draw, n = np.random.default_rng(3), 2500
+    bodies = []
+    for i in range(n):  # short forms; not all pairs are links
+        own = [f"w{k}" for k in range(44)]
+        own[int(draw.integers(0, 3))], own[int(draw.integers(38, 44))] = f"x{i}", f"y{i % 40}"
+        bodies.append(" ".join(own))
+    sets = [ngram_join.shingles(b.encode(), 5) for b in bodies]
+    grams, at = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros((n, len(grams)), np.float32)
+    held[np.repeat(np.arange(n), [len(s) for s in sets]), at] = 1
+    shared, sizes = held @ held.T, held.sum(axis=1)
+    hashes = np.array([ngram_join.band_hashes(s, *ngram_join.choose_bands(0.8, 0.9999)) for s in sets])
+    true = (shared >= 0.8 * (sizes[:, None] + sizes[None, :] - shared) - 1e-6) & sum(h[:, None] == h[None, :] for h in hashes.T).astype(bool)
+    label = np.arange(n)
+    while (following := np.where(true, label[None, :], n).min(axis=1)).tolist() != label.tolist():
+        label = following
+    links_of = ngram_join._links_of
+
+    def bounded(unit, threshold):
+        assert len(unit) <= 2200, len(unit)
+        return links_of(unit, threshold)
+
+    monkeypatch.setattr(ngram_join, "_links_of", bounded)
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string")
+    rows = sorted(ngram_join.linked(docs, scratch, capacity=capacity).collect())
+    assert [r.n_links for r in rows] == (true.sum(axis=1) - 1).tolist() and 0 < true.sum() < n * n
+    assert [r.class_id for r in rows] == label.tolist()
+
+
 def test_decontamination_odd_rows_and_blocks(spark, scratch):
     passage = " ".join(f"b{i}" for i in range(30))
     items = spark.createDataFrame(
