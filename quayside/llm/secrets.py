@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import sole, texts
 
-# A candidate is a run of characters that keys are written in, long enough to be one.
+# Candidates are runs of characters that keys are written in, long enough to be one, and what `places` finds.
 CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=-]{16,}")
 # What stands before a value that is assigned to a name.
 ASSIGNED = re.compile(rb"([A-Za-z0-9_.-]{1,40})[\"']?\s{0,2}(?:=>|:=|=|:)\s{0,2}[\"']?$")
@@ -24,6 +24,36 @@ CREDENTIAL = re.compile(rb"token|secret|passw|passwd|pwd|api.?key|apikey|auth|cr
 PLACEHOLDER = re.compile(rb"example|sample|dummy|placeholder|changeme|xxxx|your[_-]|test|fake|redacted", re.I)
 # Beginnings that issuers give their keys.
 ISSUED = re.compile(rb"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk-|AIza|eyJ)")
+# A credential's name before what assigns a value, and the value: quoted up to the closing quote, or up to a space.
+NAMED = re.compile(
+    rb"(?:token(?!i)|secret(?!ar)|passw|pwd|api.?key|auth(?!or(?!ization))|credential|private|access.?key|bearer)"
+    rb"[A-Za-z0-9_.-]{0,40}[\"'`\]]{0,2}(?:\s{0,2}:\s{0,2}[A-Za-z0-9_.]{1,40})?\s{0,2}$",
+    re.I,
+)
+ASSIGNS = re.compile(rb"=>|:=|=|:")
+VALUE = re.compile(
+    rb"\s{0,2}(?:(?:bearer|basic)\s{1,2})?"
+    rb"(?:\"((?:\\.|[^\"\\\r\n])+)\"|'((?:\\.|[^'\\\r\n])+)'|`((?:\\.|[^`\\\r\n])+)`|[\"'`]?((?:[^\s\"'`]|[\"'`](?=\w))+))",
+    re.I,
+)
+# In addresses: a password or a key before the host, and the values of a query.
+USER = re.compile(rb"://(?:[^\s/?#:@\"'<>]*:)?([^\s/?#\"'<>]+)@")
+QUERY = re.compile(rb"[?&][A-Za-z0-9_.~%\[\]-]{1,40}=([^\s&#\"'`<>]+)")
+
+
+def places(text: bytes) -> Iterator[tuple[int, int, bool]]:
+    """Where a value stands that may be a secret by its place, and whether the place names a credential."""
+    queried = set()  # in a query a value ends at the next one's name
+    for m in QUERY.finditer(text):
+        queried.add(m.start(1))
+        yield (*m.span(1), False)
+    for m in USER.finditer(text):
+        yield (*m.span(1), True)
+    for m in ASSIGNS.finditer(text):
+        if NAMED.search(text[max(0, m.start() - 96) : m.start()]) and (value := VALUE.match(text, m.end())):
+            if value.start(value.lastindex) not in queried:
+                yield (*value.span(value.lastindex), True)
+
 
 FEATURES = (
     "length", "digits", "upper", "lower", "marks", "entropy", "switches", "transition", "rarest",
@@ -106,8 +136,8 @@ def coverage(value: bytes, known: frozenset[str]) -> float:
     return held / len(low)
 
 
-def describe(text: bytes, start: int, end: int, path: str, log: np.ndarray, known: frozenset[str]) -> list[float]:
-    """The features of one candidate, in the order of FEATURES."""
+def describe(text: bytes, start: int, end: int, path: str, log: np.ndarray, known: frozenset[str], named: bool = False) -> list[float]:
+    """The features of one candidate, in the order of FEATURES; `named` tells that its place names a credential."""
     value = text[start:end]
     n = len(value)
     raw = np.frombuffer(value, np.uint8)
@@ -124,11 +154,11 @@ def describe(text: bytes, start: int, end: int, path: str, log: np.ndarray, know
     longest = max((len(m.group()) for m in re.finditer(rb"(.)\1*", value)), default=0)
     return [
         n, digits / n, upper / n, (n - digits - marks - upper) / n, marks / n,
-        float(-(share * np.log2(share)).sum()), float((kind[1:] != kind[:-1]).mean()),
-        float(steps.mean()), float(steps.min()), coverage(value[:256], known),
+        float(-(share * np.log2(share)).sum()), float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
+        float(steps.mean()) if n > 1 else 0.0, float(steps.min()) if n > 1 else 0.0, coverage(value[:256], known),
         float(re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value) is not None), float(n in (20, 32, 36, 40, 64)),
-        float(ISSUED.match(value) is not None), float(assigned is not None),
-        float(assigned is not None and CREDENTIAL.search(assigned.group(1)) is not None),
+        float(ISSUED.match(value) is not None), float(named or assigned is not None),
+        float(named or assigned is not None and CREDENTIAL.search(assigned.group(1)) is not None),
         float(PLACEHOLDER.search(value + b" " + before[-24:]) is not None),
         float(before[-1:] in (b'"', b"'", b"`")), float(re.search(rb"(://|@|www\.)\S*$", before) is not None or after[:1] == b"@"),
         float(CREDENTIAL.search(before) is not None), float(after[:1] in (b'"', b"'", b"`")),
@@ -213,9 +243,12 @@ class Scanner:
         if not text:
             return []
         known = dictionary(self.dictionary_path)
+        spans = {m.span(): False for m in CANDIDATE.finditer(text)}
+        for start, end, named in places(text):
+            spans[start, end] = named or spans.get((start, end), False)
         return [
-            (m.start(), m.end(), describe(text, m.start(), m.end(), path or "", self.log, known))
-            for m in CANDIDATE.finditer(text)
+            (start, end, describe(text, start, end, path or "", self.log, known, named))
+            for (start, end), named in sorted(spans.items())
         ]
 
 
@@ -225,6 +258,7 @@ FOUND = "doc_id bigint, start bigint, length bigint, value_sha256 string, featur
 def findings(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """One row per candidate of `docs` (doc_id, text, source): where it lies, its features and score.
 
+    Candidates may overlap: an assigned value and a run inside it are judged each.
     start and length count characters. The value itself is not returned, only its SHA-256. Without
     a forest the score is null. Null and empty texts have no candidates; the source stands for the
     path and may be null.
@@ -241,9 +275,8 @@ def findings(docs: DataFrame, scanner: Scanner) -> DataFrame:
                 at = chars = 0
                 for start, end, features in known.candidates(text, path):
                     chars += len(text[at:start].decode())
-                    rows.append((doc, chars, end - start, hashlib.sha256(text[start:end]).hexdigest(), features))
-                    chars += end - start  # a candidate is ASCII
-                    at = end
+                    at, value = start, text[start:end]
+                    rows.append((doc, chars, len(value.decode()), hashlib.sha256(value).hexdigest(), features))
             if not rows:
                 continue
             columns = list(zip(*rows, strict=True))
@@ -267,18 +300,23 @@ def feature(name: str) -> Column:
     return F.element_at("features", FEATURES.index(name) + 1)
 
 
+def sure(value: Callable):
+    """Whether form and place alone tell a secret; `value` gives a feature by name, as a column or an array."""
+    mixed = (value("digits") > 0.05) & (value("upper") + value("lower") > 0) & (value("entropy") > 2.5)
+    named = (value("issued") == 1) | ((value("credential_name") == 1) & (value("coverage") < 0.3))
+    return mixed & (value("placeholder") == 0) & named
+
+
 def distant_label() -> Column:
     """Label of a finding by form and place alone, null where these do not decide.
 
-    1: issued form, or a mixed value assigned to a credential's name; no placeholder about it.
-    0: a placeholder, a value without digits, part of an address, or a value that the dictionary
-    covers by more than half.
+    1: issued form, or a mixed value assigned to a credential's name, in an address as elsewhere; no placeholder about it.
+    0: a placeholder, or, of neither an issued form nor a credential's name: a value without digits, part of an
+    address, or a value that the dictionary covers by more than half.
     """
-    mixed = (feature("digits") > 0.05) & (feature("entropy") > 2.5)
-    clean = (feature("placeholder") == 0) & (feature("in_address") == 0)
-    wrong = (feature("digits") == 0) | (feature("placeholder") == 1) | (feature("in_address") == 1) | (feature("coverage") > 0.5)
-    named = (feature("issued") == 1) | ((feature("credential_name") == 1) & (feature("coverage") < 0.3))
-    return F.when(mixed & clean & named, 1).when(wrong, 0)
+    held = (feature("issued") == 1) | (feature("credential_name") == 1)
+    wrong = ~held & ((feature("digits") == 0) | (feature("in_address") == 1) | (feature("coverage") > 0.5))
+    return F.when(sure(feature), 1).when(wrong | (feature("placeholder") == 1), 0)
 
 
 def train(labelled: DataFrame, trees: int = 24, sample_rows: int = 20_000, held_out: Column | None = None) -> Forest:
@@ -330,7 +368,8 @@ def fitted(docs: DataFrame, dictionary_path: str, scratch, **options) -> tuple[S
 def scanned(docs: DataFrame, dictionary_path: str, scratch, threshold: float = 0.5, **options) -> DataFrame:
     """Findings of `docs`: doc_id, start, length, value_sha256, label, score and is_secret.
 
-    Each candidate is scored by the forest, labelled or not. Repeated rows give repeated findings.
+    Each candidate is scored by the forest, labelled or not; is_secret holds from `threshold` on and where the
+    label is 1, so that a kind of secret too rare to be learned from is found as well. Repeated rows give repeated findings.
     An empty table gives no rows.
     """
     scanner, known = fitted(docs, dictionary_path, scratch, **options)
@@ -348,7 +387,7 @@ def scanned(docs: DataFrame, dictionary_path: str, scratch, threshold: float = 0
 
     schema = "doc_id bigint, start bigint, length bigint, value_sha256 string, label int, score double"
     out = known.mapInArrow(score, schema)
-    return out.withColumn("is_secret", F.col("score") >= threshold)
+    return out.withColumn("is_secret", (F.col("score") >= threshold) | F.coalesce(F.col("label") == 1, F.lit(False)))
 
 
 def redacted(
@@ -373,13 +412,15 @@ def redacted(
             out, counted = [], batch.column(size).to_pylist() if size is not None else None
             for i, (text, where) in enumerate(zip(bodies, paths, strict=True)):
                 found = known.candidates(text, str(where or ""))
-                scores = known.forest.scores(np.array([f for *_, f in found])) if found else ()
-                cuts = [f[:2] for f, s in zip(found, scores, strict=True) if s >= threshold]
+                rows = np.array([f for *_, f in found]).reshape(len(found), len(FEATURES))
+                secret = (known.forest.scores(rows) >= threshold) | sure(lambda name: rows[:, FEATURES.index(name)])  # noqa: B023
+                cuts = [f[:2] for f, s in zip(found, secret, strict=True) if s]
                 if cuts:
                     parts, done = [], 0
                     for start, end in cuts:
-                        parts += [text[done:start], mark.encode()]
-                        done = end
+                        if start >= done:
+                            parts += [text[done:start], mark.encode()]
+                        done = max(done, end)  # what overlaps is one mark
                     text = b"".join([*parts, text[done:]])
                     if counted is not None:
                         counted[i] = len(text.decode())

@@ -190,6 +190,27 @@ def test_secrets_odd_rows_and_redaction(spark, scratch, sf_dir):
     assert secrets.redacted(docs.limit(0), WORD_BPE, scratch).count() == 0
 
 
+def test_secrets_by_place_are_candidates(spark, scratch, sf_dir):
+    key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    held = {1: ('password = "Tr0ub4dor&3" x', "Tr0ub4dor&3"), 2: (f"see https://user:{key}@host/x", key), 3: (f"é https://h/p?access_token={key}&b=2", key),
+            4: ("pwd: s3cr.t!9@Zé\nnext", "s3cr.t!9@Zé"), 5: ("postgres://bob:q7%Zx!2@db/x", "q7%Zx!2"), 6: ("Authorization: Bearer aB3.dE5-gH7", "aB3.dE5-gH7"),
+            7: ("password='onlyletters'", "onlyletters")}
+    plain = [(100 + i, f"Author: Jo Doe{i} https://host{i}.net/a/page{i}of2345678901?page={i} and the time: 12:30") for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in held.items()] + plain, "doc_id bigint, text string")
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select(-F.col("doc_id") - 1, "text")
+    docs = docs.union(given)  # what the forest mostly learns from
+    rows = secrets.scanned(docs, WORD_BPE, scratch).collect()
+    text = docs.toPandas().set_index("doc_id")["text"]
+    found = {(r.doc_id, text[r.doc_id][r.start : r.start + r.length]): r for r in rows}
+    for i, (_, value) in held.items():
+        assert found[i, value].label == (None if i == 7 else 1)
+    assert not any(r.is_secret for r in rows if r.doc_id >= 100)
+    out = {r.doc_id: r.text for r in secrets.redacted(docs, WORD_BPE, scratch).collect()}
+    assert out[3].startswith("é https://h/p?") and out[3].endswith("[secret]&b=2")  # the run holds the value's name too
+    assert {i: out[i] for i in held if i not in (3, 7)} == {i: t.replace(v, "[secret]") for i, (t, v) in held.items() if i not in (3, 7)}
+    assert all(out[i] == t for i, t in plain)
+
+
 def test_archives_odd_rows(spark, scratch):
     pages = spark.createDataFrame(
         [(1, "http://a/\r\nX: y", "same"), (2, None, "same"), (3, "u", "same"), (4, "u", None), (5, "u", ""), (None, "u", "z"), (6, "u", "é" * 2_000_000), (6, "u", "é" * 2_000_000)],
