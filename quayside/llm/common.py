@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.session import remove_path, scratch_path
@@ -138,6 +138,32 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
             return current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
 
 
+def numbered(scratch: Scratch, rows: DataFrame, group: str, order: list[str], name: str = "place", total: str = "total") -> DataFrame:
+    """`rows`, written, with each row's place (from 0) in its group's order and the group's number of rows.
+
+    Rows are dealt by ranges of (group, order), so that one group may spread over many tasks. Each range
+    counts its rows per group; running sums over the ranges give the places. Rows equal in `order` follow in the
+    order they were written in, which also parts them, so that no range grows with the copies of a row.
+    Missing values come first. `rows` should be a written table, as dealing by ranges reads it twice.
+    """
+    at = scratch.keep(rows.withColumn("_at", F.monotonically_increasing_id()))
+    ranges = at.repartitionByRange(group, *order, "_at").sortWithinPartitions(group, *order, "_at")
+    # The lower 33 bits number the rows of a task; the upper ones are the task.
+    held = scratch.keep(ranges.drop("_at").withColumn("_seq", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_seq", 33)))
+    per = held.groupBy("_part", group).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # A group has one row per range here.
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(
+        F.col("_part").alias("_p"),
+        F.col(group).alias("_g"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy(group)).alias(total),
+    )
+    placed = held.join(per, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    scratch.drop(at)
+    return placed.withColumn(name, F.col("_seq") + F.col("_shift")).drop("_part", "_p", "_g", "_shift", "_seq")
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(
         edges.agg(

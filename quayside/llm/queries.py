@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, linkgraph, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
+from quayside.llm import decontaminate, linkgraph, merkle, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
 from quayside.llm.common import Scratch, ship, table
 
 QUERIES = {}
@@ -188,3 +188,84 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_join")
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), Scratch(spark, "op10")).drop("size")
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_sql(levels: int = 5) -> str:
+    """The same tree, unrolled: up to 16 ** `levels` rows a source, and sources."""
+    part = "coalesce(CAST(octet_length(encode({0})) AS VARCHAR) || ':' || {0}, '-')".format
+    own = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in [*own, text]) + ")"
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    step = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    parts = [
+        "t0 AS (SELECT i, CAST(i AS BIGINT) AS c FROM range(256) r(i))",
+        *[f"t{k} AS (SELECT i, {step} AS c FROM t{k - 1})" for k in range(1, 9)],
+        "crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM t8)",
+        f"""rows_ AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(lowered)} AS lowered,
+  xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+    lambda c, d: xor(c >> 8, crcs[xor(c & 255, d) + 1])), 4294967295) % 5 = 0 AS tampered FROM documents, crc_table)""",
+        """p0 AS (SELECT coalesce('1' || source, '0') AS grp, *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS total FROM rows_)""",
+    ]
+
+    def climb(name: str) -> None:
+        parts.append(f"{name}0 AS (SELECT grp, pos, total, leaf AS digest FROM {'p0' if name == 'n' else 'h0'})")
+        for k in range(1, levels + 1):
+            below = f"{name}{k - 1}"
+            parts.append(
+                f"""{name}{k} AS (SELECT grp, pos // 16 AS pos, max(total + 15) // 16 AS total, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+  FROM {below} WHERE total > 1 GROUP BY grp, pos // 16)"""
+            )
+
+    climb("n")
+    tops = " UNION ALL ".join(f"SELECT grp, digest FROM n{k} WHERE total = 1" for k in range(levels + 1))
+    parts.append(f"subroots AS ({tops})")
+    parts.append("h0 AS (SELECT '' AS grp, grp AS source_key, digest AS leaf, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS total FROM subroots)")
+    climb("m")
+    parts.append(f"top AS ({' UNION ALL '.join(f'SELECT digest AS root FROM m{k} WHERE total = 1' for k in range(levels + 1))})")
+
+    def walk(name: str, start: str, out: str) -> None:
+        """Fold each row of `start` (grp, place, node, sibs) up the levels."""
+        before = start
+        for k in range(levels):
+            after = f"{out}{k}"
+            side = "coalesce((SELECT string_agg(x.digest, '' ORDER BY x.pos) FROM {0}{1} x WHERE x.grp = w.grp AND x.pos // 16 = w.place // 16 AND x.pos {2} w.place), '')".format
+            parts.append(
+                f"""{after} AS (SELECT * EXCLUDE (up, l, r) REPLACE (CASE WHEN up THEN sha256(l || node || r) ELSE node END AS node,
+  CASE WHEN up THEN sibs || l || r ELSE sibs END AS sibs, place // 16 AS place) FROM (SELECT w.*, EXISTS (SELECT 1 FROM {name}{k} x WHERE x.grp = w.grp AND x.total > 1) AS up, {side(name, k, '<')} AS l, {side(name, k, '>')} AS r FROM {before} w) w)"""
+            )
+            before = after
+
+    parts.append("w AS (SELECT doc_id, grp, pos AS place, leaf, CASE WHEN tampered THEN lowered ELSE leaf END AS node, '' AS sibs FROM p0)")
+    walk("n", "w", "u")
+    parts.append(f"v AS (SELECT w.* REPLACE ('' AS grp, h.pos AS place), h.leaf AS subroot FROM u{levels - 1} w JOIN h0 h ON h.source_key = w.grp)")
+    walk("m", "v", "z")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(sibs) AS proof_sha256, node AS folded_root, node = root AS verified FROM z{levels - 1}, top"""
+
+
+@query("op12_merkle_manifest", op12_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lowered = [F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf_digest(*[F.col(c) for c in merkle.FIELDS]).alias("leaf"),
+        F.when(tampered, merkle.leaf_digest(*lowered)).alias("tampered"),
+    )
+    found = merkle.manifest(leaves, Scratch(spark, "op12"))
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
