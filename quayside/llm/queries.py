@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, linkgraph, merkle, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
+from quayside.llm import decontaminate, hash_forest, linkgraph, merkle, nbsvm, ngram_join, packing, prefix_trie, quality, secrets, tokencount, toxicity, vector_graph, warc
 from quayside.llm.common import Scratch, ship, table
 
 QUERIES = {}
@@ -190,23 +190,38 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), Scratch(spark, "op10")).drop("size")
 
 
+@query("op11_hash_forest")
+def op11_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_forest.search(table(spark, sf_dir, "embeddings"), Scratch(spark, "op11"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# CRC-32 in SQL: its byte table, eight shifts per entry.
+_SHIFT = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+CRC_TABLE = [
+    "t0 AS (SELECT i, CAST(i AS BIGINT) AS c FROM range(256) r(i))",
+    *[f"t{k} AS (SELECT i, {_SHIFT} AS c FROM t{k - 1})" for k in range(1, 9)],
+    "crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM t8)",
+]
+
+
+def crc_sql(column: str) -> str:
+    """CRC-32 of an integer column in decimal, from the table `crc_table`."""
+    return f"""xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+    lambda c, d: xor(c >> 8, crcs[xor(c & 255, d) + 1])), 4294967295)"""
+
+
 def op12_sql(levels: int = 5) -> str:
     """The same tree, unrolled: up to 16 ** `levels` rows a source, and sources."""
     part = "coalesce(CAST(octet_length(encode({0})) AS VARCHAR) || ':' || {0}, '-')".format
     own = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
     leaf = lambda text: "sha256(" + " || ".join(part(c) for c in [*own, text]) + ")"
     lowered = f"translate(text, '{UPPER}', '{LOWER}')"
-    step = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
     parts = [
-        "t0 AS (SELECT i, CAST(i AS BIGINT) AS c FROM range(256) r(i))",
-        *[f"t{k} AS (SELECT i, {step} AS c FROM t{k - 1})" for k in range(1, 9)],
-        "crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM t8)",
-        f"""rows_ AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(lowered)} AS lowered,
-  xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
-    lambda c, d: xor(c >> 8, crcs[xor(c & 255, d) + 1])), 4294967295) % 5 = 0 AS tampered FROM documents, crc_table)""",
+        *CRC_TABLE,
+        f"""rows_ AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(lowered)} AS lowered, {crc_sql('doc_id')} % 5 = 0 AS tampered FROM documents, crc_table)""",
         """p0 AS (SELECT coalesce('1' || source, '0') AS grp, *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
   count(*) OVER (PARTITION BY source) AS total FROM rows_)""",
     ]
@@ -269,3 +284,26 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+OP13_SQL = "WITH " + ",\n".join(CRC_TABLE) + f""",
+own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hs AS (SELECT conv_id, ts, {crc_sql('conv_id')} % 9 AS h FROM own, crc_table),
+rebuilt AS (SELECT a.conv_id, coalesce(b.ts[1:h], []) || a.ts[h + 1:] AS ts FROM hs a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+members AS (SELECT conv_id, d, ts[1:d] AS p, len(ts) = d AS ends FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(strlen(p[d].t), 0) AS saved,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM members GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (SELECT anc, sum(saved) AS saved, count(*) FILTER (WHERE childless) AS leaves FROM (
+  SELECT n.p[1:unnest(range(0, d + 1))] AS anc, saved, c.n IS NULL AS childless FROM nodes n LEFT JOIN children c ON c.p = n.p) GROUP BY anc)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.anc = n.p LEFT JOIN children c ON c.p = n.p LEFT JOIN nodes up ON n.d > 0 AND up.p = n.p[1:n.d - 1]"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op13")
+    turns = prefix_trie.encoded(table(spark, sf_dir, "conversations"), scratch)
+    return prefix_trie.trie(*prefix_trie.borrowed(turns, scratch), scratch)
