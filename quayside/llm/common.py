@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.operators.joins import skew_join
 from quayside.session import remove_path, scratch_path
 from quayside.sources.sinks import materialize
 
@@ -126,10 +127,11 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
             current.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        # The edges of a star's centre are a hot key.
+        large = skew_join(both.where("v > u"), smallest, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         large = scratch.keep(large.distinct())
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        small = skew_join(large, least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         following = scratch.keep(small.union(least.select("hi", F.col("m").alias("lo"))).distinct())
         scratch.drop(current, large)
         current, before = following, mark

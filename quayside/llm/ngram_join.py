@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import FOLD, Scratch, components, mix, sole, texts
+from quayside.llm.common import FOLD, Scratch, components, mix, numbered, sole, texts
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int = 160) -> tuple[int, int]:
@@ -96,12 +96,12 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return total
 
 
-SIGNED = "doc_id bigint, fp binary, size bigint, bands array<bigint>"
+SIGNED = "doc_id bigint, text_hash bigint, fp binary, size bigint, bands array<bigint>"
 LINKS = "rep bigint, links bigint, root bigint"
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """Per row: a 128-bit fingerprint of its n-gram set, the set's size and its band hashes.
+    """Per row: a hash of the text, a 128-bit fingerprint of its n-gram set, the set's size and its band hashes.
 
     Texts without words have a null fingerprint.
     """
@@ -117,14 +117,16 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(prints, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.array(hashes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "fp", "size", "bands"],
+                ["doc_id", "text_hash", "fp", "size", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, SIGNED)
+    body = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), body, F.xxhash64(body)).mapInArrow(sign, SIGNED)
 
 
 def similar(sets: list[np.ndarray], wanted: np.ndarray, threshold: float) -> np.ndarray:
@@ -173,7 +175,7 @@ def linked(
     capacity: int = 1_000_000,
     unit_rows: int = 1000,
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, copy_id, n_links, class_id, size (distinct n-grams).
+    """One row per row of `docs`: doc_id, text_hash, copy_id, n_links, class_id, size (distinct n-grams).
 
     copy_id is the smallest doc_id with the same n-gram set. n_links counts the other documents at
     Jaccard similarity >= `threshold`, copies included. class_id is the smallest doc_id reachable by
@@ -190,21 +192,20 @@ def linked(
     texts of candidates, so they are neither written nor shuffled for documents without one.
 
     Null and empty texts, and texts without words: no links, a class of their own. Fewer than `n`
-    words: the whole text is one n-gram. Repeated rows count as one document; a null doc_id has
+    words: the whole text is one n-gram. Repeated rows count as one document; a doc_id with different texts is a
+    document for each set of n-grams, and its rows are linked and named each by their own text. A null doc_id has
     null results. An empty table gives no rows. Other columns are ignored.
     """
     bands, rows = choose_bands(threshold, recall)
     signed = scratch.keep(signatures(docs, n, bands, rows))
     valid = signed.where("doc_id IS NOT NULL AND fp IS NOT NULL")
-    reps = scratch.keep(
-        valid.select("doc_id", "fp", "size", "bands")
-        .groupBy("fp")
-        .agg(
-            F.min("doc_id").alias("rep"),
-            F.first("size").alias("size"),
-            F.first("bands").alias("bands"),
-        )
+    reps = valid.groupBy("fp").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
+    reps = scratch.keep(reps.select("fp", "source.doc_id", "source.text_hash", "size", "bands"))
+    # One doc_id may represent several sets, so these are numbered; the smallest number has the smallest doc_id.
+    numbers = numbered(scratch, reps.select("fp", "doc_id", F.lit(1).alias("one")), "one", ["doc_id", "fp"], "rep")
+    reps = scratch.keep(reps.join(numbers.select("fp", "rep"), "fp"))
     # Repeated rows have one doc_id; counting ids needs no list of them.
     distinct = valid.groupBy("fp", "doc_id").agg(F.lit(1).alias("one")).groupBy("fp").agg(F.count("one").alias("copies"))
     copies = scratch.keep(distinct.where("copies > 1"))
@@ -244,8 +245,10 @@ def linked(
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
     )
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("rep"), F.col("text").cast("string").alias("body"))
-    chosen = chosen.join(named.select("rep"), "rep", "left_semi").groupBy("rep").agg(F.min("body").alias("body"))
+    body = F.col("text").cast("string")
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
+    wanted = reps.join(named.select("rep"), "rep", "left_semi").select("rep", "doc_id", "text_hash")
+    chosen = chosen.join(wanted, ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("body").alias("body"))
     sets = scratch.keep(_sets(chosen, n, bands, rows))
     units = members.join(sets, "rep").groupBy("band", "unit", "low", "high")
 
@@ -259,19 +262,22 @@ def linked(
     classes = scratch.keep(
         named.select("rep", "fp")
         .join(copies, "fp", "full")
-        .join(reps.select("fp", F.col("rep").alias("first")), "fp")
+        .join(reps.select("fp", F.col("rep").alias("first"), F.col("doc_id").alias("copy_id")), "fp")
         .join(counts, F.col("first") == counts["rep"], "left")
         .join(joined, F.col("first") == F.col("node"), "left")
         .select(
             "fp",
-            F.col("first").alias("copy_id"),
+            "copy_id",
             (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-            F.coalesce("component", "first").alias("class_id"),
+            F.coalesce("component", "first").alias("class"),
         )
+        .join(reps.select(F.col("rep").alias("class"), F.col("doc_id").alias("class_id")), "class")
+        .drop("class")
     )
     known = F.col("doc_id").isNotNull()
-    return signed.select("doc_id", "fp", "size").join(classes, "fp", "left").select(
+    return signed.select("doc_id", "text_hash", "fp", "size").join(classes, "fp", "left").select(
         "doc_id",
+        "text_hash",
         F.when(known, F.coalesce("copy_id", "doc_id")).alias("copy_id"),
         F.when(known, F.coalesce("n_links", F.lit(0))).cast("bigint").alias("n_links"),
         F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"),
@@ -326,6 +332,11 @@ def _links_of(unit: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
-    """The rows of `docs`, all columns, of the smallest doc_id of each class; null ids stay."""
-    gone = scratch.keep(linked(docs, scratch, **options).where("doc_id <> class_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of `docs`, all columns, of the smallest doc_id of each class; null ids stay.
+
+    Of a doc_id with different texts only the rows whose own text is a copy go.
+    """
+    gone = linked(docs, scratch, **options).where("doc_id <> class_id").select("doc_id", "text_hash").distinct()
+    gone = scratch.keep(gone.withColumnsRenamed({"doc_id": "_gone", "text_hash": "_hash"}))
+    own = (F.col("doc_id").cast("bigint") == F.col("_gone")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    return docs.join(gone, own, "left_anti")

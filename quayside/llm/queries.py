@@ -187,7 +187,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_ngram_join")
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.linked(table(spark, sf_dir, "documents"), Scratch(spark, "op10")).drop("size")
+    return ngram_join.linked(table(spark, sf_dir, "documents"), Scratch(spark, "op10")).drop("size", "text_hash")
 
 
 @query("op11_hash_forest")

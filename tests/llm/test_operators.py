@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import decontaminate, linkgraph, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
+from quayside.llm import common, decontaminate, linkgraph, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
 from quayside.llm.common import Scratch, components, ship
 from quayside.llm.queries import ORACLE_SQL, QUERIES
 from tests.compare import connect, differences
+from tests.helpers import plan_text
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score_ double, grp string, rep bigint"
@@ -46,6 +47,18 @@ def test_components(spark, scratch):
     assert components(scratch, spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_a_star_is_split(spark, scratch, skewed_conf, monkeypatch):
+    """The centre's edges are one key of the joins in `components`."""
+    joins, real = [], common.skew_join
+    monkeypatch.setattr(common, "skew_join", lambda *a: joins.append(real(*a)) or joins[-1])
+    star = spark.range(1, 60_000).select(F.lit(0).alias("a"), F.col("id").alias("b"))
+    assert components(scratch, scratch.keep(star)).where("component = 0").count() == 59_999
+    facts = scratch.keep(star.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    joined = real(facts, facts.groupBy("u").agg(F.min("v").alias("m")), "u")
+    joined.collect()
+    assert joins and "skew=true" in plan_text(joined)
+
+
 def test_packing_odd_rows_and_round_trip(spark):
     docs = odd_docs(spark)
     pieces = packing.packed(docs, WORD_BPE, size=64, group_bytes=2000)
@@ -85,6 +98,18 @@ def test_near_copies_odd_rows(spark, scratch):
     assert ngram_join.linked(docs.limit(0), scratch).count() == 0
 
 
+def test_near_copies_of_a_repeated_id(spark, scratch):
+    body = " ".join(f"v{i}" for i in range(26))
+    other = " ".join(f"u{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, other), (1, body), (2, body + " more"), (3, other + " end"), (4, "alone")], "doc_id bigint, text string")
+    rows = {(r.doc_id, r.size): (r.n_links, r.class_id) for r in ngram_join.linked(docs, scratch).collect()}
+    assert rows == {(1, 26): (1, 1), (1, 22): (1, 1), (2, 23): (1, 1), (3, 27): (1, 1), (4, 1): (0, 4)}
+    assert sorted(r.text for r in ngram_join.one_of_each(docs, scratch).collect()) == sorted([other, body, "alone"])
+    # A row of an id whose other text is a class's first stays gone on its own account only.
+    docs = spark.createDataFrame([(5, other), (9, other + " end"), (9, body), (12, body + " more")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.text) for r in ngram_join.one_of_each(docs, scratch).collect()) == [(5, other), (9, body)]
+
+
 @pytest.mark.parametrize("capacity", [1_000_000, 300])
 def test_near_copies_equal_brute_force(spark, scratch, sf_dir, capacity):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
