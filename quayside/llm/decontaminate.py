@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Scratch, sole, texts, words
@@ -167,39 +169,41 @@ def item_blocks(
                 ["item_id", "content", "size"],
             )
 
-    parts = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    parts = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), F.col("text").cast("string")).distinct()
     parts = scratch.keep(parts.mapInArrow(count, "item_id string, content binary, size bigint"))
     total = parts.agg(F.sum("size")).first()[0] or 0
     blocks = -(-total // block_words)
     # Twice as many blocks as needed on average, so that uneven ones stay within the bound as well.
     blocks = 2 * blocks if blocks > 1 else 1
+    # Without items there is one empty block.
     dealt = parts.withColumn("block", F.pmod(F.xxhash64("item_id", "content"), F.lit(blocks)))
     for block in range(blocks):
         yield [(r.item_id, bytes(r.content).split(b" ")) for r in dealt.where(F.col("block") == block).collect()]
 
 
-FOUND = "doc_id bigint, n_words bigint, spans array<struct<first:bigint,last:bigint,longest:bigint>>, items array<string>"
+FOUND = "doc_id bigint, text_key binary, n_words bigint, spans array<struct<first:bigint,last:bigint,longest:bigint>>, items array<string>"
 
 
 def overlaps(
     docs: DataFrame, items: DataFrame, scratch: Scratch, window: int = 13, block_words: int = 200_000
 ) -> DataFrame:
-    """Per row of `docs` (doc_id, text): its word count, hit spans in words and the items it holds.
+    """Per row of `docs` (doc_id, text): a 128-bit key of the text, its word count, hit spans in words and the items it holds.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. Documents are
     streamed word by word through the suffix automaton of the items, which carries the longest
     suffix that any item holds; where it reaches a window, the window's words are hit. Only the
     items are sent to the tasks, in blocks of bounded size. A benchmark of one block needs one
-    narrow pass without a shuffle. Further blocks each take a pass over the documents, written, and
-    their spans are joined per row.
+    narrow pass without a shuffle. Each further block takes a pass of its own, of which only the rows with hits are
+    written; the hits of a text in all blocks are joined to its rows by its key.
 
-    Null and empty texts have no words. Empty items, and items without an id, match nothing. Repeated rows, repeated ids and
-    null ids: one result per row when there is one block; rows with the same id and text are
-    merged with more. Empty tables give no rows, or rows without hits. Other columns are ignored.
+    Null and empty texts have no words. Empty items, and items without an id, match nothing; repeated items count once.
+    Every row has a result of its own, also repeated rows and rows with a null or repeated id, whatever the
+    number of blocks. Empty tables give no rows, or rows without hits. Other columns are ignored.
     """
     context = docs.sparkSession.sparkContext
-    source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    found = None
+    body = F.col("text").cast("string")
+    source = docs.select(F.col("doc_id").cast("bigint"), body.alias("text"), text_key(body))
+    found, more = None, []
     for block in item_blocks(items, scratch, window, block_words):
         shared, key = context.broadcast(block), scratch.path()
 
@@ -211,30 +215,30 @@ def overlaps(
                     content = words(text)
                     spans, held = automaton.scan(content)
                     out.append((len(content), [dict(zip(SPAN, s, strict=True)) for s in spans], sorted(held)))
-                sizes, spans, held = zip(*out, strict=True) if out else ((), (), ())
+                columns = zip(*out, strict=True) if out else ((), (), ())
+                kinds = (pa.int64(), pa.list_(pa.struct([(n, pa.int64()) for n in SPAN])), pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(spans, pa.list_(pa.struct([(n, pa.int64()) for n in SPAN]))),
-                        pa.array(held, pa.list_(pa.string())),
-                    ],
-                    ["doc_id", "n_words", "spans", "items"],
+                    [batch.column(0), batch.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                    ["doc_id", "text_key", "n_words", "spans", "items"],
                 )
 
         if found is None:
-            found, alone = source.mapInArrow(scan, FOUND), True
+            found = source.mapInArrow(scan, FOUND)
         else:
-            alone = False
-            more = source.mapInArrow(scan, FOUND).where(F.size("items") > 0)
-            found = scratch.keep(found).unionByName(more)
-    if not alone:
-        found = scratch.keep(found)
-        merged = found.groupBy("doc_id", "n_words").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items")
-        )
-        found = merged.select("doc_id", "n_words", _joined("spans").alias("spans"), F.array_distinct("items").alias("items"))
-    return found
+            hits = source.mapInArrow(scan, FOUND).where(F.size("items") > 0).select("text_key", "spans", "items")
+            more.append(scratch.keep(hits.dropDuplicates(["text_key"])))
+    if not more:
+        return found
+    found = scratch.keep(found)
+    first = found.where(F.size("items") > 0).select("text_key", "spans", "items").dropDuplicates(["text_key"])
+    every = functools.reduce(DataFrame.unionByName, more, first)
+    # A text has one row per block here.
+    merged = every.groupBy("text_key").agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+    out = found.drop("spans", "items").join(merged, "text_key", "left")
+    return out.select(
+        "doc_id", "text_key", "n_words", _joined("coalesce(s, array())").alias("spans"),
+        F.array_distinct(F.coalesce("i", F.array().cast("array<string>"))).alias("items"),
+    )
 
 
 SPAN = ("first", "last", "longest")
@@ -253,20 +257,32 @@ def _joined(spans) -> F.Column:
 
 
 def judged(found: DataFrame, coverage: float = 0.05) -> DataFrame:
-    """Add n_hit and contaminated: hit words reach the share `coverage` of all words."""
+    """Add n_hit and contaminated: hit words reach the share `coverage` of all words, in whole numbers."""
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
     out = found.withColumn("n_hit", hit)
-    share = round(1 / coverage)
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+    share = Fraction(str(coverage))
+    reaches = share.denominator * F.col("n_hit") >= share.numerator * F.col("n_words")
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & reaches)
 
 
 def clean(docs: DataFrame, items: DataFrame, scratch: Scratch, coverage: float = 0.05, **options) -> DataFrame:
-    """The rows and columns of `docs` that are not contaminated, unchanged; null ids stay.
+    """The rows and columns of `docs` that are not contaminated, unchanged.
 
-    Only the ids of contaminated documents are joined back.
+    Only the keys of contaminated texts are joined back, so each row is judged by its own text, whatever its id.
     """
-    bad = judged(overlaps(docs, items, scratch, **options), coverage).where("contaminated").select("doc_id")
-    return docs.join(scratch.keep(bad.distinct()), "doc_id", "left_anti").select(*docs.columns)
+    bad = judged(overlaps(docs, items, scratch, **options), coverage).where("contaminated").select("text_key")
+    return _with_key(docs, scratch.keep(bad.distinct()), "left_anti")
+
+
+def text_key(text: Column) -> Column:
+    """A 128-bit key of a text, null for null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _with_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Join rows with `text_key` rows by the key of their text."""
+    keys = keys.withColumnRenamed("text_key", "_text_key")
+    return docs.join(keys, text_key(docs["text"].cast("string")) == keys["_text_key"], how).drop(keys["_text_key"])
 
 
 def without_spans(docs: DataFrame, judged: DataFrame, longest: int = 50) -> DataFrame:
@@ -276,10 +292,11 @@ def without_spans(docs: DataFrame, judged: DataFrame, longest: int = 50) -> Data
     last word of a span goes; what surrounds it stays as it was.
     """
     cuts = judged.where(F.size("spans") > 0).select(
-        "doc_id",
+        "text_key",
         F.expr(f"filter(spans, s -> contaminated or s.longest > {int(longest)})").alias("cuts"),
     )
-    pairs = docs.select("doc_id", "text").join(cuts.where(F.size("cuts") > 0), "doc_id")
+    cuts = cuts.where(F.size("cuts") > 0).dropDuplicates(["text_key"])
+    pairs = _with_key(docs.select("doc_id", "text"), cuts, "inner")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
