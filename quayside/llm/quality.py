@@ -40,7 +40,7 @@ class _Shapes(dict):
             if b != last or b not in b"aA0":
                 shape.append(b)
             last = b
-        self[word] = value = xxhash.xxh3_64_intdigest(bytes(shape[:32]), 1)
+        self[word] = value = xxhash.xxh3_64_intdigest(bytes(shape), 1)
         return value
 
 
@@ -56,14 +56,7 @@ def features(text: bytes | None) -> np.ndarray:
     two = mix(shape[:-1] * np.uint64(3) + shape[1:])
     three = mix(two[:-1] * np.uint64(5) + shape[2:])
     pairs = mix(word[:-1] * np.uint64(7) + word[1:])
-    # Indicators do not show how often a word returns; the share of distinct words does.
-    distinct = len(set(content))
-    size = min(n, 4095).bit_length()
-    returns = [size * 64 + 8 * distinct // n, 1000 + 16 * distinct // n]
-    if n > 1 and bool((word[1:] == word[:-1]).any()):
-        returns.append(2000)
-    returns = mix(np.array(returns, np.uint64) * np.uint64(11))
-    ids = np.concatenate([word, shape, two, three, pairs, returns]) & np.uint64(SIZE - 1)
+    ids = np.concatenate([word, shape, two, three, pairs]) & np.uint64(SIZE - 1)
     return nbsvm.each_once(ids.astype(np.int64), place)
 
 
@@ -71,7 +64,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
     """Every row and column of `docs` with score (0 to 1), predicted (score >= 0.5) and held_out.
 
     Learned from `labels.quality` outside `held_out`. The inputs are the whole text's n-grams of
-    words and word shapes and how often words return, nothing else. Ratios cover all labelled rows; the hinge-loss fit is on a
+    words and word shapes, nothing else. Ratios cover all labelled rows; the hinge-loss fit is on a
     bounded sample (`sample_rows`). Scoring is one narrow pass.
 
     Null and empty texts have the score of no features. Repeated rows score alike. Null labels are
