@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.llm.common import texts
 
@@ -143,20 +144,23 @@ def fit(
     cost: float = 1.0,
     epochs: int = 20,
     sample_rows: int = 4_000,
+    sample_bytes: int = 128_000_000,
 ) -> Model:
     """Model of `labelled` (doc_id, text, label 0 or 1).
 
     The log-count ratios cover all labelled rows. The hinge-loss fit takes a sample of about
-    `sample_rows` rows by a hash of the id, and all rows where there are no more; it runs in one task,
-    whose memory that bound fixes. Rows whose label is null or neither 0 nor 1 are left out.
+    `sample_rows` rows and `sample_bytes` of text by a hash of the id, and all rows where there are no more; it runs in
+    one task, whose memory these bounds fix. Rows whose label is null or neither 0 nor 1 are left out.
     """
     labelled = labelled.where("label IN (0, 1)").select(
         "doc_id", F.col("text").cast("string"), F.col("label").cast("int")
     )
     ratios = log_count_ratios(labelled.select("text", "label"), featurise, size, smoothing)
-    total = labelled.count()
-    share = min(1.0, sample_rows / max(1, total))
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000))
+    total = labelled.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    share = min(1.0, sample_rows / max(1, total.rows), sample_bytes / max(1, total.bytes or 0))
+    # Compared in double precision: a share is never cut to none.
+    place = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 53)).cast("double")
+    chosen = labelled.where(place < share * 2.0**53)
     sampled = chosen.select("doc_id", "text", "label")
     shared = labelled.sparkSession.sparkContext.broadcast(ratios)
 
@@ -187,8 +191,8 @@ def fit(
     return Model(np.frombuffer(row.weights, np.float32), row.bias, row.slope, row.shift)
 
 
-def scored(docs: DataFrame, model: Model, featurise: Featuriser) -> DataFrame:
-    """Every column of `docs` (which has text) and `score`: one narrow pass over whole texts."""
+def scored(docs: DataFrame, model: Model, featurise: Featuriser, name: str = "score") -> DataFrame:
+    """Every column of `docs` (which has text) and the score under `name`: one narrow pass over whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
@@ -196,12 +200,11 @@ def scored(docs: DataFrame, model: Model, featurise: Featuriser) -> DataFrame:
         known = shared.value
         for batch in batches:
             found = [known.score(known.margin(featurise(t))) for t in texts(batch.column(at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, name])
 
-    if "score" in docs.columns:
-        raise ValueError("docs already has a column score")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{kinds}, score double")
+    if name in docs.columns:
+        raise ValueError(f"docs already has a column {name}")
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def fold(modulus: int) -> F.Column:

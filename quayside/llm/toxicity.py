@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from quayside.llm import nbsvm
 from quayside.llm.common import mix, sole
@@ -51,6 +52,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows and columns of `docs` that are not predicted toxic, learned from all labels."""
-    judged = toxicity_scores(docs, labels, **options)
-    return judged.where("predicted = 0").select(*docs.columns)
+    """The rows and columns of `docs` that are not predicted toxic, learned from all labels.
+
+    Columns may have any names, also those of a score; all come back as they are.
+    """
+    name = next(n for n in (f"_toxicity_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    model = nbsvm.fit(nbsvm.labelled_texts(docs.select("doc_id", "text"), labels, "toxic"), features, SIZE, **options)
+    return nbsvm.scored(docs, model, features, name).where(F.col(name) < 0.5).drop(name)

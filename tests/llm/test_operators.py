@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import common, decontaminate, linkgraph, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
+from quayside.llm import common, decontaminate, linkgraph, nbsvm, ngram_join, packing, quality, secrets, tokencount, toxicity, vector_graph, warc
 from quayside.llm.common import Scratch, components, ship
 from quayside.llm.queries import ORACLE_SQL, QUERIES
 from tests.compare import connect, differences
@@ -176,6 +176,19 @@ def test_decontamination_odd_rows_and_blocks(spark, scratch):
     assert decontaminate.judged(decontaminate.overlaps(docs, items.limit(0), scratch)).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block_words", [200_000, 2])
+def test_decontamination_has_a_result_per_row(spark, scratch, block_words):
+    items = spark.createDataFrame([("x", "a b c"), ("x", "a b c"), ("y", "d e f"), (None, "p"), ("z", "y z")], "item_id string, text string")
+    rows = [(None, "a b c"), (None, "d e f"), (None, "d e f"), (7, "p q r"), (7, "x y z"), (7, "A, b c d e f"), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_hit", F.lit("x")).withColumn("_text_key", F.lit(1))
+    found = decontaminate.judged(decontaminate.overlaps(docs, items, scratch, block_words=block_words), 0.7).collect()
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_hit, ",".join(sorted(r["items"])), r.contaminated) for r in found))
+    assert got == sorted([(0, 3, 3, "x", True), (0, 3, 3, "y", True), (0, 3, 3, "y", True), (7, 3, 0, "", False), (7, 3, 2, "z", False), (7, 6, 6, "x,y", True), (8, 0, 0, "", False), (8, 0, 0, "", False)])
+    kept = decontaminate.clean(docs, items, scratch, 0.7, block_words=block_words)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.text) for r in kept.collect()) == ["", "None", "p q r", "x y z"]
+
+
 @pytest.mark.parametrize("module, judge, label", [(toxicity, toxicity.toxicity_scores, "toxic"), (quality, quality.quality_scores, "quality")])
 def test_classifiers_odd_rows(spark, module, judge, label):
     docs = odd_docs(spark)
@@ -189,6 +202,22 @@ def test_classifiers_odd_rows(spark, module, judge, label):
     assert kept.columns == docs.columns
 
 
+def test_the_toxicity_stage_leaves_columns_alone(spark, sf_dir):
+    docs = spark.createDataFrame([(i, f"some words {i}", 5, True, "x", 1.5) for i in range(30)], "doc_id bigint, text string, predicted int, held_out boolean, score string, _toxicity_0 double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
+    kept = toxicity.not_toxic(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    assert {tuple(r)[2:] for r in toxicity.not_toxic(docs, labels.withColumn("toxic", F.lit(0))).collect()} == {(5, True, "x", 1.5)}
+
+
+def test_the_fit_is_bounded_in_bytes(spark):
+    rows = [(i, "w " * 2000, i % 2) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    # 25 of 200 rows are expected within the bytes; the ratios still see all.
+    model = nbsvm.fit(labelled, lambda t: np.arange(3), 8, sample_bytes=100_000)
+    assert 0 <= model.score(model.margin(np.arange(3))) <= 1
+
+
 @pytest.mark.parametrize("name, label, part, rest, least", [("op9_toxicity", "toxic", 5, 0, 0.97), ("op4_quality", "quality", 3, 1, 0.95)])
 def test_held_out_accuracy(spark, name, label, part, rest, least):
     folder = "/root/testdata/sf0.1"
