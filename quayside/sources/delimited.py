@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.calendar import parse_timestamp
 from quayside.operators.projections import blanks_to_null
+from quayside.sources.quoted import place, quoted_rows
 
 DAY_FIRST = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy")
 
@@ -39,42 +40,47 @@ def read_booking_export(
 ) -> DataFrame:
     """Export with title and header lines above the data and line breaks inside quotes.
 
-    Title, spacer and header lines are dropped. A row of data whose first column is no day-first
-    date is an error, or with `skip_rejects` left out and listed by `booking_rejects`. A file with
-    quoted line breaks is one task: land such exports as many files.
+    The header is the first row of a file whose first cell is the name of the schema's first column, in any
+    case. It and the rows above it are dropped, and so are rows of which only the first cell holds
+    anything (a title in a file of its own). Any other row whose first column is no day-first date is an
+    error, or with `skip_rejects` left out and listed by `booking_rejects`. Large files are read by many tasks.
     """
     raw = _booking_rows(spark, path, schema)
-    first = raw.columns[0]
+    first = _names(raw)[0]
     date = F.to_date(parse_timestamp(first, ["dd/MM/yyyy"]))
     if not skip_rejects:
         fault = F.raise_error(F.concat(F.lit("a booking has no day-first date but: "), F.coalesce(first, F.lit("nothing"))))
         date = F.when(_is_reject(raw), fault.cast("date")).otherwise(date)
-    return raw.withColumn(first, date).filter(F.col(first).isNotNull())
+    return raw.withColumn(first, date).filter(F.col(first).isNotNull() & ~F.col("_above")).drop("_above")
 
 
 def booking_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of data in an export whose first column is no day-first date, as text."""
     raw = _booking_rows(spark, path, schema)
-    return raw.filter(_is_reject(raw))
+    return raw.filter(_is_reject(raw)).drop("_above")
+
+
+def _names(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c != "_above"]
 
 
 def _is_reject(raw: DataFrame) -> Column:
-    """No date, but further cells as well; a header's first cell holds no digit, a reject's one or nothing."""
-    first, *rest = raw.columns
+    """No date, below the header, and with further cells."""
+    first, *rest = _names(raw)
     further = F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in rest)).isNotNull()
-    text = F.coalesce(F.trim(first), F.lit(""))
     no_date = F.to_date(parse_timestamp(first, ["dd/MM/yyyy"])).isNull()
-    return no_date & further & ((text == "") | text.rlike("[0-9]"))
+    return no_date & further & ~F.col("_above")
 
 
 def _booking_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """All rows of an export; `_above` marks headers and what stands above one in its file."""
+    rows = quoted_rows(spark, path, schema)
+    first = rows.columns[3]
+    is_header = F.lower(F.trim(first)) == first.lower()
+    # One row per file that has a header.
+    headers = rows.filter(is_header).groupBy("file").agg(F.min(place()).alias("_header"))
+    above = F.coalesce(place() <= F.col("_header"), F.lit(False)) | F.coalesce(is_header, F.lit(False))
+    return rows.join(headers, "file", "left").withColumn("_above", above).drop("file", "block", "line", "_header")
 
 
 def read_state_file(

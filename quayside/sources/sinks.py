@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import remove_path, scratch_path
+from quayside.sources import files
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     """`;`-separated UTF-8 text with a header, one file per task."""
@@ -33,17 +36,53 @@ def write_per_value(df: DataFrame, path: str, column: str) -> None:
 
 
 def write_report(
-    root: str, name: str, tabs: Mapping[str, DataFrame], as_of: date
+    root: str,
+    name: str,
+    tabs: Mapping[str, DataFrame],
+    as_of: date,
+    orders: Mapping[str, Sequence[Column]] | None = None,
 ) -> dict[str, str]:
-    """Write the tables of one report; a rerun for the same day replaces that day only."""
+    """Write the tables of one report; a rerun for the same day replaces that day only.
+
+    Tabs named in `orders` are written by `write_ordered`.
+    """
     paths = {}
     for tab, df in tabs.items():
         path = f"{root.rstrip('/')}/report={name}/tab={tab}/as_of={as_of.isoformat()}"
-        df.write.mode("overwrite").parquet(path)
+        if orders and tab in orders:
+            write_ordered(df, path, orders[tab])
+        else:
+            df.write.mode("overwrite").parquet(path)
         paths[tab] = path
     return paths
 
 
+def write_ordered(
+    df: DataFrame, path: str, order: Sequence[Column], rows_per_file: int = 1_000_000
+) -> None:
+    """Files in the order of their names, each sorted: reading them one after another gives the report in order.
+
+    The rows are dealt by ranges of the sort keys, so no task holds more than a range. Plans leave their rows
+    unordered, so that a table that is read on, joined or aggregated is never sorted for nothing.
+    """
+    spark, scratch = df.sparkSession, scratch_path(df.sparkSession, "ordered")
+    rows = materialize(df, scratch)  # dealing by ranges reads its input twice
+    files_ = max(1, -(-rows.count() // rows_per_file))
+    dealt = rows.repartitionByRange(files_, *order).sortWithinPartitions(*order)
+    dealt.write.mode("overwrite").parquet(path)
+    remove_path(spark, scratch)
+
+
+def write_tabs(df: DataFrame, root: str, name: str, as_of: date, tab: str = "tab") -> None:
+    """Write the tabs of a report that one plan computes, told apart by a column, in one job.
+
+    As `write_report`, a rerun for the same day replaces that day's tabs.
+    """
+    for_day = df.withColumn("as_of", F.lit(as_of))
+    writer = for_day.hint("rebalance", tab).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(tab, "as_of").parquet(f"{root.rstrip('/')}/report={name}")
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back, so that several reports share one computation."""
     df.write.mode("overwrite").parquet(path)
@@ -51,11 +90,29 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def append_state(df: DataFrame, path: str, *partition: str) -> None:
-    """Write the partitions that `df` holds; a rerun replaces them and leaves all others as they are."""
+    """Write the partitions that `df` holds; a rerun replaces them and leaves all others as they are.
+
+    A partition that `df` has no rows for stays; `replace_partition` empties it.
+    """
     writer = df.hint("rebalance", *partition).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
+def replace_partition(df: DataFrame, path: str, **values: object) -> None:
+    """Write `df` as the whole content of one partition, which goes if there are no rows.
+
+    `values` name the partition, in the order of its folders; rows hold no such columns or equal ones.
+    """
+    folder = "/".join([path.rstrip("/"), *(f"{name}={value}" for name, value in values.items())])
+    spark, rows = df.sparkSession, df.drop(*values)
+    beside = scratch_path(spark, "partition")
+    if materialize(rows, beside).isEmpty():
+        files.delete(spark, folder)
+    else:
+        spark.read.schema(rows.schema).parquet(beside).write.mode("overwrite").parquet(folder)
+    remove_path(spark, beside)
+
+
 def expire_state(spark: SparkSession, path: str, partition: str, first: date) -> list[str]:
     """Remove the partitions of dates before `first`, without reading them; returns their names."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

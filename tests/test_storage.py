@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.predicates import drop_missing
+from quayside.operators.sorting import sort_keys
 from quayside.session import scratch_path
 from quayside.sources import schemas
 from quayside.sources.delimited import (
@@ -21,9 +22,12 @@ from quayside.sources.sinks import (
     expire_state,
     materialize,
     read_state,
+    replace_partition,
     write_delimited,
+    write_ordered,
     write_per_value,
     write_report,
+    write_tabs,
 )
 from quayside.sources.tables import (
     JdbcSplit,
@@ -122,6 +126,44 @@ def test_a_booking_with_a_mistyped_date_is_no_title(spark, tmp_path):
     assert rows(booking_rejects(spark, str(tmp_path), schemas.BOOKING_EXPORT), "date", "event") == [("45/06/2015", "F")]
 
 
+def test_a_booking_whose_date_is_a_word_is_a_reject(spark, tmp_path):
+    head = '"Bookings","of 2015"\n\n"Date","Time","Event","Client","Mail","Cancelled","Recorded","Fields"\n'
+    (tmp_path / "a.csv").write_text(head + 'tomorrow,b\n05/06/2015,08:00,E,c,m,No,,POs: 1\n,09:00,F\nlone cell\n')
+    (tmp_path / "b.csv").write_text("05/06/2015,08:00,G\n")  # a file without a header
+    assert rows(booking_rejects(spark, str(tmp_path), schemas.BOOKING_EXPORT), "date", "time") == [(None, "09:00"), ("tomorrow", "b")]
+    kept = read_booking_export(spark, str(tmp_path), schemas.BOOKING_EXPORT, skip_rejects=True)
+    assert rows(kept, "event") == [("E",), ("G",)]
+    with pytest.raises(Exception, match="no day-first date"):
+        read_booking_export(spark, str(tmp_path), schemas.BOOKING_EXPORT).collect()
+
+
+def test_ordered_files_follow_each_other(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n"), F.when(F.col("id") % 10 > 0, F.col("id") % 13).alias("k")).repartition(5)
+    order = sort_keys(["k", "n"], descending=["k"], nulls="first")
+    write_ordered(df, str(tmp_path / "o"), order, rows_per_file=100)
+    found = [r for f in sorted((tmp_path / "o").glob("*.parquet")) for r in spark.read.parquet(str(f)).collect()]
+    assert found == df.orderBy(*order).collect() and len(list((tmp_path / "o").glob("*.parquet"))) == 10
+    write_report(str(tmp_path), "r", {"t": df, "u": df}, dt.date(2015, 6, 5), {"t": order})
+    assert spark.read.parquet(str(tmp_path / "report=r" / "tab=t")).count() == 1000
+
+
+def test_tabs_of_one_plan_are_one_job(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "tab string, n int")
+    write_tabs(df, str(tmp_path), "r", dt.date(2015, 6, 5))
+    write_tabs(df.filter("n < 3"), str(tmp_path), "r", dt.date(2015, 6, 6))
+    write_tabs(df.filter("n <> 2"), str(tmp_path), "r", dt.date(2015, 6, 5))
+    got = spark.read.parquet(str(tmp_path / "report=r"))
+    assert rows(got, "tab", "as_of", "n") == [("a", dt.date(2015, 6, 5), 1), ("a", dt.date(2015, 6, 6), 1), ("b", dt.date(2015, 6, 5), 3), ("b", dt.date(2015, 6, 6), 2)]
+
+
+def test_a_day_corrected_to_nothing_is_emptied(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "n int, date date"
+    for day in (4, 5):
+        replace_partition(spark.createDataFrame([(day, dt.date(2015, 6, day))], schema), path, date=dt.date(2015, 6, day))
+    replace_partition(spark.createDataFrame([], schema), path, date=dt.date(2015, 6, 4))
+    assert rows(read_state(spark, path, schema)) == [(5, dt.date(2015, 6, 5))]
+
+
 def test_relational_options_come_from_conf(spark):
     spark.conf.set("spark.quayside.jdbc.url", "jdbc:example:")
     try:
@@ -184,7 +226,7 @@ def test_materialize_cuts_the_plan(spark, tmp_path):
 
 
 def test_scratch_follows_the_cluster_setting(spark):
-    assert scratch_path(spark, "x").startswith("/tmp/")
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     conf = {"spark.checkpoint.dir": "hdfs://shared/scratch/"}
     cluster = SimpleNamespace(conf=conf)
     assert scratch_path(cluster, "x").startswith("hdfs://shared/scratch/x-")
