@@ -9,6 +9,7 @@ from quayside.functions.calendar import busdays
 from quayside.functions.numeric import classify_last_match, flat_tariff, zoned_tariff
 from quayside.functions.text import prefix
 from quayside.operators.aggregates import DECILES, QUARTILES, describe, group_agg, unstack
+from quayside.operators.quantiles import describe_spread
 from quayside.operators.reshape import columns_to_rows
 
 # Shipment types that are returns.
@@ -36,10 +37,13 @@ def courier_returns(shipments: DataFrame) -> DataFrame:
 
 
 def summary(df: DataFrame, measures: dict[str, str]) -> DataFrame:
-    """Describe several columns over all rows, one output row each, with totals."""
+    """Describe several columns over all rows, one output row each, with totals.
+
+    Charges are free numbers, so their exact quantiles are spread over tasks.
+    """
     values = df.select(*[F.col(c).cast("double").alias(name) for name, c in measures.items()])
     long = columns_to_rows(values, [], list(measures), "measure", "value")
-    return describe(long, ["measure"], "value", QUARTILE_NAMES, total="total")
+    return describe_spread(long, ["measure"], "value", QUARTILE_NAMES, total="total")
 
 
 def collection_summary(shipments: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.text import config_code, fold_code
@@ -87,12 +87,7 @@ def stage_chain(tables: list[DataFrame], latest_per_stage: bool = False) -> Data
 
 def stage_rows(history: DataFrame, scans: DataFrame, shift: date) -> DataFrame:
     """The reduced history and new scans, given as (sku, number of the stage), as rows of one shape."""
-    stamped = [
-        F.when(F.col("stage") == i, F.lit(shift)).alias(s)
-        for i, s in enumerate(SAMPLE_STAGES, 1)
-    ]
-    new = scans.select(fold_code("sku").alias("sku"), *stamped)
-    return stack([reduced_history(history).select("sku", *SAMPLE_STAGES), new])
+    return stack([reduced_history(history).select("sku", *SAMPLE_STAGES), stamped_stages(scans, shift)])
 
 
 def latest_stages(rows: DataFrame) -> DataFrame:
@@ -110,15 +105,33 @@ def last_stages(rows: DataFrame) -> DataFrame:
     with the distinct first-stage times, replaces the chain.
     """
     first, others = SAMPLE_STAGES[0], SAMPLE_STAGES[1:]
-    scanned = rows.dropna(subset=["sku"]).dropna(how="all", subset=list(SAMPLE_STAGES))
-    latest = scanned.groupBy("sku").agg(*[F.max(s).alias(s) for s in others])
-    times = scanned.select("sku", first).dropna().distinct()
-    last = latest.join(times, "sku", "left").withColumn("config_sku", config_code("sku"))
+    last = item_stages(rows).withColumn("config_sku", config_code("sku"))
     return keep_last(last, ["config_sku", first], ["sku", *others]).select(
         "config_sku", "sku", *SAMPLE_STAGES
     )
 
 
+def item_stages(rows: DataFrame) -> DataFrame:
+    """Per (item, first-stage time) the last time of every other stage: what a history has to keep.
+
+    Applied to its own result and further rows, it gives what it gives for all rows at once.
+    """
+    first, others = SAMPLE_STAGES[0], SAMPLE_STAGES[1:]
+    scanned = rows.dropna(subset=["sku"]).dropna(how="all", subset=list(SAMPLE_STAGES))
+    latest = scanned.groupBy("sku").agg(*[F.max(s).alias(s) for s in others])
+    times = scanned.select("sku", first).dropna().distinct()
+    return latest.join(times, "sku", "left").select("sku", *SAMPLE_STAGES)
+
+
+def stamped_stages(scans: DataFrame, shift: date) -> DataFrame:
+    """New scans, given as (sku, number of the stage), as history rows."""
+    stamped = [
+        F.when(F.col("stage") == i, F.lit(shift)).alias(s)
+        for i, s in enumerate(SAMPLE_STAGES, 1)
+    ]
+    return scans.select(fold_code("sku").alias("sku"), *stamped)
+
+
 def sample_trail(plan: DataFrame, stages: DataFrame, with_qc_count: bool = False) -> DataFrame:
     """Plan and stages side by side, one row per (config, first stage).
 
@@ -127,7 +140,6 @@ def sample_trail(plan: DataFrame, stages: DataFrame, with_qc_count: bool = False
     """
     joined = plan.join(stages, "config_sku", "full")
     checks = ["qc_date", "qc_count"] if with_qc_count else ["qc_date"]
-    order = sort_keys([SAMPLE_STAGES[0]])
     return joined.select(
         "gl_day",
         "gl_month",
@@ -141,7 +153,11 @@ def sample_trail(plan: DataFrame, stages: DataFrame, with_qc_count: bool = False
         "buyer",
         *checks,
         *SAMPLE_STAGES,
-    ).orderBy(*order, "config_sku")
+    )
+
+
+def trail_order() -> list[Column]:
+    return sort_keys([SAMPLE_STAGES[0], "config_sku"])
 
 
 def sample_summary(trail: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.text import as_key, blank_to_null, fold_code
@@ -63,7 +63,11 @@ def shift_count(
         "category",
         "team",
     )
-    return report.distinct().orderBy(*sort_keys(["supplier", "product_id"]))
+    return report.distinct()
+
+
+def shift_order() -> list[Column]:
+    return sort_keys(["supplier", "product_id", "po"])
 
 
 def rolling_stock(
@@ -114,7 +118,11 @@ def daily_damages(
         "client_name",
         "client_email",
     )
-    return report.orderBy(*sort_keys(["supplier", "po", "sku"]))
+    return report
+
+
+def daily_order() -> list[Column]:
+    return sort_keys(["supplier", "po", "sku"])
 
 
 def rolling_damages(damages: DataFrame, po_lines: DataFrame) -> DataFrame:
@@ -129,10 +137,18 @@ def rolling_damages(damages: DataFrame, po_lines: DataFrame) -> DataFrame:
     return fan_out_join(scans, lines, "sku").select("date", "pos", "sku", "reason", "responsible")
 
 
-def rolling_oversupply(daily: DataFrame) -> DataFrame:
-    return daily.filter(F.col("oversupply").isNotNull()).select(
-        "date", "supplier", "po", "sku", "oversupply"
-    )
+def rolling_oversupply(
+    damages: DataFrame, oversupply: DataFrame, po_lines: DataFrame, as_of: date
+) -> DataFrame:
+    """The oversupplied rows of the daily report: an item's count with every PO line, once per damage reason.
+
+    Only items that were oversupplied are looked at, and no contacts.
+    """
+    surplus = scan_counts(oversupply, "sku", "oversupply")
+    reasons = scan_counts(damages, "product_id", "damaged", "reason").select(F.col("product_id").alias("sku"), F.lit(1).alias("_r"))
+    items = left_join(surplus, reasons, "sku").drop("_r")
+    placed = fan_out_join(items, _line_details(po_lines).drop("description"), "sku")
+    return stamp(placed, date=as_of).select("date", "supplier", "po", "sku", "oversupply")
 
 
 def bad_stock(
@@ -168,4 +184,4 @@ def bad_stock(
         "client_name",
         "client_email",
     )
-    return report.orderBy(*sort_keys(["supplier", "po", "simple_sku"]))
+    return report

@@ -6,7 +6,7 @@ out rows whose PO reference marks samples, oversupply, fraud or a rejected order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.calendar import iso_week_day
@@ -104,33 +104,31 @@ def with_samples(inbound: DataFrame, samples: DataFrame, stage: str = "s3_to_stu
     return skew_join(inbound, known, "sku", "left")
 
 
-def visibility_master(inbound: DataFrame, samples: DataFrame, ordered: bool = True) -> DataFrame:
-    """The report table, sorted by receipt, booking and PO, missing first.
+def visibility_master(inbound: DataFrame, samples: DataFrame) -> DataFrame:
+    """The report table; `master_order` is for its sink."""
+    return with_samples(inbound, samples).select(*MASTER_COLUMNS)
 
-    The arrival order breaks ties, so that the sort can cut runs of equal dates.
-    """
-    wide = with_samples(inbound, samples)
-    if ordered:
-        ties = [F.col("row_class"), F.col("seq"), F.col("ref"), F.col("status")]
-        keys = sort_keys(["date_received", "date_booked", "pos"], nulls="first")
-        wide = wide.orderBy(*keys, *ties)
-    return wide.select(*MASTER_COLUMNS)
+
+def master_order() -> list[Column]:
+    """By receipt, booking and PO, missing first; item, reference and status break runs of equal dates."""
+    return sort_keys(["date_received", "date_booked", "pos", "sku", "ref", "status"], nulls="first")
 
 
 def warehouse_track(master: DataFrame) -> DataFrame:
-    keys = sort_keys(["date_received", "pos", "last_qced"], nulls="last")
-    return master.select(*TRACK_COLUMNS).orderBy(*keys, "sku", "ref", "status")
+    return master.select(*TRACK_COLUMNS)
 
 
-def backlog(master: DataFrame) -> DataFrame:
+def track_order() -> list[Column]:
+    return sort_keys(["date_received", "pos", "last_qced", "sku", "ref", "status"], nulls="last")
+
+
+def in_backlog() -> Column:
     """Received, not yet counted by quality control and not taken in by the warehouse."""
-    waiting = (
-        F.col("date_received").isNotNull()
-        & F.col("last_qced").isNull()
-        & F.col("last_received").isNull()
-    )
-    keys = sort_keys(["date_received", "pos", "last_qced"], nulls="last")
-    return master.select(*TRACK_COLUMNS).filter(waiting).orderBy(*keys, "sku", "ref", "status")
+    return F.col("date_received").isNotNull() & F.col("last_qced").isNull() & F.col("last_received").isNull()
+
+
+def backlog(master: DataFrame) -> DataFrame:
+    return master.select(*TRACK_COLUMNS).filter(in_backlog())
 
 
 def saleable(master: DataFrame) -> DataFrame:
@@ -169,7 +167,7 @@ def units_by_month(with_sample_count: DataFrame) -> DataFrame:
         "units_in_wh": "qty_putaway",
     }
     sums = [F.sum(c).alias(name) for name, c in names.items()]
-    return group_agg(saleable(with_sample_count), ["gl_month"], *sums).orderBy("gl_month")
+    return group_agg(saleable(with_sample_count), ["gl_month"], *sums)
 
 
 PO_RATIOS = ("pos_on_bp", "booked", "received", "not_received", "partial", "qced", "in_wh")

@@ -10,7 +10,6 @@ from quayside.operators.aggregates import (
     DECILES,
     QUARTILES,
     conditional_counts,
-    describe,
     group_agg,
     in_full,
     margins_pivot,
@@ -21,6 +20,7 @@ from quayside.operators.aggregates import (
     value_counts,
     waterfall,
 )
+from quayside.operators.quantiles import describe_spread
 from quayside.operators.reshape import stage_pairs
 from quayside.plans import inbound as inbound_plan
 from quayside.plans.scans import plan_categories, scan_counts
@@ -210,7 +210,7 @@ FROM shipments WHERE charge_out > 0""",
 def described(t: Tables) -> DataFrame:
     names = {f"p{round(q * 100)}": q for q in QUARTILES}
     charged = t.shipments.filter(F.col("charge_out") > 0)
-    return rounded(describe(charged, [], "charge_out", names, total="total"), total=4)
+    return rounded(describe_spread(charged, [], "charge_out", names, total="total"), total=4)
 
 
 DECILE_SQL = ", ".join(
@@ -227,7 +227,7 @@ FROM shipments WHERE zone IS NOT NULL GROUP BY zone""",
 )
 def described_by_zone(t: Tables) -> DataFrame:
     names = {f"p{round(q * 100)}": q for q in DECILES}
-    return rounded(describe(t.shipments, ["zone"], "chargeable_mass", names))
+    return rounded(describe_spread(t.shipments, ["zone"], "chargeable_mass", names))
 
 
 @query(

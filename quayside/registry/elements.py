@@ -76,6 +76,7 @@ from quayside.plans import samples as samples_plan
 from quayside.plans.bookings import BOOKING_FIELDS, booked_orders, next_workday
 from quayside.plans.inbound import DOCK_DATE_FORMATS, frame_order, po_line_groups
 from quayside.plans.scans import scan_counts
+from quayside.plans.visibility import in_backlog
 from quayside.registry.core import (
     AS_OF,
     BLANK,
@@ -313,9 +314,7 @@ WHERE date_received IS NOT NULL AND last_qced IS NULL AND last_received IS NULL"
 )
 def waiting(t: Tables) -> DataFrame:
     return inbound(t).filter(
-        F.col("date_received").isNotNull()
-        & F.col("last_qced").isNull()
-        & F.col("last_received").isNull()
+        in_backlog()
     ).select("sku", "pos", "date_received")
 
 

@@ -54,7 +54,7 @@ def with_samples(t: Tables) -> DataFrame:
 
 
 def master(t: Tables) -> DataFrame:
-    return visibility.visibility_master(inbound(t), t.sample_track, ordered=False)
+    return visibility.visibility_master(inbound(t), t.sample_track)
 
 
 MASTER_SQL = ", ".join(
@@ -351,7 +351,7 @@ def rolling_damages(t: Tables) -> DataFrame:
     f"SELECT date, supplier, po, sku, oversupply FROM ({DAILY_SQL}) WHERE oversupply IS NOT NULL",
 )
 def rolling_oversupply(t: Tables) -> DataFrame:
-    return scans.rolling_oversupply(daily_damages(t))
+    return scans.rolling_oversupply(t.damage_scans, t.oversupply_scans, t.po_lines, SCAN_DAY)
 
 
 @query(

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.calendar import parse_timestamp
+from quayside.sources.history import check_files, listed_files
 
 # Text forms of a date that a relational view may hand over.
 VIEW_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
@@ -25,6 +24,14 @@ class JdbcSplit:
     upper: str
     partitions: int
 
+    @property
+    def whole(self) -> bool:
+        return self.partitions == 1
+
+
+# A read over one connection, for views of a known small size.
+WHOLE = JdbcSplit("", "", "", 1)
+
 
 def jdbc_options(
     spark: SparkSession, table: str, split: JdbcSplit | None = None
@@ -34,7 +41,7 @@ def jdbc_options(
     found = {n: spark.conf.get(f"spark.quayside.jdbc.{n}", None) for n in names}
     options = {n: v for n, v in found.items() if v}
     options["dbtable"] = table
-    if split:
+    if split and not split.whole:
         options.update(
             partitionColumn=split.column,
             lowerBound=split.lower,
@@ -53,10 +60,12 @@ def read_table(
 ) -> DataFrame:
     """Import a relational view, parsing the named text columns as dates.
 
-    With `spark.quayside.jdbc.url` set the view is read over JDBC, in parallel ranges
-    if `split` is given; otherwise `name` is a parquet path.
+    With `spark.quayside.jdbc.url` set the view is read over JDBC in the parallel ranges of `split`, which is then
+    required: `WHOLE` reads a small view over one connection. Otherwise `name` is a parquet path.
     """
     if spark.conf.get("spark.quayside.jdbc.url", None):
+        if split is None:
+            raise ValueError(f"{name} needs a split: without one, a single task reads the whole view")
         df = spark.read.format("jdbc").options(**jdbc_options(spark, name, split)).load()
     else:
         df = spark.read.parquet(name)
@@ -87,28 +96,17 @@ def read_history_dir(
     found = reader.parquet(path)
     if not skip_unreadable:
         return found
-    bad = unreadable_files(spark, path).select(F.col("path").alias("_bad"))
+    bad = unreadable_files(spark, path, schema).select(F.col("path").alias("_bad"))
     located = found.withColumn("_from", F.col("_metadata.file_path"))
     return located.join(bad, F.col("_from") == F.col("_bad"), "left_anti").drop("_from")
 
 
-def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+def unreadable_files(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """(path, reason) of the files of a history directory that cannot be decoded to their last row.
 
-    Each file is one row of a distributed listing and is decoded in a task of its own. Valid
-    files without rows are no fault.
+    Valid files without rows are no fault. `history.checked_files` keeps the verdicts and checks new files only.
     """
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(*batch.columns, strict=True):
-                try:
-                    file = pq.ParquetFile(pa.BufferReader(content.as_py()))
-                    for _ in file.iter_batches():
-                        pass
-                except (pa.ArrowException, OSError, ValueError) as fault:
-                    reason = f"{type(fault).__name__}: {fault}"[:500]
-                    yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([reason])], ["path", "reason"])
-
-    listed = spark.read.format("binaryFile").load(path)
-    return listed.select(F.col("_metadata.file_path").alias("path"), "content").mapInArrow(check, "path string, reason string")
+    paths = [r.path for r in listed_files(spark, path).select("path").collect()]
+    found = check_files(spark, paths, schema).filter("reason IS NOT NULL")
+    named = listed_files(spark, path).select("path", "name")
+    return found.join(named, "path").select(F.col("name").alias("path"), "reason")
