@@ -173,9 +173,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scanned(
-        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), Scratch(spark, "op8")
-    )
+    return secrets.scanned(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
 @query("op9_toxicity")

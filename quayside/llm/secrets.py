@@ -5,15 +5,16 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import sole, texts
+from quayside.llm.secret_examples import examples
 
 # Candidates are runs of characters that keys are written in, long enough to be one, and what `places` finds.
 CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=-]{16,}")
@@ -24,6 +25,8 @@ CREDENTIAL = re.compile(rb"token|secret|passw|passwd|pwd|api.?key|apikey|auth|cr
 PLACEHOLDER = re.compile(rb"example|sample|dummy|placeholder|changeme|xxxx|your[_-]|test|fake|redacted", re.I)
 # Beginnings that issuers give their keys.
 ISSUED = re.compile(rb"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk-|AIza|eyJ)")
+# Fixed value: words before or after a value that tell what else it is.
+DIGEST = re.compile(rb"commit|\brev|merge|checkout|sha-?\d|md5|hash|digest|checksum|integrity|uuid|\bid\b|etag|session|base64|import|define|\bno\b|order|\.(?:zip|tar|gz)\b", re.I)
 # A credential's name before what assigns a value, and the value: quoted up to the closing quote, or up to a space.
 NAMED = re.compile(
     rb"(?:token(?!i)|secret(?!ar)|passw|pwd|api.?key|auth(?!or(?!ization))|credential|private|access.?key|bearer)"
@@ -42,24 +45,32 @@ QUERY = re.compile(rb"[?&][A-Za-z0-9_.~%\[\]-]{1,40}=([^\s&#\"'`<>]+)")
 
 
 def places(text: bytes) -> Iterator[tuple[int, int, bool]]:
-    """Where a value stands that may be a secret by its place, and whether the place names a credential."""
+    """Where a value stands that may be a secret by its place, and whether the place names a credential.
+
+    Values of one kind of place do not nest: what a value holds is not looked at again, so however a line is made, its
+    values are together no longer than it is.
+    """
     queried = set()  # in a query a value ends at the next one's name
     for m in QUERY.finditer(text):
         queried.add(m.start(1))
         yield (*m.span(1), False)
     for m in USER.finditer(text):
         yield (*m.span(1), True)
-    for m in ASSIGNS.finditer(text):
+    at = 0
+    while m := ASSIGNS.search(text, at):
+        at = m.end()
         if NAMED.search(text[max(0, m.start() - 96) : m.start()]) and (value := VALUE.match(text, m.end())):
-            if value.start(value.lastindex) not in queried:
-                yield (*value.span(value.lastindex), True)
+            start, end = value.span(value.lastindex)
+            if start not in queried:
+                yield start, end, True
+                at = end
 
 
 FEATURES = (
     "length", "digits", "upper", "lower", "marks", "entropy", "switches", "transition", "rarest",
     "coverage", "hex", "common_length", "issued", "assigned", "credential_name", "placeholder",
     "quoted", "in_address", "before_credential", "after_quote", "path_example", "path_code",
-    "path_depth", "repeats",
+    "path_depth", "repeats", "digest_name", "call", "dots",
 )
 CLASSES = 40
 
@@ -155,7 +166,7 @@ def describe(text: bytes, start: int, end: int, path: str, log: np.ndarray, know
     return [
         n, digits / n, upper / n, (n - digits - marks - upper) / n, marks / n,
         float(-(share * np.log2(share)).sum()), float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
-        float(steps.mean()) if n > 1 else 0.0, float(steps.min()) if n > 1 else 0.0, coverage(value[:256], known),
+        float(steps.mean()) if n > 1 else 0.0, float(steps.min()) if n > 1 else 0.0, coverage(value, known),
         float(re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value) is not None), float(n in (20, 32, 36, 40, 64)),
         float(ISSUED.match(value) is not None), float(named or assigned is not None),
         float(named or assigned is not None and CREDENTIAL.search(assigned.group(1)) is not None),
@@ -164,7 +175,8 @@ def describe(text: bytes, start: int, end: int, path: str, log: np.ndarray, know
         float(CREDENTIAL.search(before) is not None), float(after[:1] in (b'"', b"'", b"`")),
         float(re.search(r"(?i)test|example|sample|fixture|docs?/", path) is not None),
         float(re.search(r"(?i)\.(py|js|java|env|ya?ml|json|ini|cfg|conf|sh|go|rb|pem)$", path) is not None),
-        float(path.count("/")), longest / n,
+        float(path.count("/")), longest / n, float(DIGEST.search(before[-32:] + b" " + after) is not None),
+        float(re.search(rb"[(){}<>$%\[\]]", value) is not None or after[:1] in (b"(", b")")), value.count(b".") / n,
     ]
 
 
@@ -217,7 +229,8 @@ def grow(rows: np.ndarray, labels: np.ndarray, seed: int, depth: int = 10, least
             gain = left**2 / cut + right**2 / (n - cut) - total**2 / n
             k = int(np.argmax(gain))
             if gain[k] > best[0]:
-                best = (float(gain[k]), int(f), float((x[cut[k] - 1] + x[cut[k]]) / 2))
+                middle = float((x[cut[k] - 1] + x[cut[k]]) / 2)
+                best = (float(gain[k]), int(f), middle if middle < x[cut[k]] else float(x[cut[k] - 1]))
         if best[0] <= 1e-9:
             return place
         low = rows[members, best[1]] <= best[2]
@@ -296,30 +309,36 @@ def _inputs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), path.alias("source"))
 
 
-def feature(name: str) -> Column:
-    return F.element_at("features", FEATURES.index(name) + 1)
+PLANTED = "doc_id bigint, text string, source string, start bigint, length bigint, label int, kind string, held_out boolean"
 
 
-def sure(value: Callable):
-    """Whether form and place alone tell a secret; `value` gives a feature by name, as a column or an array."""
-    mixed = (value("digits") > 0.05) & (value("upper") + value("lower") > 0) & (value("entropy") > 2.5)
-    named = (value("issued") == 1) | ((value("credential_name") == 1) & (value("coverage") < 0.3))
-    return mixed & (value("placeholder") == 0) & named
+def planted(spark: SparkSession, **options) -> DataFrame:
+    """The findings of `secret_examples` as a table: PLANTED. Any table of reviewed findings may stand in for it."""
+    return spark.createDataFrame(list(examples(**options)), PLANTED)
 
 
-def distant_label() -> Column:
-    """Label of a finding by form and place alone, null where these do not decide.
+def labelled_findings(reviewed: DataFrame, scanner: Scanner) -> DataFrame:
+    """Candidates in the texts of `reviewed` (see PLANTED) with the label of the reviewed value they overlap, else 0; and held_out.
 
-    1: issued form, or a mixed value assigned to a credential's name, in an address as elsewhere; no placeholder about it.
-    0: a placeholder, or, of neither an issued form nor a credential's name: a value without digits, part of an
-    address, or a value that the dictionary covers by more than half.
+    The label is what the table says of the value, whatever the candidate's features.
     """
-    held = (feature("issued") == 1) | (feature("credential_name") == 1)
-    wrong = ~held & ((feature("digits") == 0) | (feature("in_address") == 1) | (feature("coverage") > 0.5))
-    return F.when(sure(feature), 1).when(wrong | (feature("placeholder") == 1), 0)
+    known = reviewed.select("doc_id", F.col("start").alias("_start"), F.col("length").alias("_length"), "label", "held_out")
+    found = findings(reviewed, scanner).drop("score").join(known, "doc_id")
+    over = (F.col("start") < F.col("_start") + F.col("_length")) & (F.col("_start") < F.col("start") + F.col("length"))
+    return found.select("doc_id", "start", "value_sha256", "features", F.when(over, F.col("label")).otherwise(0).alias("label"), "held_out")
+
 
+def measured(findings_: DataFrame, forest: Forest, threshold: float = 0.5) -> dict[str, tuple[float, float]]:
+    """(precision, recall) of labelled findings: of all candidates as they are (`before`) and of those the forest keeps (`after`)."""
+    rows = findings_.select("features", "label").toArrow()  # a table of reviewed findings, not of a corpus
+    label = rows["label"].to_numpy()
+    kept = forest.scores(np.array(rows["features"].to_pylist()).reshape(len(label), len(FEATURES))) >= threshold
+    secret = max(1, int((label == 1).sum()))
+    right = int((kept & (label == 1)).sum())
+    return {"before": (secret / max(1, len(label)), 1.0), "after": (right / max(1, int(kept.sum())), right / secret)}
 
-def train(labelled: DataFrame, trees: int = 24, sample_rows: int = 20_000, held_out: Column | None = None) -> Forest:
+
+def train(labelled: DataFrame, trees: int = 48, sample_rows: int = 20_000, held_out: Column | None = None) -> Forest:
     """A forest from labelled findings (features, value_sha256, label 0 or 1); other labels are left out.
 
     About `sample_rows` findings of each label are taken by a hash of the value, so that their size is
@@ -332,8 +351,8 @@ def train(labelled: DataFrame, trees: int = 24, sample_rows: int = 20_000, held_
     counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Forest(())
-    part = F.pmod(F.xxhash64("doc_id", "start", "value_sha256"), F.lit(1_000_000))
-    share = F.when(F.col("label") == 1, sample_rows * 1e6 / counts[1]).otherwise(sample_rows * 1e6 / counts[0])
+    part = F.pmod(F.xxhash64("doc_id", "start", "value_sha256"), F.lit(1 << 53)).cast("double")
+    share = F.when(F.col("label") == 1, sample_rows * 2.0**53 / counts[1]).otherwise(sample_rows * 2.0**53 / counts[0])
     sample = rows.where(part < share).select("doc_id", "start", "value_sha256", "features", "label").toArrow()
     sample = sample.sort_by([(n, "ascending") for n in ("doc_id", "start", "value_sha256")])
     spark = labelled.sparkSession
@@ -354,50 +373,34 @@ def train(labelled: DataFrame, trees: int = 24, sample_rows: int = 20_000, held_
     return Forest(tuple(tuple(np.array(column) for column in row[1:]) for row in sorted(grown)))
 
 
-def fitted(docs: DataFrame, dictionary_path: str, scratch, **options) -> tuple[Scanner, DataFrame]:
-    """A scanner fitted to `docs`, and its labelled findings (written).
+def fitted(docs: DataFrame, dictionary_path: str, reviewed: DataFrame | None = None, **options) -> Scanner:
+    """A scanner for `docs`: character transitions of all their texts, and a forest trained on reviewed findings.
 
-    Transitions and findings cover all documents; only the rows that the trees see are a bounded sample.
+    `reviewed` has PLANTED's columns; by default it is `planted`. Findings that are held out are not learned from.
     """
     scanner = Scanner(transitions(docs), dictionary_path)
-    known = findings(docs, scanner).drop("score").withColumn("label", distant_label())
-    known = scratch.keep(known)
-    return Scanner(scanner.log, dictionary_path, train(known, **options)), known
+    known = labelled_findings(planted(docs.sparkSession) if reviewed is None else reviewed, scanner)
+    return Scanner(scanner.log, dictionary_path, train(known, held_out=F.col("held_out"), **options))
 
 
-def scanned(docs: DataFrame, dictionary_path: str, scratch, threshold: float = 0.5, **options) -> DataFrame:
-    """Findings of `docs`: doc_id, start, length, value_sha256, label, score and is_secret.
+def scanned(docs: DataFrame, dictionary_path: str, threshold: float = 0.5, reviewed: DataFrame | None = None, **options) -> DataFrame:
+    """Findings of `docs`: doc_id, start, length, value_sha256, score and is_secret.
 
-    Each candidate is scored by the forest, labelled or not; is_secret holds from `threshold` on and where the
-    label is 1, so that a kind of secret too rare to be learned from is found as well. Repeated rows give repeated findings.
-    An empty table gives no rows.
+    Each candidate is scored by the forest, which alone decides: is_secret holds from `threshold` on. Repeated rows give
+    repeated findings; an empty table gives no rows.
     """
-    scanner, known = fitted(docs, dictionary_path, scratch, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(scanner.forest)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("features")
-            rows = np.array(batch.column(at).to_pylist()).reshape(batch.num_rows, len(FEATURES))
-            keep = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(shared.value.scores(rows))],
-                [*(batch.schema.names[i] for i in keep), "score"],
-            )
-
-    schema = "doc_id bigint, start bigint, length bigint, value_sha256 string, label int, score double"
-    out = known.mapInArrow(score, schema)
-    return out.withColumn("is_secret", (F.col("score") >= threshold) | F.coalesce(F.col("label") == 1, F.lit(False)))
+    scanner = fitted(docs, dictionary_path, reviewed, **options)
+    return findings(docs, scanner).drop("features").withColumn("is_secret", F.col("score") >= threshold)
 
 
 def redacted(
-    docs: DataFrame, dictionary_path: str, scratch, threshold: float = 0.5, mark: str = "[secret]", **options
+    docs: DataFrame, dictionary_path: str, threshold: float = 0.5, mark: str = "[secret]", reviewed: DataFrame | None = None, **options
 ) -> DataFrame:
     """`docs` with every found secret replaced by `mark`, in one narrow pass; rows and columns stay.
 
     n_chars, where there is one, is counted anew for texts that change. Null texts stay null.
     """
-    scanner, _ = fitted(docs, dictionary_path, scratch, **options)
+    scanner = fitted(docs, dictionary_path, reviewed, **options)
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
     names = docs.columns
     at = names.index("text")
@@ -413,7 +416,7 @@ def redacted(
             for i, (text, where) in enumerate(zip(bodies, paths, strict=True)):
                 found = known.candidates(text, str(where or ""))
                 rows = np.array([f for *_, f in found]).reshape(len(found), len(FEATURES))
-                secret = (known.forest.scores(rows) >= threshold) | sure(lambda name: rows[:, FEATURES.index(name)])  # noqa: B023
+                secret = known.forest.scores(rows) >= threshold
                 cuts = [f[:2] for f, s in zip(found, secret, strict=True) if s]
                 if cuts:
                     parts, done = [], 0

@@ -228,41 +228,86 @@ def test_held_out_accuracy(spark, name, label, part, rest, least):
     assert right >= least
 
 
-def test_secrets_odd_rows_and_redaction(spark, scratch, sf_dir):
+def test_secrets_odd_rows_and_redaction(spark, sf_dir):
     docs = odd_docs(spark).drop("n_chars").withColumn("n_chars", F.length("text")).unionByName(
         spark.read.parquet(f"{sf_dir}/documents.parquet"), allowMissingColumns=True
     ).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    rows = secrets.scanned(docs, WORD_BPE, scratch).collect()
+    rows = secrets.scanned(docs, WORD_BPE).collect()
     assert any(r.doc_id == 10 and r.start == 9 and r.length == 40 and r.is_secret for r in rows)
-    held = [r for r in rows if r.label is not None]
-    assert np.mean([r.is_secret == bool(r.label) for r in held]) > 0.95
-    out = secrets.redacted(docs, WORD_BPE, scratch)
+    out = secrets.redacted(docs, WORD_BPE)
     assert out.columns == docs.columns and out.count() == docs.count()
     again = out.where("text LIKE 'token = %'").first()
     assert again.text == 'token = "[secret]" x' and again.n_chars == len(again.text)
-    assert secrets.scanned(docs.limit(0), WORD_BPE, scratch).count() == 0
-    assert secrets.redacted(docs.limit(0), WORD_BPE, scratch).count() == 0
+    assert secrets.scanned(docs.limit(0), WORD_BPE).count() == 0
+    assert secrets.redacted(docs.limit(0), WORD_BPE).count() == 0
 
 
-def test_secrets_by_place_are_candidates(spark, scratch, sf_dir):
+def test_planted_tokens_are_found_and_words_left_alone(spark):
+    """All keys planted in the given documents, and nothing else."""
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    rows = secrets.scanned(docs, WORD_BPE).collect()
+    found = {(r.doc_id, r.start, r.length) for r in rows if r.is_secret}
+    planted = {(d, m.start(1), 40) for d, t in text.items() for m in re.finditer('(?i)token = "([0-9a-f]{40})"', t)}
+    assert len(planted) > 100 and found == planted and len(rows) > 10 * len(planted)
+
+
+def test_the_forest_improves_on_its_candidates(spark, sf_dir):
+    """Held-out contexts of the reviewed findings, whose labels are no function of the features."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scanner = secrets.fitted(docs, WORD_BPE)
+    aside = secrets.labelled_findings(secrets.planted(spark), secrets.Scanner(scanner.log, WORD_BPE)).where("held_out")
+    found = secrets.measured(aside, scanner.forest)
+    assert found["before"][0] < 0.5 and found["before"][1] == 1.0
+    assert found["after"][0] > 0.95 and found["after"][1] > 0.93
+    hex_ = aside.join(secrets.planted(spark).where("kind IN ('hex key', 'commit', 'checksum')").select("doc_id"), "doc_id")
+    same_form = secrets.measured(hex_, scanner.forest)  # told apart by their neighbours alone
+    assert same_form["after"][0] > 0.95 and same_form["after"][1] > 0.8
+
+
+def test_labels_from_elsewhere_decide(spark):
+    rows = [(i, f"serial {i}: {'%040x' % (i * 7919**9)} end" if i % 2 else f"token = \"{'%040x' % (i * 7919**9)}\"", None, 0, 200, 1 - i % 2 if i < 200 else i % 2, "k", i >= 200) for i in range(400)]
+    reviewed = spark.createDataFrame([r if r[5] in (0, 1) else r for r in rows], secrets.PLANTED)
+    docs = reviewed.select("doc_id", "text")
+    usual = {r.doc_id for r in secrets.scanned(docs, WORD_BPE, reviewed=reviewed).where("is_secret").collect()}
+    turned = reviewed.withColumn("label", 1 - F.col("label"))
+    other = {r.doc_id for r in secrets.scanned(docs, WORD_BPE, reviewed=turned).where("is_secret").collect()}
+    assert usual and other and not usual & other
+
+
+def test_secrets_by_place_are_found(spark, sf_dir):
     key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
     held = {1: ('password = "Tr0ub4dor&3" x', "Tr0ub4dor&3"), 2: (f"see https://user:{key}@host/x", key), 3: (f"é https://h/p?access_token={key}&b=2", key),
             4: ("pwd: s3cr.t!9@Zé\nnext", "s3cr.t!9@Zé"), 5: ("postgres://bob:q7%Zx!2@db/x", "q7%Zx!2"), 6: ("Authorization: Bearer aB3.dE5-gH7", "aB3.dE5-gH7"),
-            7: ("password='onlyletters'", "onlyletters")}
+            7: ("password='changeme'", "changeme")}
     plain = [(100 + i, f"Author: Jo Doe{i} https://host{i}.net/a/page{i}of2345678901?page={i} and the time: 12:30") for i in range(40)]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in held.items()] + plain, "doc_id bigint, text string")
     given = spark.read.parquet(f"{sf_dir}/documents.parquet").select(-F.col("doc_id") - 1, "text")
-    docs = docs.union(given)  # what the forest mostly learns from
-    rows = secrets.scanned(docs, WORD_BPE, scratch).collect()
+    docs = docs.union(given)
+    rows = secrets.scanned(docs, WORD_BPE).collect()
     text = docs.toPandas().set_index("doc_id")["text"]
     found = {(r.doc_id, text[r.doc_id][r.start : r.start + r.length]): r for r in rows}
-    for i, (_, value) in held.items():
-        assert found[i, value].label == (None if i == 7 else 1)
+    assert {i: found[i, value].is_secret for i, (_, value) in held.items()} == {i: i != 7 for i in held}
     assert not any(r.is_secret for r in rows if r.doc_id >= 100)
-    out = {r.doc_id: r.text for r in secrets.redacted(docs, WORD_BPE, scratch).collect()}
+    out = {r.doc_id: r.text for r in secrets.redacted(docs, WORD_BPE).collect()}
     assert out[3].startswith("é https://h/p?") and out[3].endswith("[secret]&b=2")  # the run holds the value's name too
     assert {i: out[i] for i in held if i not in (3, 7)} == {i: t.replace(v, "[secret]") for i, (t, v) in held.items() if i not in (3, 7)}
-    assert all(out[i] == t for i, t in plain)
+    assert out[7] == held[7][0] and all(out[i] == t for i, t in plain)
+
+
+def test_a_long_line_takes_linear_time(spark):
+    import time
+
+    secrets.dictionary(WORD_BPE)
+    scanner = secrets.Scanner(secrets.transitions(spark.createDataFrame([(1, "x y")], "doc_id bigint, text string")), WORD_BPE)
+    for line in ("token=", 'password="', "https://a:b@c?key=", "auth: "):
+        text = (line * (1_000_000 // len(line))).encode()
+        start = time.perf_counter()
+        found = scanner.candidates(text, None)
+        assert time.perf_counter() - start < 60, line
+        assert sum(end - start for start, end, _ in found) <= 4 * len(text)
 
 
 def test_archives_odd_rows(spark, scratch):
