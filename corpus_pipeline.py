@@ -33,7 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with found secrets replaced by a mark."""
     ship(spark)
-    return secrets.redacted(docs, public_tokenizers.path(WORD_BPE), Scratch(spark, "secrets"))
+    return secrets.redacted(docs, public_tokenizers.path(WORD_BPE))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
