@@ -103,13 +103,13 @@ def word_ids(path: str) -> WordIds:
     return sole(f"word ids {path}", make)
 
 
-PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, slot bigint"
+PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, slot bigint, row bigint"
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> DataFrame:
     """Pieces of at most `size` ids of each document and its closing id, with the ids.
 
-    All pieces of a document but the last are full. `slot` numbers a document's pieces.
+    All pieces of a document but the last are full. `slot` numbers a document's pieces, `row` is its place in `docs`.
     """
     end = array.array("I", [end_id]).tobytes()
 
@@ -117,12 +117,12 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> D
         table = word_ids(tokenizer_path)
         for batch in batches:
             rows, held = [], 0
-            for doc, text in zip(*batch.columns, strict=True):
+            for doc, text, row in zip(*batch.columns, strict=True):
                 doc, ids = doc.as_py(), table.of(text.as_py()) + end
                 total = len(ids) // 4
                 for slot, start in enumerate(range(0, total, size)):
                     piece = ids[4 * start : 4 * (start + size)]
-                    rows.append((doc, start, len(piece) // 4, total, piece, slot))
+                    rows.append((doc, start, len(piece) // 4, total, piece, slot, row.as_py()))
                     held += len(piece)
                 if held > 4_000_000:
                     yield _batch(rows)
@@ -130,11 +130,12 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> D
             if rows:
                 yield _batch(rows)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    row = F.monotonically_increasing_id()
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row).mapInArrow(cut, PIECES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.int64()]
     names = [c.split()[0] for c in PIECES.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
@@ -171,8 +172,9 @@ def packed(
     """Pieces of `docs` (doc_id, text) with the sequence and offset at which each lies, and their ids.
 
     Documents are tokenised, closed by `end_id` and cut into pieces of `size` ids and a rest.
-    Pieces are dealt into groups by a hash of document and piece, each of about `group_bytes` of
-    text, so a group's memory is bounded however long a document or large the corpus; one document's
+    Pieces are dealt into groups by a hash of document, piece and the row's place in `docs` (a written table, so that
+    a repeated task sees the same places), each of about `group_bytes` of
+    text, so a group's memory is bounded however long a document, large the corpus or often a row is repeated; one document's
     pieces may fall into many groups. Each group is packed alone by first-fit decreasing. At most
     the last few sequences of a group stay unfilled.
 
@@ -184,17 +186,17 @@ def packed(
     total = docs.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     pieces = tokenised(docs, tokenizer_path, end_id, size)
-    # Repeated rows share a hash, which only places them in one group; a random salt would differ on a rerun.
-    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "slot", F.crc32("ids")), F.lit(groups)))
+    # Repeated rows are told apart by their place, so they fall into different groups as well.
+    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "slot", "row"), F.lit(groups)))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "start"], kind="stable", ignore_index=True)
+        group = group.sort_values(["doc_id", "start", "row"], kind="stable", ignore_index=True)
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(np.int64), size)
         group["sequence_id"] = group["grp"] * (1 << 32) + bins
         group["offset"] = offsets
-        return group.drop(columns=["grp", "slot"])
+        return group.drop(columns=["grp", "slot", "row"])
 
-    result = PIECES.replace(", slot bigint", "") + ", sequence_id bigint, offset bigint"
+    result = PIECES.replace(", slot bigint, row bigint", "") + ", sequence_id bigint, offset bigint"
     return pieces.groupBy("grp").applyInPandas(pack, result)
 
 
