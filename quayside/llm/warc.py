@@ -14,15 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Scratch, texts
+from quayside.operators.joins import skew_join
+from quayside.session import remove_path
 
 CHUNK = 1 << 20
 END = b"\r\n\r\n"  # fixed value: ends a header and a record
 
 
 def file_system(path: str):
-    """The store of a shared path and the path in it: whatever pyarrow opens, local or remote."""
+    """The store of a shared path and the path in it: whatever pyarrow opens, local or remote.
+
+    Hadoop's names of object stores are those of pyarrow with a letter more.
+    """
     from pyarrow import fs
 
+    scheme, mark, rest = path.partition("://")
+    path = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + mark + rest
     if "://" not in path and not path.startswith("file:"):
         return fs.LocalFileSystem(), path
     if path.startswith("file:"):
@@ -34,13 +41,17 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_head(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """The header of a response, or of a revisit if `refers_to` is given, without its payload."""
+def record_head(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+    """The header of a response, or of a revisit if `refers_to` is given, without its payload.
+
+    A page without an id has a record id of its own.
+    """
+    name = f"urn:uuid:{uuid.uuid4()}" if page_id is None else f"urn:page:{page_id}"
     kind = "response" if refers_to is None else "revisit"
     lines = [
         b"WARC/1.1",
         b"WARC-Type: " + kind.encode(),
-        f"WARC-Record-ID: <urn:page:{page_id}>".encode(),
+        f"WARC-Record-ID: <{name}>".encode(),
         b"WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{digest}".encode(),
         # An extension field: a revisit has no payload but states the size of the one it stands for.
@@ -253,14 +264,15 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 content = zlib.decompress(stream.read_at(size, offset), 31)
                 head, _, rest = content.partition(END)
                 fields = header_fields(head)
-                page = int(fields["warc-record-id"].removeprefix("<urn:page:").removesuffix(">"))
+                name = fields["warc-record-id"].strip("<>")
+                page = int(name.removeprefix("urn:page:")) if name.startswith("urn:page:") else None
                 digest = fields["warc-payload-digest"].removeprefix("sha1:")
                 refers = fields.get("warc-refers-to")
                 payload = None
                 if refers is None:
                     payload = rest[: int(fields["content-length"])]
                     if base32_sha1(payload) != digest or len(payload) != int(fields["payload-length"]):
-                        raise ValueError(f"record {page} of {path} does not hold what its header states")
+                        raise ValueError(f"record {name} of {path} does not hold what its header states")
                 to = int(refers.removeprefix("<urn:page:").removesuffix(">")) if refers else None
                 rows.append((page, int(fields["payload-length"]), digest, fields["warc-type"], to, fields.get("warc-target-uri"), payload))
                 held += len(payload or b"")
@@ -279,20 +291,22 @@ def _records(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> p
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, refers_to) of pages that repeat the payload of one with a larger page_id.
+def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """`pages` (page_id, url, html) with refers_to: the largest page_id with the same payload, where that is another one.
 
-    Only digests are shuffled, and counted before: a payload that a third of all pages share is one row per
-    task. Payloads under `least_bytes` are never revisits. Repeated rows of one page_id are no revisits.
+    Rows are told by their payload, not their id: a page_id with several payloads is a revisit with one and a
+    response with another. Payloads under `least_bytes`, and rows without page_id, are never revisits, nor are repeated rows of
+    the largest page_id. Payloads are counted before the shuffle, and a payload that a third of all pages share is
+    split over tasks.
     """
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    digests = pages.where("page_id IS NOT NULL").select(
-        F.col("page_id").cast("bigint"), F.sha2(payload, 256).alias("digest"), F.length(payload).alias("bytes")
-    )
-    digests = digests.where(F.col("bytes") >= least_bytes).select("page_id", "digest")
-    best = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
-    best = best.where("refers_to > least").select("digest", "refers_to")
-    return digests.join(best, "digest").where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    # Only payloads that may be referred to have a digest here; the others meet nothing.
+    digest = F.when(F.col("page_id").isNotNull() & (F.length(payload) >= least_bytes), F.sha2(payload, 256))
+    keyed = pages.select("page_id", "url", "html").withColumn("_digest", digest)
+    best = keyed.where("_digest IS NOT NULL").groupBy("_digest").agg(F.max("page_id").alias("_last"), F.min("page_id").alias("_first"))
+    best = best.where("_last > _first").select("_digest", "_last")
+    found = skew_join(keyed, best, "_digest", "left")
+    return found.select("page_id", "url", "html", F.when(F.col("page_id") < F.col("_last"), F.col("_last")).alias("refers_to"))
 
 
 def archived(
@@ -302,15 +316,15 @@ def archived(
 
     Of equal payloads of at least `least_bytes` the largest page_id is the response and the others
     refer to it. Null html: an empty payload. Null url: no target field. Repeated rows: a record
-    each. Rows without page_id cannot be named and are left out. An empty table gives no
+    each. Null page_id: a response under a record id of its own, read back as null. An empty table gives no
     archives and no rows. Other columns are ignored.
     """
-    again = scratch.keep(revisits(pages, least_bytes))
-    marked = pages.select("page_id", "url", "html").where("page_id IS NOT NULL").join(again, "page_id", "left")
+    marked = with_revisits(pages.withColumn("page_id", F.col("page_id").cast("bigint")), least_bytes)
     raw, ready = scratch.path(), scratch.path()
     files = scratch.keep(write_archives(marked, raw, archive_bytes))
     # One archive per task: the list is short, and each entry is a whole file's work.
     count = max(1, files.count())
     index = scratch.keep(normalise(files.repartition(min(count, 10_000), "path"), raw, ready))
+    remove_path(spark, raw)
     dealt = index.repartition(min(count, 10_000), "path").sortWithinPartitions("path", "offset")
     return read_records(dealt, ready)
