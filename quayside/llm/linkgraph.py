@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Scratch
+from quayside.operators.joins import skew_join
 
-# Fixed value: a link with a host of its own in an attribute.
-LINK = r"(?:href|src)\s*=\s*[\"']?\s*((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^\"'\s>]+)"
-MOST_RULES = 500
+# Attributes that hold an address, one that holds several, and where relative addresses begin.
+LINK = r"(?i)(?:href|src|action|formaction|poster|cite|data-src)\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
+SRCSET = r"(?i)srcset\s*=\s*[\"']([^\"'>]+)"
+BASE = r"(?i)<base\s[^>]*href\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
+RELATIVE = r"(?i)(?:href|src|action|formaction|poster|cite|data-src)\s*=\s*[\"']\s*(?:[^\"'/#:\s][^\"':]*|/|/[^\"'/][^\"']*)[\"']"
+# Up to as many rules are tried one after another, more are looked up by host.
+CHAINED_RULES = 500
 
 
 def host_of(url: Column) -> Column:
@@ -55,8 +60,8 @@ class Rule:
 
 def with_rule(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add rule (the longest that fits host and path, else null) and ruled (allow, block or null)."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"at most {MOST_RULES} rules")
+    if len(rules) > CHAINED_RULES:
+        return _looked_up(urls, rules)
     rule = ruled = None
     for r in sorted(rules, key=lambda r: (-len(r.text), r.text)):
         rule = F.when(r.fits(), r.text) if rule is None else rule.when(r.fits(), r.text)
@@ -66,43 +71,74 @@ def with_rule(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     return urls.withColumn("rule", none if rule is None else rule).withColumn("ruled", none if ruled is None else ruled)
 
 
+def _looked_up(urls: DataFrame, rules: list[Rule]) -> DataFrame:
+    """As `with_rule`, for any number of rules: those of a host's suffixes are joined to it, once per host."""
+    table = urls.sparkSession.createDataFrame(
+        [(r.host, r.path, r.text, "allow" if r.allow else "block") for r in rules], "suffix string, rule_path string, rule string, says string"
+    )
+    hosts = urls.select("host").where("host <> ''").distinct()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    own = hosts.select("host", F.explode(suffixes).alias("suffix")).join(table, "suffix")
+    own = own.groupBy("host").agg(F.collect_list(F.struct(F.length("rule").alias("n"), "rule", "rule_path", "says")).alias("_rules"))
+    found = skew_join(urls, own, "host", "left")
+    fitting = F.filter(F.coalesce("_rules", F.array().cast(own.schema["_rules"].dataType)), lambda r: F.col("path").startswith(r["rule_path"]))
+    best = F.element_at(F.array_sort(fitting, lambda a, b: F.when(a["n"] != b["n"], (b["n"] - a["n"]).cast("int")).when(a["rule"] < b["rule"], -1).otherwise(1)), 1)
+    found = found.withColumn("_best", F.when(F.size(fitting) > 0, best))
+    return found.withColumns({"rule": F.col("_best.rule"), "ruled": F.col("_best.says")}).drop("_rules", "_best")
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, weight): links between hosts in the pages' html, and from a host to its parent domain.
+    """(kind, src, dst, weight): links between hosts in the pages' html, and from a host to its parent domain.
 
-    Links are counted per pair of hosts before the shuffle. A host with more than two labels also
-    has one edge to the host without the first label, if pages of that exist or not: subdomains
-    share the standing of their domain. Links within a host say nothing and are left out.
+    Links (`link`) are addresses with a host of their own in an attribute or a srcset, and where a page's
+    base lies on another host also its relative addresses. They are counted per pair of hosts before the shuffle.
+    A host with more than two labels also has an edge to the host without the first label (`parent`), if pages of that
+    exist or not: subdomains share the standing of their domain. Links within a host say nothing and are left out.
     """
-    found = pages.select("host", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), 1)).alias("link"))
+    html = F.coalesce(F.col("html"), F.lit(""))
+    base = F.regexp_extract(html, BASE, 1)
+    several = F.flatten(F.transform(F.regexp_extract_all(html, F.lit(SRCSET), 1), lambda s: F.split(s, ",")))
+    several = F.filter(F.transform(several, lambda s: F.regexp_extract(s, r"^\s*((?:[A-Za-z][A-Za-z0-9+.-]*:)?//\S+)", 1)), lambda s: s != "")
+    own = F.concat(F.regexp_extract_all(html, F.lit(LINK), 1), several)
+    by_base = F.when(base != "", F.array_repeat(base, F.regexp_count(html, F.lit(RELATIVE)))).otherwise(F.array().cast("array<string>"))
+    found = pages.select("host", F.explode(F.concat(own, by_base)).alias("link"))
     full = F.when(F.col("link").startswith("//"), F.concat(F.lit("x:"), "link")).otherwise(F.col("link"))
     links = found.select(F.col("host").alias("src"), host_of(full).alias("dst"))
     links = links.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("dst").alias("weight"))
     up = pages.select("host").distinct().where(F.size(F.split("host", r"\.")) > 2)
     up = up.select(F.col("host").alias("src"), F.regexp_replace("host", r"^[^.]*\.", "").alias("dst"), F.lit(1).cast("bigint").alias("weight"))
-    return links.unionByName(up).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    return links.withColumn("kind", F.lit("link")).unionByName(up.withColumn("kind", F.lit("parent")))
 
 
 def propagated(
-    edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = 8, damping: float = 0.85, every: int = 4
-) -> DataFrame:
+    edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = 8, damping: float = 0.85, every: int = 4,
+    parent_share: float = 0.2,
+) -> DataFrame:
     """(host, trust, distrust) after `rounds` rounds of personalised PageRank.
 
     `seeds` (host, trust, distrust) hold the start of either walk, each adding up to 1 or 0. Trust
     follows the edges, distrust follows them backwards, from a host to those that link to it. A
-    host's score is damping times what its neighbours pass on by weight, plus the rest at the seeds.
+    host's score is damping times what its neighbours pass on by weight, plus the rest at the seeds. Of what a host
+    passes on, `parent_share` goes along parent edges, the rest along links, whether it has the other kind or not: so
+    a domain never outweighs the links.
     Both walks are one: their edges are told apart by `walk`, and each round is one join and one
     sum. The table of scores is written every few rounds, which cuts the plan.
     """
-    forward = edges.select(F.lit("trust").alias("walk"), "src", "dst", "weight")
-    backward = edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    both = forward.unionByName(backward)
-    out = both.groupBy("walk", "src").agg(F.sum("weight").alias("total"))
-    both = scratch.keep(both.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+    forward = edges.select(F.lit("trust").alias("walk"), "kind", "src", "dst", "weight")
+    backward = edges.select(F.lit("distrust").alias("walk"), "kind", F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    # A hub has many edges: `src` and what it is joined by are one key, of which Spark may split the edges.
+    both = forward.unionByName(backward).withColumn("by", F.concat_ws(" ", "walk", "kind", "src"))
+    out = both.groupBy("by").agg(F.sum("weight").alias("total"))
+    part = F.when(F.col("kind") == "parent", parent_share).otherwise(1 - parent_share) * F.col("weight") / F.col("total")
+    both = skew_join(both, out, "by").where(part > 0).select("walk", F.concat_ws(" ", "walk", "src").alias("at"), "dst", part.alias("share"))
+    both = scratch.keep(both)
     start = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) AS (walk, seed)"))
     start = scratch.keep(start.where("seed > 0"))
     scores = start.select("walk", "host", F.col("seed").alias("score"))
     for number in range(1, rounds + 1):
-        passed = both.join(scores.withColumnRenamed("host", "src"), ["walk", "src"]).select(
+        held = scores.select(F.concat_ws(" ", "walk", "host").alias("at"), "score")
+        passed = skew_join(both, held, "at").select(
             "walk", F.col("dst").alias("host"), (damping * F.col("share") * F.col("score")).alias("part")
         )
         again = start.select("walk", "host", ((1 - damping) * F.col("seed")).alias("part"))
@@ -120,6 +156,7 @@ def judged(
     rounds: int = 8,
     damping: float = 0.85,
     ratio: float = 1.0,
+    parent_share: float = 0.2,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every row of `pages` (page_id, url, html).
 
@@ -146,7 +183,7 @@ def judged(
         (F.col("allowed") / F.lit(float(sums.a or 1))).alias("trust"),
         (F.col("blocked") / F.lit(float(sums.b or 1))).alias("distrust"),
     )
-    hosts = scratch.keep(propagated(edges, seeds, scratch, rounds, damping))
+    hosts = scratch.keep(propagated(edges, seeds, scratch, rounds, damping, parent_share=parent_share))
     out = ruled.join(hosts, "host", "left")
     method = F.when(F.coalesce("distrust", F.lit(0.0)) > ratio * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")

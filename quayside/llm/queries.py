@@ -57,20 +57,24 @@ def op2_sql() -> str:
     order = sorted(RULES, key=lambda r: -len(r.text))
     rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, order, strict=True))
     says = " ".join(f"WHEN {f} THEN '{'allow' if r.allow else 'block'}'" for f, r in zip(fits, order, strict=True))
-    pattern = linkgraph.LINK.replace("'", "''")
+    quoted = lambda pattern: pattern.replace("'", "''")
     parts = [
         f"""p AS (SELECT page_id, html,
   CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract({rest}, '^([^/?#]*)', 1, 's'),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
   CASE WHEN instr(url, '://') > 0 THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path FROM pages)""",
-        f"""links AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{pattern}', 1)) AS l FROM p)""",
-        """edges AS (SELECT src, dst, sum(weight) AS weight FROM (
-  SELECT src, translate(regexp_extract(l, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst,
+        f"""links AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{quoted(linkgraph.LINK)}', 1)) AS l FROM p
+  UNION ALL SELECT host, regexp_extract(unnest(string_split(s, ',')), '^\\s*((?:[A-Za-z][A-Za-z0-9+.-]*:)?//\\S+)', 1)
+  FROM (SELECT host, unnest(regexp_extract_all(coalesce(html, ''), '{quoted(linkgraph.SRCSET)}', 1)) AS s FROM p)
+  UNION ALL SELECT host, base FROM (SELECT host, base, unnest(regexp_extract_all(html, '{quoted(linkgraph.RELATIVE)}', 0))
+    FROM (SELECT host, html, regexp_extract(coalesce(html, ''), '{quoted(linkgraph.BASE)}', 1) AS base FROM p) WHERE base <> ''))""",
+        """edges AS (SELECT kind, src, dst, sum(weight) AS weight FROM (
+  SELECT 'link' AS kind, src, translate(regexp_extract(l, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst,
     1 AS weight FROM links
-  UNION ALL SELECT host, regexp_replace(host, '^[^.]*\\.', ''), 1 FROM (SELECT DISTINCT host FROM p) WHERE len(string_split(host, '.')) > 2
-) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst)""",
-        """walks AS (SELECT walk, src, dst, weight / sum(weight) OVER (PARTITION BY walk, src) AS share FROM (
-  SELECT 'trust' AS walk, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges))""",
+  UNION ALL SELECT 'parent', host, regexp_replace(host, '^[^.]*\\.', ''), 1 FROM (SELECT DISTINCT host FROM p) WHERE len(string_split(host, '.')) > 2
+) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY kind, src, dst)""",
+        """walks AS (SELECT walk, src, dst, CASE kind WHEN 'parent' THEN 0.2 ELSE 0.8 END * weight / sum(weight) OVER (PARTITION BY walk, kind, src) AS share FROM (
+  SELECT 'trust' AS walk, kind, src, dst, weight FROM edges UNION ALL SELECT 'distrust', kind, dst, src, weight FROM edges))""",
         f"""r AS (SELECT page_id, host, path, CASE {rule} END AS rule, CASE {says} END AS ruled FROM p)""",
         """seeds AS (SELECT CASE ruled WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS walk, host,
   count(*) / sum(count(*)) OVER (PARTITION BY ruled) AS seed FROM r WHERE host <> '' AND ruled IS NOT NULL GROUP BY ruled, host)""",

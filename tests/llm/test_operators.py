@@ -79,6 +79,14 @@ def test_packing_odd_rows_and_round_trip(spark):
     assert packing.packed(docs.limit(0), WORD_BPE).count() == 0
 
 
+def test_repeated_rows_fall_into_many_groups(spark, scratch):
+    docs = scratch.keep(spark.createDataFrame([(None, "the same words again")] * 4000, "doc_id bigint, text string"))
+    pieces = packing.packed(docs, WORD_BPE, group_bytes=2000).collect()
+    assert len(pieces) == 4000
+    per = np.unique([p.sequence_id >> 32 for p in pieces], return_counts=True)[1]
+    assert len(per) > 40 and per.max() <= 2 * 4000 / len(per)
+
+
 def test_token_counts_odd_rows(spark):
     docs = odd_docs(spark)
     rows = tokencount.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()
@@ -316,16 +324,57 @@ def test_archives_odd_rows(spark, scratch):
         "page_id bigint, url string, html string",
     ).withColumn("refers_to", F.lit(7))
     rows = warc.archived(spark, pages, scratch, archive_bytes=1000).collect()
-    found = sorted((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in rows)
+    found = [(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in rows]
     big = (6, "response", None, 4_000_000)
     assert sorted(found, key=str) == sorted(
-        [(1, "revisit", 3, 4), (2, "revisit", 3, 4), (3, "response", None, 4), (4, "revisit", 5, 0), (5, "response", None, 0), big, big], key=str
+        [(1, "revisit", 3, 4), (2, "revisit", 3, 4), (3, "response", None, 4), (4, "revisit", 5, 0), (5, "response", None, 0), big, big, (None, "response", None, 1)], key=str
     )
     assert next(r.payload_digest for r in rows if r.page_id == 5) == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert [r.record_type for r in warc.archived(spark, pages.where("page_id < 3"), scratch, least_bytes=5).collect()] == ["response"] * 2
     assert warc.archived(spark, pages.limit(0), scratch).count() == 0
 
 
+def test_archives_of_a_repeated_id_lose_nothing(spark, scratch, skewed_conf):
+    rows = [(1, "u", "A"), (1, "u", "B"), (9, "u", "A"), (None, "u", "A"), (None, None, None), (2, "u", "C"), (2, "u", "C")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = warc.archived(spark, pages, scratch).collect()
+    shown = sorted(((r.page_id, (r.payload or b"").decode(), r.record_type, r.refers_to) for r in found), key=str)
+    response = lambda page, text: (page, text, "response", None)
+    assert shown == sorted([(1, "", "revisit", 9), response(1, "B"), response(9, "A"), response(None, "A"), response(None, ""), response(2, "C"), response(2, "C")], key=str)
+
+
+def test_a_payload_of_many_pages_is_split(spark, scratch, skewed_conf):
+    # Distinct urls keep the rows wide, as whole pages are.
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.sha2(F.col("id").cast("string"), 512).alias("url"), F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("html"))
+    marked = warc.with_revisits(scratch.keep(pages))
+    assert marked.where("refers_to = 19998").count() == 6666
+    marked.collect()
+    assert "skew=true" in plan_text(marked)
+
+
+def test_rules_beyond_a_chain_are_looked_up(spark, monkeypatch):
+    draw = np.random.default_rng(2)
+    hosts = ["", "net", "a.net", "b.a.net", "x.org", "y.x.org"]
+    rules = [linkgraph.Rule(f"{hosts[1 + i % 5]}/{'pq'[i % 2] * (i % 4)}", bool(draw.integers(2))) for i in range(20)]
+    rules = list({r.text: r for r in rules}.values())
+    urls = spark.createDataFrame([(i, str(draw.choice(hosts)), "/" + "pq"[i % 2] * int(draw.integers(0, 5))) for i in range(300)], "page_id bigint, host string, path string")
+    chained = {r.page_id: (r.rule, r.ruled) for r in linkgraph.with_rule(urls, rules).collect()}
+    monkeypatch.setattr(linkgraph, "CHAINED_RULES", 0)
+    found = linkgraph.with_rule(urls, rules)
+    assert {r.page_id: (r.rule, r.ruled) for r in found.collect()} == chained and found.count() == 300
+    assert any(r for r, _ in chained.values()) and any(r is None for r, _ in chained.values())
+
+
+def test_links_of_all_kinds_are_edges(spark):
+    html = """<a href="/in">x</a><a HREF='HTTP://B.com/x'>y</a><img srcset="//c.com/1.png 1x, /2.png 2x, https://d.com/3 3x"><form action=//e.com/f>
+<a href="#top"><a href="mailto:x@y.z"><a href="page.html"><link rel="canonical" href="https://a.com/own">"""
+    based = '<base target="_top" href="https://f.com/dir/">' + html
+    rows = [("a.com", html), ("g.com", based), ("sub.h.com", None)]
+    found = {(r.kind, r.src, r.dst): r.weight for r in linkgraph.host_edges(spark.createDataFrame(rows, "host string, html string")).collect()}
+    expected = {("link", "a.com", f"{h}.com"): 1 for h in "bcde"} | {("link", "g.com", f"{h}.com"): 1 for h in "abcde"}
+    assert found == expected | {("link", "g.com", "f.com"): 3, ("parent", "sub.h.com", "h.com"): 1}
+
+
 def test_link_graph_odd_rows(spark, scratch):
     pages = spark.createDataFrame(
         [
