@@ -422,6 +422,46 @@ def test_vector_links_equal_brute_force_over_blocks_and_doors(spark, scratch):
         assert (got <= true.sum(axis=1)).all() and got.sum() / true.sum() >= 0.95
 
 
+def test_a_vector_id_with_several_vectors(spark, scratch):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, a), (1, b), (2, b), (3, a), (4, c), (5, [1.0, 0.1, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_graph.linked(table, scratch).collect())
+    assert found == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 0, 4), (5, 2, 1)]
+
+
+def test_the_audit_measures_where_nothing_is_linked(spark, scratch, monkeypatch):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    seen, real = [], vector_graph.audit
+    monkeypatch.setattr(vector_graph, "audit", lambda *a: seen.append(real(*a)) or seen[-1])
+    found = vector_graph.linked(table, scratch)
+    assert found.where("n_links > 0").count() == 0
+    assert len(seen) == 1 and 0.95 <= seen[0] <= 1  # planted vectors at 0.9 to 0.95, held against brute force
+
+
+def test_a_search_that_finds_too_little_becomes_exact(spark, scratch, monkeypatch):
+    draw = np.random.default_rng(8)
+    base = np.repeat(draw.normal(size=(40, 24)), 12, axis=0)
+    x = base + 0.2 * draw.normal(size=base.shape)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = u @ u.T >= 0.9
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    tried = []
+    monkeypatch.setattr(vector_graph, "audit", lambda *a: tried.append(1) or 0.0)
+    rows = sorted(vector_graph.linked(table, scratch, shard_rows=60).collect())
+    assert len(tried) == 3 and [r.n_links for r in rows] == (true.sum(axis=1) - 1).tolist()
+
+
+def test_shard_numbers_do_not_meet(spark):
+    graph = object.__new__(vector_graph._Graph)
+    graph.many = F.create_map(F.lit(0), F.lit(2100), F.lit(1), F.lit(3))
+    rows = spark.createDataFrame([(i, [0]) for i in range(40)] + [(i, [1]) for i in range(40, 80)] + [(99, [16_383])], "rep bigint, shards array<int>")
+    places = {r.rep: set(r.places) for r in graph._place(rows).collect()}
+    zero, one = (set().union(*(places[i] for i in part)) for part in (range(40), range(40, 80)))
+    assert not zero & one and len(one) == 6 and min(len(places[i]) for i in range(40)) == 2100
+    assert len(places[0] & places[1]) == 1 and all(p >= 0 for p in places[99])
+
+
 def test_vector_components_follow_every_link(spark, scratch):
     angles = {1: 0, 3: 20, 4: 40, 2: 60}  # 1-3, 3-4 and 4-2 are links; 3-4 is the smallest one at neither end
     chain = [(i, [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))]) for i, a in angles.items()]
