@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quayside.functions.numeric import gap
 from quayside.functions.text import as_col
 
 _MONDAY = date(1970, 1, 5)
@@ -23,7 +24,15 @@ def days_apart(a: Column | str, b: Column | str) -> Column:
     """Absolute distance in fractional days."""
     left = F.unix_micros(as_col(a).cast("timestamp"))
     right = F.unix_micros(as_col(b).cast("timestamp"))
-    return F.abs(left - right) / F.lit(_MICROS_PER_DAY)
+    return gap(left, right) / F.lit(_MICROS_PER_DAY)
+
+
+def shift_days(d: Column | str, days: int) -> Column:
+    return F.date_add(as_col(d), days)
+
+
+def year_month(d: Column | str) -> tuple[Column, Column]:
+    return F.year(as_col(d)), F.month(as_col(d))
 
 
 def iso_week_day(d: Column | str, day: int = 3) -> Column:

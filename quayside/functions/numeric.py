@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayside.functions.text import as_col
+from quayside.functions.text import as_col, holds
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -16,6 +16,11 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(as_col(numerator), as_col(denominator))
 
 
+def gap(a: Column | str, b: Column | str) -> Column:
+    """How far two amounts lie apart."""
+    return F.abs(as_col(a) - as_col(b))
+
+
 def started_units(c: Column | str, unit: float) -> Column:
     """Number of started units (for example kilograms) in an amount."""
     return F.ceil(as_col(c) / F.lit(unit))
@@ -81,5 +86,5 @@ def classify_last_match(
     text = as_col(c)
     chain = F
     for needle, label in reversed(rules):
-        chain = chain.when(text.contains(needle), F.lit(label))
+        chain = chain.when(holds(text, needle), F.lit(label))
     return chain

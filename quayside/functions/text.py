@@ -27,6 +27,11 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(as_col(c), F.lit(""))
 
 
+def holds(c: Column | str, part: str) -> Column:
+    """Whether a text has a part, in the same case; NULL for missing text."""
+    return as_col(c).contains(part)
+
+
 def as_key(c: Column | str) -> Column:
     """Join keys are always text."""
     return as_col(c).cast("string")

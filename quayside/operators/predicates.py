@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.calendar import month_index
-from quayside.functions.text import as_col
+from quayside.functions.text import as_col, holds
 
 # Case-sensitive patterns on the reference text of a PO.
 NOT_FOR_SALE = "sample|Sample|SAMPLE|samples|Samples|OS|Os|OVERSUPPLY|fraud"
@@ -50,7 +50,7 @@ def outside(c: Column | str, values: Sequence[Any]) -> Column:
 def not_cancelled(status: Column | str) -> Column:
     """Missing status fails as well."""
     c = as_col(status)
-    return c.isNotNull() & ~c.contains(CANCELLED)
+    return c.isNotNull() & ~holds(c, CANCELLED)
 
 
 def placed(status: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.text import (
@@ -42,6 +42,12 @@ def next_workday(as_of: date) -> date:
     return as_of + timedelta(days=3 if as_of.weekday() == 4 else 1)
 
 
+def several_events(rows: DataFrame) -> Column:
+    """Whether there is more than one kind of event, a missing one included; a subquery."""
+    kinds = F.count_distinct("event") + F.max(F.col("event").isNull().cast("int"))
+    return rows.agg((kinds > 1).alias("several")).scalar()
+
+
 def receiving_report(
     export: DataFrame, as_of: date, merchant_event: str = MERCHANT_EVENT
 ) -> DataFrame:
@@ -61,8 +67,7 @@ def receiving_report(
         }
     )
     first = keep_first(rows, ["pos", "brand"], ["seq", "piece"])
-    kinds = F.count_distinct("event") + F.max(F.col("event").isNull().cast("int"))
-    several = first.agg((kinds > 1).alias("several")).scalar()
+    several = several_events(first)
     named = first.withColumns(
         {
             "pos": F.coalesce("pos", F.lit("-")),

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.calendar import iso_week_day, shift_month
+from quayside.functions.calendar import iso_week_day, shift_days, shift_month, year_month
 from quayside.operators.aggregates import group_agg, margins_pivot
 from quayside.operators.predicates import (
     DELETED,
@@ -24,12 +24,10 @@ DAYS_BEFORE_GO_LIVE = 14
 def delivery_weeks(inbound: DataFrame, as_of: date, back: int = 2, fwd: int = 2) -> DataFrame:
     """Saleable rows by the Wednesday of their due week, inside the month window."""
     rows = exclude_matching(inbound, "ref", NOT_FOR_SALE)
-    due = F.coalesce("delivery_due", F.date_sub("gl_date", DAYS_BEFORE_GO_LIVE))
+    due = F.coalesce("delivery_due", shift_days("gl_date", -DAYS_BEFORE_GO_LIVE))
     rows = rows.withColumn("delivery_week", iso_week_day(due))
     rows = rows.filter(differs("procurement_status", DELETED))
-    return month_window(
-        rows, F.year("delivery_week"), F.month("delivery_week"), as_of, back, fwd
-    )
+    return month_window(rows, *year_month("delivery_week"), as_of, back, fwd)
 
 
 def weeks_in_window(as_of: date, back: int = 2, fwd: int = 2) -> list[date]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.calendar import busdays
+from quayside.functions.calendar import busdays, year_month
 from quayside.functions.numeric import classify_last_match, flat_tariff, zoned_tariff
 from quayside.functions.text import prefix
 from quayside.operators.aggregates import DECILES, QUARTILES, describe, group_agg, unstack
@@ -62,7 +62,7 @@ def counter_summary(shipments: DataFrame) -> DataFrame:
 
 def sla_rows(shipments: DataFrame) -> DataFrame:
     """Courier returns by month and service zone; zones that fit no rule drop out later."""
-    rows = courier_returns(shipments).withColumn("month", F.month("poh_date"))
+    rows = courier_returns(shipments).withColumn("month", year_month("poh_date")[1])
     return rows.filter(F.col("month") < MONTH_LIMIT).withColumn(
         "sla_zone", classify_last_match("zone")
     )

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.text import as_key, blank_to_null, fold_code
+from quayside.functions.text import as_col, as_key, blank_to_null, fold_code
 from quayside.operators.aggregates import group_agg
 from quayside.operators.dedupe import keep_last
 from quayside.operators.joins import (
@@ -41,6 +41,10 @@ def plan_categories(plan: DataFrame) -> DataFrame:
     return plan.select(F.col("simple_sku").alias("product_id"), "category").distinct()
 
 
+def counted_less_ordered(counted: Column | str, ordered: Column | str) -> Column:
+    return as_col(counted) - as_col(ordered)
+
+
 def shift_count(
     scans: DataFrame, po_lines: DataFrame, plan: DataFrame, shift: date, team: str
 ) -> DataFrame:
@@ -57,7 +61,7 @@ def shift_count(
         F.col("contact").alias("supplier"),
         F.col("bp_qty").alias("qty_ordered"),
         "qty_counted",
-        (F.col("qty_counted") - F.col("bp_qty")).alias("qty_diff"),
+        counted_less_ordered("qty_counted", "bp_qty").alias("qty_diff"),
         "product_id",
         F.col("name").alias("description"),
         "category",

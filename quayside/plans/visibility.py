@@ -191,6 +191,10 @@ def po_progress(with_sample_count: DataFrame) -> DataFrame:
     return scale_by_first(counts, PO_RATIOS)
 
 
+def planned_cost() -> Column:
+    return F.col("unit_cost") * F.col("total_units")
+
+
 def working_capital(with_sample_count: DataFrame, missing_as_zero: bool = False) -> DataFrame:
     """Cost of planned units by the first stage they have not reached."""
     received, booked = F.col("date_received"), F.col("date_booked")
@@ -200,8 +204,7 @@ def working_capital(with_sample_count: DataFrame, missing_as_zero: bool = False)
         "booked_not_delivered": received.isNull(),
         "partial_delivery": F.col("last_qced").isNull(),
     }
-    cost = F.col("unit_cost") * F.col("total_units")
-    return waterfall(saleable(with_sample_count), ["gl_month"], cost, stages, missing_as_zero)
+    return waterfall(saleable(with_sample_count), ["gl_month"], planned_cost(), stages, missing_as_zero)
 
 
 def config_weeks(inbound: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from quayside.operators.aggregates import (
 from quayside.operators.quantiles import describe_spread
 from quayside.operators.reshape import stage_pairs
 from quayside.plans import inbound as inbound_plan
+from quayside.plans.bookings import several_events
 from quayside.plans.scans import plan_categories, scan_counts
 from quayside.plans.visibility import FUNNEL
 from quayside.registry.core import inbound, query, rounded
@@ -307,8 +308,8 @@ def scaled(t: Tables) -> DataFrame:
 FROM booking_export GROUP BY bdate, event""",
 )
 def distinct_values(t: Tables) -> DataFrame:
-    several = t.booking_export.agg((F.count_distinct("event") > 1).alias("several")).scalar()
-    return t.booking_export.select("bdate", "event").distinct().withColumn("several", several)
+    days = t.booking_export.select("bdate", "event").distinct()
+    return days.withColumn("several", several_events(t.booking_export))
 
 
 @query(

@@ -13,11 +13,14 @@ from quayside.functions.calendar import (
     iso_week_day,
     next_business_day,
     parse_timestamp,
+    shift_days,
     shift_month,
+    year_month,
 )
 from quayside.functions.numeric import (
     classify_last_match,
     flat_tariff,
+    gap,
     ratio,
     started_units,
     zoned_tariff,
@@ -29,12 +32,14 @@ from quayside.functions.text import (
     config_code,
     date_text,
     fold_code,
+    holds,
     kv_fields,
     prefix,
     split_pieces,
     strip_chars,
     token_before,
 )
+from quayside.operators.aggregates import group_agg, present_counts
 from quayside.operators.dedupe import (
     attribute_to_first,
     flag_repeats,
@@ -75,8 +80,9 @@ from quayside.operators.sorting import sort_keys
 from quayside.plans import samples as samples_plan
 from quayside.plans.bookings import BOOKING_FIELDS, booked_orders, next_workday
 from quayside.plans.inbound import DOCK_DATE_FORMATS, frame_order, po_line_groups
-from quayside.plans.scans import scan_counts
-from quayside.plans.visibility import in_backlog
+from quayside.plans.forecast import DAYS_BEFORE_GO_LIVE
+from quayside.plans.scans import counted_less_ordered, scan_counts
+from quayside.plans.visibility import in_backlog, planned_cost
 from quayside.registry.core import (
     AS_OF,
     BLANK,
@@ -163,11 +169,8 @@ def overwritten(t: Tables) -> DataFrame:
     """SELECT seq, round(unit_cost * total_units, 4) AS cost, total_units - 10 AS units_diff FROM plan_items""",
 )
 def arithmetic(t: Tables) -> DataFrame:
-    cost = F.col("unit_cost") * F.col("total_units")
-    return rounded(
-        t.plan_items.select("seq", cost.alias("cost"), (F.col("total_units") - 10).alias("units_diff")),
-        4,
-    )
+    spare = counted_less_ordered("total_units", F.lit(10)).alias("units_diff")
+    return rounded(t.plan_items.select("seq", planned_cost().alias("cost"), spare), 4)
 
 
 @query(
@@ -391,8 +394,8 @@ def substrings(t: Tables) -> DataFrame:
     return t.shipments.select(
         "shipment_id",
         "zone",
-        F.col("zone").contains("National").alias("has_national"),
-        F.col("zone").contains("Outlying").alias("has_outlying"),
+        holds("zone", "National").alias("has_national"),
+        holds("zone", "Outlying").alias("has_outlying"),
     )
 
 
@@ -456,7 +459,7 @@ def day_differences(t: Tables) -> DataFrame:
 )
 def shifted_dates(t: Tables) -> DataFrame:
     return t.plan_items.select(
-        "seq", F.date_sub("gl_date", 14).alias("due"), F.date_add("gl_date", 1).alias("next")
+        "seq", shift_days("gl_date", -DAYS_BEFORE_GO_LIVE).alias("due"), shift_days("gl_date", 1).alias("next")
     )
 
 
@@ -474,9 +477,8 @@ def wednesdays(t: Tables) -> DataFrame:
   CAST(date_part('year', o_orderdate) AS INTEGER) AS year FROM orders""",
 )
 def month_parts(t: Tables) -> DataFrame:
-    return t.driver("orders").select(
-        "o_orderkey", F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year")
-    )
+    year, month = year_month("o_orderdate")
+    return t.driver("orders").select("o_orderkey", month.alias("month"), year.alias("year"))
 
 
 # Weekdays strictly counted day by day: an independent form of the closed formula.
@@ -526,7 +528,7 @@ def kilograms(t: Tables) -> DataFrame:
     "SELECT seq, CASE WHEN total_units < 25 THEN 25 - total_units ELSE total_units - 25 END AS gap FROM plan_items",
 )
 def absolute(t: Tables) -> DataFrame:
-    return t.plan_items.select("seq", F.abs(F.col("total_units") - 25).alias("gap"))
+    return t.plan_items.select("seq", gap("total_units", F.lit(25)).alias("gap"))
 
 
 @query(
@@ -860,8 +862,5 @@ def exploded(t: Tables) -> DataFrame:
 FROM plan_items GROUP BY gl_month""",
 )
 def measures_as_columns(t: Tables) -> DataFrame:
-    return t.plan_items.groupBy("gl_month").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("total_units").alias("units"),
-        F.count("live_date").alias("live"),
-    )
+    measures = [F.sum("total_units").alias("units"), *present_counts({"n": "seq", "live": "live_date"})]
+    return group_agg(t.plan_items, ["gl_month"], *measures)
