@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import FOLD, Scratch, components, mix, numbered, sole, texts
+from quayside.operators.joins import skew_join
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int = 160) -> tuple[int, int]:
@@ -183,8 +184,8 @@ def linked(
 
     Documents with equal sets are one representative. Band hashes of representatives are shuffled;
     members of a bucket are linked to its smallest one and the components of those candidate links
-    are found. A component whose sets hold at most `capacity` n-grams is compared as a whole; of larger
-    ones each bucket is. A unit over the capacity, or of more than `unit_rows` members, is dealt into blocks, and
+    are found. A component whose sets hold at most `capacity` n-grams, or whose buckets have more pairs than it has itself, is
+    compared as a whole, each pair once; of others each bucket is. A unit over the capacity, or of more than `unit_rows` members, is dealt into blocks, and
     each pair of blocks is a task of its own, so no task's memory, which grows with its n-grams and the square
     of its members, grows with the group and no pair is missed. In a task, pairs
     that share a band (and, for buckets, no earlier band) are verified on their full sets; counts of
@@ -218,12 +219,20 @@ def linked(
     named = member_of.select("rep").distinct().join(candidate, F.col("rep") == F.col("node"), "left")
     named = named.select("rep", F.coalesce("component", "rep").alias("component"))
     named = scratch.keep(named.join(reps.select("rep", "fp", "size"), "rep").join(copies, "fp", "left"))
-    weight = scratch.keep(named.groupBy("component").agg(F.sum("size").alias("weight")))
-    placed = named.join(weight, "component")
-    whole = placed.where(F.col("weight") <= capacity).select(
+    # Comparing a component's buckets one by one costs the sum of their squares; near copies share most bands, and then
+    # comparing the component as a whole, each pair once, costs less.
+    squares = buckets.select(F.col("least").alias("rep"), F.pow("members", F.lit(2)).alias("square")).join(named.select("rep", "component"), "rep")
+    squares = squares.groupBy("component").agg(F.sum("square").alias("squares"))
+    weight = named.groupBy("component").agg(F.sum("size").alias("weight"), F.count("rep").alias("rows"))
+    weight = weight.join(squares, "component", "left")
+    at_once = (F.col("weight") <= capacity) | (F.pow("rows", F.lit(2)) <= F.coalesce("squares", F.lit(0.0)))
+    weight = scratch.keep(weight.select("component", at_once.alias("at_once")))
+    # A component may hold most candidates.
+    placed = skew_join(named, weight, "component")
+    whole = placed.where("at_once").select(
         "rep", "size", "copies", F.lit(-1).alias("band"), F.col("component").alias("unit")
     )
-    parts = placed.where(F.col("weight") > capacity).select("rep", "size", "copies")
+    parts = placed.where("NOT at_once").select("rep", "size", "copies")
     parts = parts.join(member_of, "rep").select("rep", "size", "copies", "band", F.col("hash").alias("unit"))
     members = scratch.keep(whole.unionByName(parts))
     # A unit's n-grams and members decide its blocks.

@@ -130,6 +130,22 @@ def test_near_copies_equal_brute_force(spark, scratch, sf_dir, capacity):
     assert sum(bool(n) for n in near.values()) > 10
 
 
+def test_near_copies_along_a_chain(spark, scratch, monkeypatch):
+    """Each text is like its neighbours only, so one large component is compared bucket by bucket."""
+    bodies = [" ".join(f"w{k}" for k in range(3 * i, 3 * i + 120)) for i in range(500)]
+    sets = [set(ngram_join.shingles(b.encode(), 5).tolist()) for b in bodies]
+    near = [sum(i != j and len(a & b) >= 0.8 * len(a | b) - 1e-9 for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    monkeypatch.setattr(ngram_join, "choose_bands", lambda *a: (20, 6))
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string")
+    rows = sorted(ngram_join.linked(docs, scratch, capacity=2000).collect())
+    signs = np.array([ngram_join.band_hashes(np.array(sorted(s), np.uint64), 20, 6) for s in sets])
+    share = sum(h[:, None] == h[None, :] for h in signs.T).astype(bool)
+    squares = sum((np.unique(h, return_counts=True)[1] ** 2).sum() for h in signs.T)
+    assert squares < 500**2  # so the buckets are what is compared
+    exact = [sum(i != j and bool(share[i, j]) and len(a & b) >= 0.8 * len(a | b) - 1e-9 for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    assert [r.n_links for r in rows] == exact and sum(exact) > 0.9 * sum(near) and max(r.class_id for r in rows) < 500
+
+
 @pytest.mark.parametrize("capacity", [1_000_000, 60_000])
 def test_near_copies_bound_a_task_by_members(spark, scratch, monkeypatch, capacity):
     draw, n = np.random.default_rng(3), 2500
