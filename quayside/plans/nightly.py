@@ -18,6 +18,7 @@ from quayside.operators.setops import consolidate, stack
 from quayside.plans import compliance, forecast, returns, samples, visibility
 from quayside.plans.bookings import CONTACT_DAYS, contact_rows, receiving_report
 from quayside.plans.inbound import InboundSources, inbound_data
+from quayside.plans.incremental import InboundChanges, inbound_state, refresh_inbound
 from quayside.plans.scans import (
     count_history,
     daily_damages,
@@ -222,6 +223,45 @@ def visibility_job(
     return table
 
 
+INBOUND_BUCKETS = 256
+
+
+def inbound_refresh_job(
+    root: str,
+    sources: InboundSources,
+    changes: InboundChanges | None,
+    as_of: date,
+    previous: date | None,
+    buckets: int = INBOUND_BUCKETS,
+    **window: int,
+) -> DataFrame:
+    """The inbound table kept by item: only items that `changes` or the move of the month window touch are computed.
+
+    Counts and damages come from the state, and so do their changes: what was kept since `previous`. Without `previous` the
+    whole table is built. A rerun for the same day, or one after a crash, gives the same table.
+    """
+    spark = sources.plan.sparkSession
+    fed = fed_sources(root, sources, as_of)
+    path = state_path(root, "inbound")
+    if previous is None:
+        first = inbound_data(fed, as_of, **window)
+        copy = scratch_path(spark, "inbound")
+        whole = materialize(first, copy)
+        state = inbound_state(spark, path, whole, buckets)
+        state.replace(stack([whole.select("sku"), state.read().select("sku")]).distinct(), whole)
+        remove_path(spark, copy)
+        return state.read()
+    # The schema of the table is that of its plan, which is not run.
+    state = inbound_state(spark, path, inbound_data(fed, as_of, **window), buckets)
+    since = F.lit(previous)
+    counts = known_state(spark, root, "rolling_stock", COUNTS).filter((F.col("date") > since) & (F.col("date") <= F.lit(as_of)))
+    damaged = known_state(spark, root, "damages", DAMAGES).filter((F.col("as_of") > since) & (F.col("as_of") <= F.lit(as_of)))
+    own = InboundChanges(qc=counts.select(F.col("product_id").alias("sku")), damages=damaged.select("sku"))
+    given = changes or InboundChanges()
+    refresh_inbound(state, fed, replace(given, qc=own.qc, damages=own.damages), as_of, previous, **window)
+    return state.read()
+
+
 def fed_sources(root: str, sources: InboundSources, as_of: date) -> InboundSources:
     """`sources` with the counts and damages kept up to `as_of`."""
     spark, today = sources.plan.sparkSession, F.lit(as_of)

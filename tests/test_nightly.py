@@ -11,16 +11,21 @@ from quayside.plans.nightly import (
     damages_job,
     known_state,
     stock_job,
+    compliance_job,
+    forecast_job,
+    go_live_job,
+    inbound_refresh_job,
+    returns_job,
     visibility_job,
 )
-from tests.helpers import rows
+from tests.helpers import bag, rows
 from tests.test_inbound import PLAN
-from tests.test_reports import BOOKING, booking, fields
+from tests.test_reports import BOOKING, SHIPMENT, booking, fields
 
 THURSDAY, FRIDAY = dt.date(2015, 6, 4), dt.date(2015, 6, 5)
 
 
-def run_day(spark, root, day, scanned):
+def run_day(spark, root, day, scanned, table=visibility_job):
     frame = lambda schema, *data: spark.createDataFrame(list(data), schema)
     live = dt.date(2015, 6, 20)
     lines = frame(
@@ -53,7 +58,7 @@ def run_day(spark, root, day, scanned):
         received=frame("message_reference string, item_code string, quantity_received long, received_date date", ("11", "P1", 4, day)),
         stock=frame("item_code string, qty long", ("P1", 4)),
     )
-    return visibility_job(root, sources, frame("sku string, s3_to_studio date", ("P1", None)), day)
+    return table(root, sources, frame("sku string, s3_to_studio date", ("P1", None)), day)
 
 
 def test_two_days_and_a_rerun(spark, tmp_path):
@@ -78,3 +83,44 @@ def test_two_days_and_a_rerun(spark, tmp_path):
         report = spark.read.parquet(f"{root}/report=damages/tab=daily/as_of={FRIDAY}")
         assert rows(report, "sku", "po", "damaged", "oversupply", "client_name") == [("P1", "11", 1, 1, "client 5")]
         assert spark.read.parquet(f"{root}/report=visibility/tab=master/as_of={FRIDAY}").count() == 1
+
+
+def test_the_inbound_table_follows_day_by_day(spark, tmp_path):
+    root, days = str(tmp_path), {}
+
+    def refresh(root, sources, samples, day):
+        days[day] = visibility_job(root, sources, samples, day)
+        previous = THURSDAY if day == FRIDAY else None
+        return inbound_refresh_job(root, sources, None, day, previous, buckets=4)
+
+    for day, scanned in ((THURSDAY, 2), (FRIDAY, 3), (FRIDAY, 3)):
+        assert bag(run_day(spark, root, day, scanned, refresh)) == bag(days[day])
+
+
+def test_reports_cut_from_the_inbound_table(spark, tmp_path):
+    root = str(tmp_path)
+    table = run_day(spark, root, FRIDAY, 3)
+    compliance_job(root, table, FRIDAY)
+    forecast_job(root, table, FRIDAY)
+    go_live_job(root, table, FRIDAY)
+    read = lambda report, tab: spark.read.parquet(f"{root}/report={report}/tab={tab}/as_of={FRIDAY}")
+    assert rows(read("supplier-compliance", "all"), "gl_month", "supplier", "pos") == [(6, "s", 1)]
+    assert rows(read("supplier-compliance", "last month"), "supplier") == []
+    assert rows(read("buyer-compliance", "period"), "buyer", "total_units") == [("b", 7)]
+    assert "gl_month" not in read("buyer-compliance", "period").columns
+    assert rows(read("forecast", "weeks"), "qty_planned", "qty_received") == [(7, 4)]
+    assert rows(read("go-live", "track"), "tab", "planned") == [("month", 1), ("week", 1)]
+    assert rows(read("visibility", "backlog"), "sku") == []
+    assert rows(read("visibility", "units"), "gl_month", "units_planned") == [(6, 7)]
+    shipments = spark.createDataFrame([("SPR1", THURSDAY, FRIDAY, 10.0, 500.0, "Local")], SHIPMENT)
+    for _ in range(2):
+        returns_job(root, shipments, FRIDAY)
+    assert rows(read("returns", "collection"), "measure", "total") == [("charge_out", 10.0), ("delay", 1.0)]
+
+
+def test_a_day_corrected_to_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    run_day(spark, root, THURSDAY, 2)
+    run_day(spark, root, FRIDAY, 3)
+    run_day(spark, root, FRIDAY, 0)
+    assert rows(known_state(spark, root, "rolling_stock", COUNTS), "date") == [(THURSDAY,)]
