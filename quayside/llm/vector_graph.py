@@ -161,7 +161,7 @@ def linked(
     its points still meets. Each shard's graph is built alone by robust pruning; a point's adjacency
     lists from its shards are united. Every point is a query in its own shards, from each shard's medoid.
     Points found within range that also lie in shards the query has not been to are doors: the query
-    goes on there from them, round by round, until no door is new. A pair is counted in the first shard that the
+    goes on there from them, round by round, until no door is new; a shard's many guests are shared out to several tasks. A pair is counted in the first shard that the
     query meets it in, by rounds and then by number, so counts, doors and a spanning forest of all links met leave
     a task, but no pairs. Links are exact: each is verified by its cosine.
 
@@ -239,7 +239,7 @@ class _Graph:
         self, points: DataFrame, scratch: Scratch, size: int, threshold: float, overlap: int, shard_rows: int,
         degree: int, pool: int, alpha: float, beam: int, slack: float, sample_rows: int, exact: bool,
     ):
-        self.scratch, self.overlap, self.exact = scratch, overlap, exact
+        self.scratch, self.overlap, self.guests = scratch, overlap, 4 * shard_rows
         self.step = functools.partial(_visit, threshold=threshold, beam=0 if exact else beam, slack=slack)
         spark = points.sparkSession
         # More shards than that are not told apart by a bounded sample; crowded ones are dealt into blocks.
@@ -262,7 +262,7 @@ class _Graph:
             return pd.DataFrame({"rep": reps, "near": [reps[np.flatnonzero(row)].tolist() for row in adjacent]})
 
         if exact:
-            self.graph = members.withColumn("near", F.array().cast("array<bigint>"))
+            self.graph = scratch.keep(members.withColumn("near", F.array().cast("array<bigint>")))
             return
         lists = members.select("rep", "vector", "shard").groupBy("shard").applyInPandas(build, "rep bigint, near array<bigint>")
         # The union of a point's lists is bounded by its shards and the reversed edges of each.
@@ -330,7 +330,13 @@ class _Graph:
             def go(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
                 return step(shard, queries)
 
-            met = visit.groupBy("shard").cogroup(self.graph.groupBy("shard")).applyInPandas(go, FOUND)
+            # Members are few per shard, guests are not: a shard with many is searched in several tasks.
+            parts = visit.groupBy("shard").agg(F.ceil(F.count("rep") / self.guests).cast("int").alias("parts")).where("parts > 1")
+            parts = scratch.keep(parts)
+            visit = visit.join(parts, "shard", "left").withColumn("part", F.pmod(F.hash("rep"), F.coalesce("parts", F.lit(1)))).drop("parts")
+            graph = self.graph.join(parts, "shard", "left")
+            graph = graph.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+            met = visit.groupBy("shard", "part").cogroup(graph.groupBy("shard", "part")).applyInPandas(go, FOUND)
             met = scratch.keep(met)
             rounds.append(met.select("rep", "links", "root"))
             been = visit.groupBy("rep").agg(F.first(F.concat("before", "now")).alias("before"))
