@@ -14,6 +14,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.membership import new_rows
 from quayside.operators.setops import consolidate, stack
 from quayside.plans import compliance, forecast, returns, samples, visibility
 from quayside.plans.bookings import CONTACT_DAYS, contact_rows, receiving_report
@@ -30,6 +31,7 @@ from quayside.plans.scans import (
 )
 from quayside.session import remove_path, scratch_path
 from quayside.sources import files, schemas
+from quayside.sources.history import MANIFEST, checked_files, read_files
 from quayside.sources.keyed import KeyedState
 from quayside.sources.sinks import (
     append_state,
@@ -48,6 +50,7 @@ CONTACTS = (
 DAMAGES = "date date, pos string, sku string, reason string, responsible string, as_of date"
 OVERSUPPLY = "date date, supplier string, po string, sku string, oversupply long, as_of date"
 SAMPLE_STATE = "sku string, " + ", ".join(f"{stage} date" for stage in schemas.SAMPLE_STAGES)
+MANIFEST_COLUMNS = tuple(c.split()[0] for c in MANIFEST.split(", "))
 COUNTS = (
     "date date, po string, status string, ref string, supplier string, qty_ordered long, "
     "qty_counted long, qty_diff long, product_id string, description string, category string, "
@@ -108,6 +111,30 @@ def damages_job(
     replace_partition(surplus, state_path(root, "oversupply"), as_of=as_of)
 
 
+def consolidation_job(spark: SparkSession, root: str, history_dir: str, schema: str, required: str = "product_id") -> DataFrame:
+    """Distinct rows of all handed-over history files, of which only new ones are checked and read.
+
+    What new files add is one numbered part of the state; their names are noted under the same number after it. A crash in
+    between repeats the part. Files that cannot be read whole stay out; the manifest tells them.
+    """
+    base = root.rstrip("/")
+    path, noted, manifest = state_path(root, "consolidated"), f"{base}/files=consolidated", f"{base}/files=checked"
+    keys = ["path", "length", "modified"]
+    known = read_state(spark, noted, f"{MANIFEST}, part int") if files.exists(spark, noted) else spark.createDataFrame([], f"{MANIFEST}, part int")
+    part = (known.agg(F.max("part")).first()[0] + 1) if not known.isEmpty() else 0
+    verdicts = checked_files(spark, history_dir, manifest, schema).filter("reason IS NULL")
+    pending = verdicts.join(known.select(*keys), keys, "left_anti").select(*MANIFEST_COLUMNS)
+    names = [r.path for r in pending.filter("rows > 0").select("path").collect()]
+    history = known_state(spark, root, "consolidated", f"{schema}, part int")
+    if names:
+        rows = read_files(spark, history_dir, names, schema).dropna(subset=[required])
+        fresh = new_rows(history.filter(F.col("part") < part).drop("part"), rows)
+        replace_partition(fresh, path, part=part)
+        replace_partition(pending, noted, part=part)
+        history = known_state(spark, root, "consolidated", f"{schema}, part int")
+    return history.drop("part")
+
+
 # --- jobs that drain their scans themselves
 
 

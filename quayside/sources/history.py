@@ -97,6 +97,13 @@ def checked_files(spark: SparkSession, path: str, manifest: str, schema: str | N
     return known.dropDuplicates(keys).join(listed, keys, "left_semi")
 
 
+def read_files(spark: SparkSession, path: str, names: list[str], schema: str) -> DataFrame:
+    """Rows of given files below `path`, with the columns of its folders."""
+    if not names:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*names)
+
+
 def read_checked_history(
     spark: SparkSession, path: str, manifest: str, schema: str, skip_unreadable: bool = False
 ) -> DataFrame:
@@ -111,6 +118,4 @@ def read_checked_history(
     if bad.isEmpty():
         return spark.read.schema(schema).parquet(path)
     sound = [r.path for r in verdicts.filter("reason IS NULL AND rows > 0").select("path").collect()]
-    if not sound:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*sound)
+    return read_files(spark, path, sound, schema)

@@ -73,16 +73,6 @@ def write_ordered(
     remove_path(spark, scratch)
 
 
-def write_tabs(df: DataFrame, root: str, name: str, as_of: date, tab: str = "tab") -> None:
-    """Write the tabs of a report that one plan computes, told apart by a column, in one job.
-
-    As `write_report`, a rerun for the same day replaces that day's tabs.
-    """
-    for_day = df.withColumn("as_of", F.lit(as_of))
-    writer = for_day.hint("rebalance", tab).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(tab, "as_of").parquet(f"{root.rstrip('/')}/report={name}")
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back, so that several reports share one computation."""
     df.write.mode("overwrite").parquet(path)

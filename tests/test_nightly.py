@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+
+from quayside.plans import nightly
 from quayside.plans.inbound import InboundSources
 from quayside.plans.nightly import (
     CONTACTS,
@@ -12,6 +15,7 @@ from quayside.plans.nightly import (
     known_state,
     stock_job,
     compliance_job,
+    consolidation_job,
     forecast_job,
     go_live_job,
     inbound_refresh_job,
@@ -124,3 +128,34 @@ def test_a_day_corrected_to_nothing(spark, tmp_path):
     run_day(spark, root, FRIDAY, 3)
     run_day(spark, root, FRIDAY, 0)
     assert rows(known_state(spark, root, "rolling_stock", COUNTS), "date") == [(THURSDAY,)]
+
+
+@pytest.mark.parametrize("crash", [False, True])
+def test_handed_over_files_are_consolidated_once(spark, tmp_path, monkeypatch, crash):
+    root, box, schema = str(tmp_path / "root"), str(tmp_path / "box"), "product_id string, date date, qty_counted bigint"
+    hand = lambda *data: spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(box)
+    hand(("a", THURSDAY, 1), ("a", THURSDAY, 1), (None, THURSDAY, 9), ("b", None, 2))
+    shown = lambda: rows(consolidation_job(spark, root, box, schema))
+    first = [("a", THURSDAY, 1), ("b", None, 2)]
+    assert shown() == first
+    hand(("a", THURSDAY, 1), ("c", FRIDAY, 3), ("b", None, 2))
+    (tmp_path / "box" / "broken.parquet").write_text("no parquet")
+    if crash:  # the new part is written, its files are not noted
+        real, calls = nightly.replace_partition, []
+
+        def fail(*args, **values):
+            calls.append(1)
+            if len(calls) == 2:
+                raise RuntimeError("killed")
+            real(*args, **values)
+
+        with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+            broken.setattr(nightly, "replace_partition", fail)
+            shown()
+        hand(("d", FRIDAY, 4))
+    expected = sorted([*first, ("c", FRIDAY, 3), *([("d", FRIDAY, 4)] if crash else [])], key=str)
+    for _ in range(2):
+        assert sorted(shown(), key=str) == expected
+    reads = []
+    monkeypatch.setattr(nightly, "read_files", lambda *a: reads.append(a))
+    assert sorted(shown(), key=str) == expected and not reads  # nothing is read again

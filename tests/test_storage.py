@@ -27,7 +27,6 @@ from quayside.sources.sinks import (
     write_ordered,
     write_per_value,
     write_report,
-    write_tabs,
 )
 from quayside.sources.tables import (
     JdbcSplit,
@@ -147,15 +146,6 @@ def test_ordered_files_follow_each_other(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "report=r" / "tab=t")).count() == 1000
 
 
-def test_tabs_of_one_plan_are_one_job(spark, tmp_path):
-    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "tab string, n int")
-    write_tabs(df, str(tmp_path), "r", dt.date(2015, 6, 5))
-    write_tabs(df.filter("n < 3"), str(tmp_path), "r", dt.date(2015, 6, 6))
-    write_tabs(df.filter("n <> 2"), str(tmp_path), "r", dt.date(2015, 6, 5))
-    got = spark.read.parquet(str(tmp_path / "report=r"))
-    assert rows(got, "tab", "as_of", "n") == [("a", dt.date(2015, 6, 5), 1), ("a", dt.date(2015, 6, 6), 1), ("b", dt.date(2015, 6, 5), 3), ("b", dt.date(2015, 6, 6), 2)]
-
-
 def test_a_day_corrected_to_nothing_is_emptied(spark, tmp_path):
     path, schema = str(tmp_path / "s"), "n int, date date"
     for day in (4, 5):
