@@ -75,6 +75,25 @@ def test_tables_meet_without_an_exchange(spark, tmp_path, skewed_conf):
     assert bag(found) == bag(expected)
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path, skewed_conf):
+    make = lambda n, *more: spark.range(n).select(F.col("id").cast("string").alias("sku"), (F.col("id") % 7).cast("string").alias("pos"), *more)
+    lines = make(400, F.lit("r").alias("ref"), F.lit("Placed").alias("status"), F.lit(2).alias("bp_qty"))
+    counts = make(300, F.lit(3).alias("qty_counted"), F.current_date().alias("qc_date"))
+    receipts = make(100, F.lit(4).alias("quantity_received"), F.current_date().alias("received_date"))
+    root, buckets = str(tmp_path), lambda: {f.name.split("_")[1].split(".")[0] for f in (tmp_path / "colocated=lines").glob("*.parquet")}
+    facts = lambda: bag(nightly_line_facts(spark, root, LAYOUT), ["sku", "bp_qty", "qty_counted", "qty_received"])
+    expected = {(str(i), 2, 3 if i < 300 else None, 4 if i < 100 else None): 1 for i in range(400)}
+    for limit, least, most in ((40, 16, 20), (10**6, 1, 8), (40, 16, 20)):  # more buckets, then few again
+        write_nightly(root, lines, counts, receipts, LAYOUT, rows_per_bucket=limit)
+        assert least <= len(buckets()) <= most and facts() == expected
+    found = nightly_line_facts(spark, root, LAYOUT)
+    assert "Exchange" not in plan_text(found) and found.rdd.getNumPartitions() == 20
+    (tmp_path / "_buckets").write_text("0")
+    (tmp_path / "._buckets.crc").unlink()
+    with pytest.raises(ValueError, match="not written to the end"):
+        nightly_line_facts(spark, root, LAYOUT)
+
+
 def test_another_session_knows_the_buckets(spark, tmp_path):
     df = spark.range(100).select(F.col("id").cast("string").alias("sku"), F.lit("1").alias("pos"))
     write_colocated(df, str(tmp_path / "t"), LAYOUT)
