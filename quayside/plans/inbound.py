@@ -6,9 +6,10 @@ Shape of the plan. Every source is aggregated to its join key before any join:
 * per (item, PO): quality-control counts and warehouse receipts, in one aggregate;
 * per item: damages and stock in one aggregate, and the first saleable PO line.
 
-Item-keyed sources are first reduced to the items planned in the window, then PO-keyed sources
-to the POs of the remaining lines. Both are semi joins that Spark turns into broadcasts where the
-keys are few and that a hot key can split where they are not.
+Item-keyed sources are first reduced to the items planned in the window, by semi joins that Spark turns
+into broadcasts where the keys are few and that a hot key can split where they are not. PO-keyed sources are
+not reduced to the POs of the remaining lines: these come from a shuffle, so header and dock log would be
+shuffled row by row before they are aggregated, and the lines once more for their POs.
 
 PO-keyed and (item, PO)-keyed facts are attached to PO lines before the lines meet the
 plan. A line always has a PO, so planned items without one never travel through a join
@@ -98,11 +99,10 @@ def cancelled_orders(po_lines: DataFrame) -> DataFrame:
     return group_agg(cancelled, ["pos"], F.count("sku").alias("n_skus"))
 
 
-def header_dates(po_header: DataFrame, pos: DataFrame | None = None) -> DataFrame:
-    """Distinct due dates per PO."""
-    rows = po_header.dropna(how="all")
+def header_dates(po_header: DataFrame) -> DataFrame:
+    """Distinct due dates per PO; rows without a PO are dropped."""
     number = strip_chars("order_id_raw", HEADER_PO_STRIP).alias("pos")
-    return only_known(rows.select(number, "delivery_due"), pos, "pos").distinct()
+    return po_header.select(number, "delivery_due").filter(F.col("pos").isNotNull()).distinct()
 
 
 def dock_events(dock_log: DataFrame) -> DataFrame:
@@ -126,18 +126,9 @@ def dock_events(dock_log: DataFrame) -> DataFrame:
     )
 
 
-def ordered_pos(groups: DataFrame) -> DataFrame:
-    """POs of the line groups; the quantity is read so that the groups' shuffle is shared."""
-    found = groups.groupBy("pos").agg(F.max(F.coalesce("bp_qty", F.lit(0))).alias("_most"))
-    return found.filter(F.col("_most").isNotNull()).select("pos")
-
-
-def po_facts(
-    po_header: DataFrame, dock_log: DataFrame, pos: DataFrame | None = None
-) -> DataFrame:
+def po_facts(po_header: DataFrame, dock_log: DataFrame) -> DataFrame:
     """Everything keyed by PO. A PO with several due dates has a row for each."""
-    due = header_dates(po_header, pos)
-    dock_log = only_known(dock_log, pos, "pos")
+    due = header_dates(po_header)
     # After the distinct, a PO has at most one row per calendar day.
     by_po = Window.partitionBy("pos").orderBy(F.col("delivery_due").asc_nulls_last())
     due = due.withColumn("due_rank", F.row_number().over(by_po))
@@ -237,7 +228,7 @@ def inbound_data(
     groups = po_line_groups(sources.po_lines, skus)
     # Line groups per (item, PO) differ by reference and status only.
     counted = left_join(groups, item_po_facts(sources.qc, sources.received, skus), ["sku", "pos"])
-    orders = po_facts(sources.po_header, sources.dock_log, ordered_pos(groups))
+    orders = po_facts(sources.po_header, sources.dock_log)
     lines = skew_join(counted, orders, "pos", "left")
 
     plan = planned_items(sources.plan, as_of, back, fwd)

@@ -181,7 +181,7 @@ def refreshed(t: Tables) -> DataFrame:
         stock=new.stock,
     )
     month_before = AS_OF - timedelta(days=31)
-    first = inbound_data(old, month_before)
+    first = materialize(inbound_data(old, month_before), scratch_path(t.spark, "inbound"))  # read for its items and its rows
     state = incremental.inbound_state(t.spark, scratch_path(t.spark, "inbound-state"), first, 32)
     state.replace(first.select("sku").distinct(), first)
     changes = incremental.InboundChanges(

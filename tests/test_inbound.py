@@ -5,6 +5,7 @@ Inputs go to both Spark and DuckDB; the latter follows the literal steps.
 
 import datetime as dt
 import random
+from dataclasses import replace
 
 import duckdb
 import pandas as pd
@@ -22,7 +23,7 @@ from quayside.plans.inbound import (
     po_line_groups,
 )
 from quayside.registry.core import AS_OF, check_sql, inbound_sources
-from quayside.sources.adapters import VIEWS
+from quayside.sources.adapters import VIEWS, Tables
 from quayside.sources.schemas import SAMPLE_STAGES
 from tests.compare import rows_of
 from tests.helpers import plan_text, rows
@@ -316,6 +317,23 @@ def test_a_hot_item_and_a_hot_order_are_split(spark, skewed_conf):
     assert plan_text(out).count("skew=true") >= 2
 
 
+def test_header_and_dock_log_meet_the_lines_once(spark, sf_dir):
+    """Rows of no line's PO, or of none, change nothing, and no semi join shuffles these tables row by row."""
+    sources = inbound_sources(Tables(spark, sf_dir))
+    day = F.lit(dt.date(1997, 3, 1))
+    header = spark.range(40).select(F.when(F.col("id") > 0, F.concat(F.lit("PO#none"), "id")).alias("order_id_raw"), day.alias("delivery_due"))
+    text = lambda value: F.lit(value)
+    dock = spark.range(40).select(
+        F.col("id").alias("seq"), F.when(F.col("id") > 0, F.concat(F.lit("none"), "id")).alias("pos"), text("1997-02-01").alias("date_booked"),
+        text("No").alias("partial_delivery"), text("1997-02-02").alias("date_received"),
+    )
+    more = replace(sources, po_header=stack([sources.po_header, header]), dock_log=stack([sources.dock_log, dock]))
+    out = inbound_data(more, AS_OF)
+    assert bag_of(out) == bag_of(inbound_data(sources, AS_OF))
+    joins = [line for line in plan_text(out).splitlines() if "LeftSemi" in line]
+    assert joins and not any("pos#" in line for line in joins)
+
+
 # --- samples ---------------------------------------------------------------------
 
 

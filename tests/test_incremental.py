@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from quayside.plans import compliance, incremental
 from quayside.plans.inbound import InboundSources, inbound_data
+from quayside.registry import QUERIES
+from quayside.sources.keyed import KeyedState
 from tests.helpers import bag, plan_text
 from tests.test_inbound import PLAN
 from tests.test_reports import INBOUND
@@ -81,6 +83,19 @@ def test_nothing_changed_touches_nothing(spark, tmp_path):
     assert incremental.refresh_inbound(state, sources, incremental.InboundChanges(), day, day) == []
 
 
+def test_the_first_table_is_computed_once(spark, sf_dir, monkeypatch):
+    """Its items and its rows are read from a copy, not derived from the sources each time."""
+    seen, replaced = [], KeyedState.replace
+
+    def noted(state, keys, rows):
+        seen.append({f.rsplit("/", 2)[-2] for df in (keys, rows) for f in df.inputFiles()})
+        return replaced(state, keys, rows)
+
+    monkeypatch.setattr(KeyedState, "replace", noted)
+    assert QUERIES["incremental_inbound"](spark, sf_dir).count() > 0
+    assert len(seen) == 2 and len(seen[0]) == 1 and seen[0].pop().startswith("inbound-")
+
+
 def test_one_pass_gives_the_tabs(spark):
     draw = random.Random(3)
     day = lambda: draw.choice([None, dt.date(2015, 3, draw.randint(1, 28))])
