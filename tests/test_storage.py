@@ -3,6 +3,7 @@
 import datetime as dt
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,16 @@ def test_ordered_files_follow_each_other(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "report=r" / "tab=t")).count() == 1000
 
 
+def test_many_ordered_files_come_from_few_ranges(spark, tmp_path):
+    df = spark.range(6000).select((F.col("id") * 7919 % 6000).alias("n"), F.when(F.col("id") % 10 > 0, F.col("id") % 1009).alias("k")).repartition(5)
+    order = sort_keys(["k", "n"], descending=["k"], nulls="first")
+    write_ordered(df, str(tmp_path / "o"), order, rows_per_file=2)
+    files = sorted((tmp_path / "o").glob("*.parquet"))
+    found = [r for f in files for r in zip(*pq.read_table(f).to_pydict().values(), strict=True)]
+    assert found == [tuple(r) for r in df.orderBy(*order).collect()]
+    assert 3000 <= len(files) <= 3200 and len({f.name.split("-")[1] for f in files}) <= 200
+
+
 def test_a_day_corrected_to_nothing_is_emptied(spark, tmp_path):
     path, schema = str(tmp_path / "s"), "n int, date date"
     for day in (4, 5):
